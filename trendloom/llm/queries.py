@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repeated_spans
+from . import near_duplicates, repeated_spans
 from .common import table
 
 
@@ -14,7 +14,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_near_duplicates": op5_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
