@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_duplicates, repeated_spans
+from . import near_duplicates, repeated_spans, toxicity
 from .common import table
 
 
@@ -18,8 +18,14 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLES: dict[str, str] = {}

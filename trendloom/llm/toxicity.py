@@ -1,16 +1,19 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
 Each word is one step.  Its input joins a hashed word vector with the mean of
-hashed character n-gram vectors (3 to 5 bytes, word starts told apart).  Two
-gated recurrent layers read a window of words in either direction, attention
+hashed character n-gram vectors (3 to 5 bytes, word starts told apart); words and
+n-grams of fewer than `KNOWN_FROM` training documents share row 0, so that rare
+ones are not learnt by heart.  Two gated recurrent layers read a window of words in either direction, attention
 pools their states, and a logistic unit scores the window.  Windows of
 `WINDOW` words overlap by half and cover every word of a text; a document's
 score is that of its highest window.
 
 Trained in numpy by back-propagation through time on a bounded sample
-(`most` documents per class): at first each window bears its document's label,
-later a toxic document is represented by the windows that the network itself
-finds highest.
+(`most` documents per class).  Labels are of documents, so windows start from the
+log-odds of their words and n-grams between the classes: the first coordinate of
+a vector starts there, and in the first epochs the toxic windows are those of
+toxic documents that hold a word or n-gram of high odds.  Later a toxic document
+is also represented by the window that the network itself finds highest.
 
 Defined cases: null, empty and blank texts score 0; texts shorter than a window
 are one masked window; repeated rows are scored alike; extra columns are ignored.
@@ -29,9 +32,9 @@ from .common import _BYTES, BYTE_CODES, TO_LOWER, Words, _ranges, slices
 from .labelled import is_held_out, labelled_sample
 
 WINDOW, STRIDE, HIDDEN, WIDTH = 32, 16, 8, 8
-WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << 15
+BUCKETS, ROWS, KNOWN_FROM = 1 << 20, 1 << 15, 30
 GRAMS = (3, 4, 5)
-THRESHOLD = 0.3
+THRESHOLD, HIGH_ODDS = 0.3, 2.3
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -45,7 +48,7 @@ class Inputs:
         words = Words(data, at, TO_LOWER)
         self.first = words.first
         distinct, one, self.which = np.unique(words.hash, return_index=True, return_inverse=True)
-        self.word = (distinct % np.uint64(WORD_ROWS)).astype(np.int64)
+        self.word = (distinct % np.uint64(BUCKETS)).astype(np.int64)
         start, length = words.start[one], (words.end - words.start)[one]
         codes, rows, owner = BYTE_CODES[TO_LOWER[data]], [], []
         for n in GRAMS:
@@ -53,12 +56,17 @@ class Inputs:
             who = np.repeat(np.arange(len(distinct)), count)
             place = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
             begin = start[who] + place
-            rows.append((_ranges(codes, _BYTES, begin, begin + n) + (place == 0).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(GRAM_ROWS))
+            rows.append((_ranges(codes, _BYTES, begin, begin + n) + (place == 0).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(BUCKETS))
             owner.append(who)
         owner, rows = np.concatenate(owner), np.concatenate(rows).astype(np.int64)
         order = np.argsort(owner, kind="stable")
         self.gram, self.count = rows[order], np.bincount(owner, minlength=len(distinct))
 
+    def rows(self, word_row: np.ndarray, gram_row: np.ndarray) -> Inputs:
+        """The same with buckets replaced by table rows."""
+        self.word, self.gram = word_row[self.word], gram_row[self.gram]
+        return self
+
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, places (windows x WINDOW), lengths); places past the end repeat the last one."""
         n = np.diff(self.first)
@@ -77,7 +85,8 @@ class Network:
     def __init__(self, seed: int = 7):
         r = np.random.default_rng(seed)
         f = lambda *shape, s=0.3: (r.standard_normal(shape) * s).astype(np.float32)
-        self.words, self.grams = f(WORD_ROWS, WIDTH, s=0.01), f(GRAM_ROWS, WIDTH, s=0.01)
+        self.words, self.grams = f(ROWS, WIDTH, s=0.01), f(ROWS, WIDTH, s=0.01)
+        self.word_row = self.gram_row = np.zeros(BUCKETS, np.int32)
         self.small = {"x": f(2 * WIDTH, 6 * HIDDEN), "bias": np.zeros(6 * HIDDEN, np.float32), "head": np.zeros(1, np.float32)}
         for d in (0, 1):
             self.small |= {f"u{d}": f(HIDDEN, 2 * HIDDEN), f"c{d}": f(HIDDEN, HIDDEN), f"v{d}": f(HIDDEN, 2)}
@@ -180,7 +189,7 @@ class Network:
 
     def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Score of each text: that of its highest window."""
-        x = Inputs(data, at)
+        x = Inputs(data, at).rows(self.word_row, self.gram_row)
         doc, places, length = x.windows()
         best = np.full(len(at) - 1, -np.inf)
         if len(doc):
@@ -191,22 +200,49 @@ class Network:
             return 1 / (1 + np.exp(-best))
 
 
+def _known(doc: np.ndarray, bucket: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row for each bucket met in KNOWN_FROM documents, the most frequent first, 0 for all others; log-odds of the rows."""
+    doc, pairs = np.divmod(np.unique(doc.astype(np.int64) * BUCKETS + bucket), BUCKETS)
+    count, toxic = np.bincount(pairs, minlength=BUCKETS), np.bincount(pairs, labels[doc], BUCKETS)
+    best = np.argsort(-count, kind="stable")[: ROWS - 1]
+    best = best[count[best] >= KNOWN_FROM]
+    row = np.zeros(BUCKETS, np.int32)
+    row[best] = np.arange(1, len(best) + 1)
+    odds = np.zeros(ROWS)
+    odds[1 : len(best) + 1] = np.log((toxic[best] + 2) / (count[best] - toxic[best] + 2) * (labels == 0).sum() / labels.sum())
+    return row, odds
+
+
 def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 512, seed: int = 7) -> Network:
     """Train on texts labelled 0 or 1; the last step moves the border between the classes to THRESHOLD."""
     net, rng, state = Network(seed), np.random.default_rng(seed), {}
     labels = np.asarray(labels, np.float32)
     rows = [t.encode() for t in texts]
     x = Inputs(np.frombuffer(b"".join(rows), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64))
+    owner = np.repeat(np.arange(len(rows)), np.diff(x.first))
+    net.word_row, word_odds = _known(owner, x.word[x.which], labels)
+    pairs = np.unique(owner * len(x.word) + x.which)
+    word, start = pairs % len(x.word), np.cumsum(x.count) - x.count
+    count = x.count[word]
+    place = np.repeat(start[word], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    net.gram_row, gram_odds = _known(np.repeat(pairs // len(x.word), count), x.gram[place], labels)
+    x.rows(net.word_row, net.gram_row)
+    net.words[:, 0], net.grams[:, 0] = 0.3 * np.clip(word_odds, -1, 3), 0.3 * np.clip(gram_odds, -1, 3)
+    strong = word_odds[x.word] > HIGH_ODDS
+    np.logical_or.at(strong, np.repeat(np.arange(len(x.word)), x.count), gram_odds[x.gram] > HIGH_ODDS)
     doc, places, length = x.windows()
     which = x.which[places]
     y = labels[doc]
+    told = strong[which].any(1) & (y == 1)
+    fitted = doc % 4 != 3  # every fourth document only sets the border
     for epoch in range(epochs):
-        chosen, weight = np.arange(len(doc)), np.ones(len(doc), np.float32)
-        if epoch >= 2:  # a toxic document stands by its highest window and those over one half
+        weight, hard = np.ones(len(doc), np.float32), rng.random(len(doc)) < 0.3
+        if epoch >= 2:
             logits = net.window_logits(x, places, length)
             top = np.full(len(labels), -np.inf)
             np.maximum.at(top, doc, logits)
-            chosen = np.flatnonzero((y == 0) & ((logits > -4) | (rng.random(len(doc)) < 0.3)) | (y == 1) & ((logits >= top[doc] - 1e-6) | (logits > 0)))
+            told, hard = (told & (logits > -2)) | (logits >= top[doc] - 1e-6), hard & (rng.random(len(doc)) < 0.3) | (logits > -4)
+        chosen = np.flatnonzero(fitted & ((y == 0) & hard | (y == 1) & told))
         positive, negative = weight[chosen][y[chosen] == 1].sum(), weight[chosen][y[chosen] == 0].sum()
         weight = np.where(y == 1, max(1.0, 0.3 * negative / max(positive, 1)), 1).astype(np.float32)
         chosen = rng.permutation(chosen)
@@ -215,6 +251,8 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 512,
             net.step(x, which[b], length[b], y[b], weight[b], state, 0.01 if epoch < epochs - 1 else 0.003)
     top = np.full(len(labels), -30.0)
     np.maximum.at(top, doc, net.window_logits(x, places, length))
+    if len(set(labels[3::4])) == 2:
+        top, labels = top[3::4], labels[3::4]
     order = np.argsort(top)
     wrong = np.concatenate(([0], np.cumsum(labels[order] == 1))) + np.concatenate((np.cumsum(labels[order][::-1] == 0)[::-1], [0]))
     least = np.flatnonzero(wrong == wrong.min())
