@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_duplicates, repeated_spans, toxicity
+from . import near_duplicates, quality, repeated_spans, toxicity
 from .common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeated_spans.remove_repeated_spans(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -24,6 +28,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
     "op9_toxicity": op9_toxicity,
