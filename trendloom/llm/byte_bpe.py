@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
-Ranks are a literal: an array of hash buckets, each of byte strings and ranks.
-`fold_merges` starts from the single bytes of a word and, step by step, merges
-the leftmost adjacent pair of least rank, carrying the ranks of adjacent pairs so
-that a step looks up two pairs only.
+Ranks are a literal: an array of hash buckets of pairs of pieces and the rank of
+their joined bytes, which is also the joined piece's id.  `fold_merges` starts
+from the bytes of a word and, step by step, merges the leftmost adjacent pair of
+least rank, carrying the ranks of adjacent pairs so that a step looks up two.
 
 Words (matches of the pattern) are counted over all documents; the most frequent
 ones, at most `HEAD`, are folded once and shipped to the tasks that split texts.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-HEAD, LONG, BUCKETS, NONE = 1 << 19, 1024, 8192, 1 << 30
+HEAD, LONG, BUCKETS, NONE = 3 << 18, 1024, 32768, 1 << 30
 _COUNTED = 300_000
 
 
@@ -45,12 +45,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
+    """Hash buckets of pairs of pieces (first id * 65536 + second id) and the rank of their join."""
     buckets: list[dict] = [{"k": [], "v": []} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
-        b = buckets[zlib.crc32(piece) % BUCKETS]
-        b["k"].append(base64.b64encode(piece).decode())
-        b["v"].append(rank)
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<struct<k:array<binary>,v:array<int>>>")
+        for cut in range(1, len(piece)):
+            a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+            if a is not None and b is not None:
+                buckets[(a * 65536 + b) % BUCKETS]["k"].append(a * 65536 + b)
+                buckets[(a * 65536 + b) % BUCKETS]["v"].append(rank)
+    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<struct<k:array<bigint>,v:array<int>>>")
+
+
+def byte_literal(ranks: dict[bytes, int]) -> Column:
+    """Id of each single byte, at the byte's place."""
+    return F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>")
 
 
 def piece_literal(ranks: dict[bytes, int]) -> Column:
@@ -61,43 +69,42 @@ def piece_literal(ranks: dict[bytes, int]) -> Column:
     return F.split(F.lit(",".join(pieces)), ",")
 
 
-def fold_merges(word: Column, table: Column) -> Column:
-    """Ids (array<int>) of a binary column's bytes."""
+def fold_merges(word: Column, table: Column, single: Column) -> Column:
+    """Ids (array<int>) of a binary column's bytes; a joined piece's id is the rank of its pair."""
+    return _bind(F.struct(table.alias("table"), single.alias("single")), lambda c: _fold(word, c["table"], c["single"]))
+
 
-    def ranks_of(pairs: Column) -> Column:
-        def one(x: Column) -> Column:
-            bucket = F.get(table, (F.crc32(x) % BUCKETS).cast("int"))
-            return F.coalesce(F.get(bucket["v"], (F.array_position(bucket["k"], x) - 1).cast("int")), F.lit(NONE))
+def _bind(value: Column, body) -> Column:
+    """Names a value for the expressions in body."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-        return F.transform(pairs, one)
 
-    def bind(value: Column, body) -> Column:  # names a value for the expressions in body
-        return F.get(F.transform(F.array(value), body), F.lit(0))
+def _fold(word: Column, table: Column, single: Column) -> Column:
+    def rank_of(a: Column, b: Column) -> Column:
+        key = a.cast("long") * 65536 + b
+        bucket = F.get(table, (key % BUCKETS).cast("int"))
+        return F.coalesce(F.get(bucket["v"], (F.array_position(bucket["k"], key) - 1).cast("int")), F.lit(NONE))
 
     def merge(s: Column) -> Column:
         p, r = s["p"], s["r"]
-        n = F.size(p)
 
-        def at(m: Column) -> Column:
-            def rest(x: Column) -> Column:
-                beside = F.filter(F.array(F.when(m > 1, F.concat(F.get(p, m - 2), x)), F.when(m < n - 1, F.concat(x, F.get(p, m + 1)))), lambda y: y.isNotNull())
-                pieces = F.concat(F.slice(p, F.lit(1), m - 1), F.array(x), F.slice(p, m + 2, n))
-                ranks = F.concat(F.slice(r, F.lit(1), F.greatest(m - 2, F.lit(0))), ranks_of(beside), F.slice(r, m + 2, n))
-                return F.struct(pieces.alias("p"), ranks.alias("r"))
+        def at(b: Column) -> Column:
+            x, m = b["x"], b["m"]
+            left, right = F.get(p, m - 2), F.get(p, m + 1)
+            beside = F.filter(F.array(F.when(left.isNotNull(), rank_of(left, x)), F.when(right.isNotNull(), rank_of(x, right))), lambda y: y.isNotNull())
+            pieces = F.concat(F.slice(p, F.lit(1), m - 1), F.array(x), F.slice(p, m + 2, F.lit(NONE)))
+            ranks = F.concat(F.slice(r, F.lit(1), F.greatest(m - 2, F.lit(0))), beside, F.slice(r, m + 2, F.lit(NONE)))
+            return F.struct(pieces.alias("p"), ranks.alias("r"))
 
-            return bind(F.concat(F.get(p, m - 1), F.get(p, m)), rest)
+        return _bind(F.struct(s["least"].alias("x"), F.array_position(r, s["least"]).cast("int").alias("m")), lambda b: with_least(at(b)))
 
-        return bind(F.array_position(r, F.array_min(r)).cast("int"), at)
+    def with_least(state: Column) -> Column:
+        return _bind(state, lambda t: F.struct(t["p"].alias("p"), t["r"].alias("r"), F.coalesce(F.array_min(t["r"]), F.lit(NONE)).alias("least")))
 
     n = F.octet_length(word)
-    pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(word, i, F.lit(2)))).otherwise(F.array().cast("array<binary>"))
-    merged = F.aggregate(
-        F.sequence(F.lit(1), n),
-        F.struct(pieces.alias("p"), ranks_of(pairs).alias("r")),
-        lambda s, _: F.when(F.coalesce(F.array_min(s["r"]), F.lit(NONE)) < NONE, merge(s)).otherwise(s),
-        lambda s: ranks_of(s["p"]),
-    )
+    pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(single, F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")))
+    start = _bind(pieces, lambda p: F.struct(p.alias("p"), F.transform(F.slice(p, F.lit(2), n), lambda b, i: rank_of(F.get(p, i), b)).alias("r")))
+    merged = F.aggregate(F.sequence(F.lit(1), n), with_least(start), lambda s, _: F.when(s["least"] < NONE, merge(s)).otherwise(s), lambda s: s["p"])
     return F.when(n > 0, merged).otherwise(F.array().cast("array<int>"))
 
 
@@ -255,15 +262,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = H
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     words = head_words(texts, pattern, most).where(F.octet_length("word") <= LONG).select("word")
-    folded = words.select("word", fold_merges(F.encode("word", "UTF-8"), rank_literal(ranks)).alias("ids")).toArrow()  # at most `most` rows
+    folded = words.select("word", fold_merges(F.encode("word", "UTF-8"), rank_literal(ranks), byte_literal(ranks)).alias("ids")).toArrow()  # at most `most` rows
     ids = folded.column("ids").combine_chunks()
     at, flat = ids.offsets.to_numpy(), np.asarray(ids.values, np.int32)
     known = {w: flat[a:b].tobytes() for w, a, b in zip(folded.column("word").to_pylist(), at[:-1], at[1:], strict=True)}
     head, shipped = spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(ranks)
     coded = texts.mapInArrow(_encode_known(pattern, head, shipped), "doc_id long, runs array<array<int>>, rare_at array<int>, rare array<binary>")
-    rare = F.transform("rare", lambda w: fold_merges(w, rank_literal(ranks)))
-    coded = coded.select("doc_id", "runs", "rare_at", rare.alias("rare_ids"))
-    joined = F.flatten(F.transform("runs", lambda r, i: F.concat(r, F.coalesce(F.get(F.col("rare_ids"), F.get(F.col("rare_at"), i)), F.array().cast("array<int>")))))
+    table, single = rank_literal(ranks), byte_literal(ranks)
+    rare = F.transform("rare", lambda w: fold_merges(w, table, single))
+    # the rare words' ids are bound before the runs are walked, or the optimizer would fold them again for every run
+    joined = _bind(rare, lambda ids: F.flatten(F.transform("runs", lambda r, i: F.concat(r, F.coalesce(F.get(ids, F.get(F.col("rare_at"), i)), F.array().cast("array<int>"))))))
     return coded.select("doc_id", joined.alias("ids"))
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_duplicates, quality, repeated_spans, toxicity
+import public_tokenizers
+
+from . import byte_bpe, near_duplicates, quality, repeated_spans, toxicity
 from .common import table
 
 
@@ -27,10 +29,25 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return digest_tokens(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+
+
+def digest_tokens(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
     "op9_toxicity": op9_toxicity,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
