@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, near_duplicates, quality, repeated_spans, toxicity
+from . import byte_bpe, mpeg_audio, near_duplicates, quality, repeated_spans, toxicity
 from .common import table
 
 
@@ -20,6 +20,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = mpeg_audio.describe_media(mpeg_audio.to_media(table(spark, sf_dir, "documents")))
+    feature = F.concat_ws(
+        ";",
+        *(F.concat(F.lit(f"{name}="), F.col(name).cast("string")) for name in ("frames", "samples", "hz", "bad_checksums", "foreign_bytes", "table_frames", "least_kbits", "most_kbits")),
+        F.concat(F.lit("offsets_sha256="), F.sha2(F.array_join(F.col("offsets").cast("array<string>"), ","), 256)),
+    )
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -46,6 +56,7 @@ def digest_tokens(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_mpeg_audio": op4_mpeg_audio,
     "op5_near_duplicates": op5_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
