@@ -244,8 +244,8 @@ def _coded(columns: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), outer, _lists(at, pa.int32()), pa.array(rare, pa.list_(pa.binary()))], schema=_CODED)
 
 
-def head_words(texts: DataFrame, pattern: str, most: int = HEAD) -> DataFrame:
-    """(word, n) of the most frequent words, at most `most`: those over a count that a histogram of counts gives."""
+def head_words(texts: DataFrame, pattern: str, most: int = HEAD) -> tuple[DataFrame, DataFrame]:
+    """(word, n) of all distinct words, and of the most frequent, at most `most`: those over a count that a histogram of counts gives."""
     words = stored(texts.select("text").mapInArrow(_count_words(pattern), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     step = F.floor(F.log2("n") * 16)
     steps = sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True)  # at most 16 * 63 rows
@@ -254,14 +254,14 @@ def head_words(texts: DataFrame, pattern: str, most: int = HEAD) -> DataFrame:
         if (total := total + n) > most:
             break
         least = s
-    return words.where(step >= least)
+    return words, words.where(step >= least)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = HEAD) -> DataFrame:
     """One row per input row: doc_id and ids (array<int>)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    words = head_words(texts, pattern, most).where(F.octet_length("word") <= LONG).select("word")
+    words = head_words(texts, pattern, most)[1].where(F.octet_length("word") <= LONG).select("word")
     folded = words.select("word", fold_merges(F.encode("word", "UTF-8"), rank_literal(ranks), byte_literal(ranks)).alias("ids")).toArrow()  # at most `most` rows
     ids = folded.column("ids").combine_chunks()
     at, flat = ids.offsets.to_numpy(), np.asarray(ids.values, np.int32)

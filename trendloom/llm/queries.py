@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, mpeg_audio, near_duplicates, quality, repeated_spans, toxicity
+from . import byte_bpe, chat_format, mpeg_audio, near_duplicates, quality, repeated_spans, token_counts, toxicity
 from .common import table
 
 
@@ -20,6 +20,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = token_counts.zipf_scores(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), scores, public_tokenizers.PATTERN)
+
+
 def op4_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = mpeg_audio.describe_media(mpeg_audio.to_media(table(spark, sf_dir, "documents")))
     feature = F.concat_ws(
@@ -34,6 +39,23 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    out = chat_format.format_records(chat_format.conversation_records(rows))
+    out = out.select("conv_id", "formatted", "loss_spans", chat_format.read_turns(F.col("formatted")).alias("turns"), chat_format.masked_text(F.col("formatted"), F.col("loss_spans")).alias("masked"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("masked").cast("long").alias("loss_chars"),
+        F.sha2("masked", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -56,9 +78,31 @@ def digest_tokens(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_mpeg_audio": op4_mpeg_audio,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_chat_format": op6_chat_format,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+def _escaped(text: str) -> str:
+    out = f"replace({text}, '\\', '\\\\')"
+    for c in chat_format.CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+OP6_SQL = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length({_escaped("role")}) + length({_escaped("text")}) + {len(chat_format.START) + len(chat_format.END) + 2}) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op6_chat_format": OP6_SQL}
