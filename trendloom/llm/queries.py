@@ -113,20 +113,20 @@ FROM rows GROUP BY conv_id
 #: Lines within one edit agree in their first or last 7 of at least 16 characters.
 OP7_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, at, trim(p, E' \t\r\x0b\x0c') AS line FROM (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM documents)),
-firsts AS (SELECT line, min(doc_id * 1000000 + at) AS first FROM lines WHERE line <> '' GROUP BY line),
+  SELECT doc_id, pos, trim(p, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
+firsts AS (SELECT line, min(doc_id * 1000000 + pos) AS first FROM lines WHERE line <> '' GROUP BY line),
 long AS (SELECT * FROM firsts WHERE length(line) >= 16),
 pairs AS (
   SELECT a.line, a.first, b.line AS other FROM long a JOIN long b ON left(a.line, 7) = left(b.line, 7) WHERE b.first < a.first AND abs(length(a.line) - length(b.line)) <= 1
   UNION SELECT a.line, a.first, b.line FROM long a JOIN long b ON right(a.line, 7) = right(b.line, 7) WHERE b.first < a.first AND abs(length(a.line) - length(b.line)) <= 1),
 edited AS (SELECT DISTINCT line FROM pairs WHERE levenshtein(line, other) <= 1),
 judged AS (
-  SELECT l.doc_id, l.at, l.line <> '' AND (e.line IS NOT NULL OR f.first < l.doc_id * 1000000 + l.at) AS gone
+  SELECT l.doc_id, l.pos, l.line <> '' AND (e.line IS NOT NULL OR f.first < l.doc_id * 1000000 + l.pos) AS gone
   FROM lines l LEFT JOIN firsts f ON l.line = f.line LEFT JOIN edited e ON l.line = e.line),
 kept AS (
   SELECT j.doc_id, count(*) FILTER (WHERE gone) AS n_removed,
-    coalesce(string_agg(string_split(d.text, chr(10))[j.at], chr(10) ORDER BY j.at) FILTER (WHERE NOT gone), '') AS text
+    coalesce(string_agg(string_split(d.text, chr(10))[j.pos], chr(10) ORDER BY j.pos) FILTER (WHERE NOT gone), '') AS text
   FROM judged j JOIN documents d ON j.doc_id = d.doc_id GROUP BY j.doc_id)
 SELECT doc_id, n_removed, sha256(text) AS kept_sha256 FROM kept
 """
