@@ -42,9 +42,9 @@ class Powers:
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.ones(1, np.uint64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
+    def upto(self, n: int, shrink: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n or shrink:
+            size = n
             for name, b in (("up", self.base), ("down", self.inverse)):
                 steps = np.full(size, b, np.uint64)
                 steps[0] = 1

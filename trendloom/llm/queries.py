@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, chat_format, line_dedup, mpeg_audio, near_duplicates, quality, repeated_spans, token_counts, toxicity
+from . import byte_bpe, chat_format, decontaminate, line_dedup, mpeg_audio, near_duplicates, quality, repeated_spans, token_counts, toxicity
 from .common import table
 
 
@@ -61,6 +61,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("n_gone").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("found") > 0).alias("contaminated"), F.col("found.item_id").alias("item_ids"), F.col("found.edits").alias("edits"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -88,6 +93,7 @@ QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }

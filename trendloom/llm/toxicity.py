@@ -200,17 +200,26 @@ class Network:
             return 1 / (1 + np.exp(-best))
 
 
-def _known(doc: np.ndarray, bucket: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A row for each bucket met in KNOWN_FROM documents, the most frequent first, 0 for all others; log-odds of the rows."""
-    doc, pairs = np.divmod(np.unique(doc.astype(np.int64) * BUCKETS + bucket), BUCKETS)
-    count, toxic = np.bincount(pairs, minlength=BUCKETS), np.bincount(pairs, labels[doc], BUCKETS)
-    best = np.argsort(-count, kind="stable")[: ROWS - 1]
-    best = best[count[best] >= KNOWN_FROM]
-    row = np.zeros(BUCKETS, np.int32)
-    row[best] = np.arange(1, len(best) + 1)
-    odds = np.zeros(ROWS)
-    odds[1 : len(best) + 1] = np.log((toxic[best] + 2) / (count[best] - toxic[best] + 2) * (labels == 0).sum() / labels.sum())
-    return row, odds
+class _Known:
+    """Documents and toxic documents of each bucket; a row for those met in KNOWN_FROM documents, the most frequent first, 0 for others."""
+
+    def __init__(self):
+        self.count, self.toxic = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
+
+    def add(self, buckets: np.ndarray, label: float) -> None:
+        once = np.unique(buckets)
+        self.count[once] += 1
+        if label:
+            self.toxic[once] += 1
+
+    def rows(self, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each bucket and log-odds of each row."""
+        best = np.argsort(-self.count, kind="stable")[: ROWS - 1]
+        best = best[self.count[best] >= KNOWN_FROM]
+        row, odds = np.zeros(BUCKETS, np.int32), np.zeros(ROWS)
+        row[best] = np.arange(1, len(best) + 1)
+        odds[1 : len(best) + 1] = np.log((self.toxic[best] + 2) / (self.count[best] - self.toxic[best] + 2) * (labels == 0).sum() / labels.sum())
+        return row, odds
 
 
 def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 512, seed: int = 7) -> Network:
@@ -219,13 +228,14 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 512,
     labels = np.asarray(labels, np.float32)
     rows = [t.encode() for t in texts]
     x = Inputs(np.frombuffer(b"".join(rows), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64))
-    owner = np.repeat(np.arange(len(rows)), np.diff(x.first))
-    net.word_row, word_odds = _known(owner, x.word[x.which], labels)
-    pairs = np.unique(owner * len(x.word) + x.which)
-    word, start = pairs % len(x.word), np.cumsum(x.count) - x.count
-    count = x.count[word]
-    place = np.repeat(start[word], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    net.gram_row, gram_odds = _known(np.repeat(pairs // len(x.word), count), x.gram[place], labels)
+    _BYTES.upto(1, shrink=True)
+    words, grams, start = _Known(), _Known(), np.cumsum(x.count) - x.count
+    for i, label in enumerate(labels):
+        own = np.unique(x.which[x.first[i] : x.first[i + 1]])
+        words.add(x.word[own], label)
+        if len(own):
+            grams.add(np.concatenate([x.gram[start[w] : start[w] + x.count[w]] for w in own]), label)
+    (net.word_row, word_odds), (net.gram_row, gram_odds) = words.rows(labels), grams.rows(labels)
     x.rows(net.word_row, net.gram_row)
     net.words[:, 0], net.grams[:, 0] = 0.3 * np.clip(word_odds, -1, 3), 0.3 * np.clip(gram_odds, -1, 3)
     strong = word_odds[x.word] > HIGH_ODDS
@@ -262,9 +272,9 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 512,
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 1200) -> Network:
+def train(docs: DataFrame, labels: DataFrame, most: int = 1000) -> Network:
     """Fit on at most `most` labelled documents per class that are not held out."""
-    sample = labelled_sample(docs, labels, "toxic", most, 1 << 14)
+    sample = labelled_sample(docs, labels, "toxic", most, 1 << 13)
     if sample["label"].nunique() < 2:
         raise ValueError("toxicity needs labelled documents of both classes")
     return fit(sample["text"].tolist(), sample["label"].to_numpy())
