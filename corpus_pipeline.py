@@ -1,11 +1,63 @@
-"""The corpus pipeline: each stage reads what its predecessor kept."""
+"""The corpus pipeline: toxicity, line dedup, near-dedup, decontamination, tokens.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and reads all that its predecessor kept.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trendloom.llm import byte_bpe, decontaminate, line_dedup, near_duplicates, toxicity
+from trendloom.llm.common import stored, table
+from trendloom.llm.queries import digest_tokens
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return docs.join(scored.where("predicted = 1").select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that stand earlier; n_chars follows the text."""
+    out = line_dedup.remove_repeated_lines(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: that of least doc_id."""
+    kept = near_duplicates.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.where("size(found) > 0").select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of ids and of the decoded bytes."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return digest_tokens(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("near dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("tokens", encode_tokens),
+]
+#: Trained, approximate and recursive stages have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each stage's result stored and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
