@@ -1,8 +1,9 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
 Each word is one step.  Its input joins a hashed word vector with the mean of
-hashed character n-gram vectors (3 to 5 bytes, word starts told apart); words and
-n-grams of fewer than `KNOWN_FROM` training documents share row 0, so that rare
+hashed character n-gram vectors (3 to 5 bytes, word starts told apart, and starts of 6
+to 10 bytes); words and
+n-grams of fewer than `KNOWN_SHARE` of the training documents share row 0, so that rare
 ones are not learnt by heart.  Two gated recurrent layers read a window of words in either direction, attention
 pools their states, and a logistic unit scores the window.  Windows of
 `WINDOW` words overlap by half and cover every word of a text; a document's
@@ -32,8 +33,8 @@ from .common import _BYTES, BYTE_CODES, TO_LOWER, Words, _ranges, slices
 from .labelled import is_held_out, labelled_sample
 
 WINDOW, STRIDE, HIDDEN, WIDTH = 32, 16, 8, 8
-BUCKETS, ROWS, KNOWN_FROM = 1 << 20, 1 << 15, 30
-GRAMS = (3, 4, 5)
+BUCKETS, ROWS, KNOWN_SHARE = 1 << 20, 1 << 15, 0.015
+GRAMS, STARTS = (3, 4, 5), (6, 7, 8, 10)
 THRESHOLD, HIGH_ODDS = 0.3, 2.3
 
 
@@ -51,8 +52,8 @@ class Inputs:
         self.word = (distinct % np.uint64(BUCKETS)).astype(np.int64)
         start, length = words.start[one], (words.end - words.start)[one]
         codes, rows, owner = BYTE_CODES[TO_LOWER[data]], [], []
-        for n in GRAMS:
-            count = np.maximum(length - n + 1, 0)
+        for n in GRAMS + STARTS:
+            count = np.maximum(length - n + 1, 0) if n in GRAMS else (length >= n).astype(np.int64)
             who = np.repeat(np.arange(len(distinct)), count)
             place = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
             begin = start[who] + place
@@ -201,7 +202,7 @@ class Network:
 
 
 class _Known:
-    """Documents and toxic documents of each bucket; a row for those met in KNOWN_FROM documents, the most frequent first, 0 for others."""
+    """Documents and toxic documents of each bucket; a row for those met in KNOWN_SHARE of all documents, the most frequent first, 0 for others."""
 
     def __init__(self):
         self.count, self.toxic = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
@@ -215,14 +216,14 @@ class _Known:
     def rows(self, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row of each bucket and log-odds of each row."""
         best = np.argsort(-self.count, kind="stable")[: ROWS - 1]
-        best = best[self.count[best] >= KNOWN_FROM]
+        best = best[self.count[best] >= max(4, KNOWN_SHARE * len(labels))]
         row, odds = np.zeros(BUCKETS, np.int32), np.zeros(ROWS)
         row[best] = np.arange(1, len(best) + 1)
         odds[1 : len(best) + 1] = np.log((self.toxic[best] + 2) / (self.count[best] - self.toxic[best] + 2) * (labels == 0).sum() / labels.sum())
         return row, odds
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 512, seed: int = 7) -> Network:
+def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, steps: int = 120, seed: int = 7) -> Network:
     """Train on texts labelled 0 or 1; the last step moves the border between the classes to THRESHOLD."""
     net, rng, state = Network(seed), np.random.default_rng(seed), {}
     labels = np.asarray(labels, np.float32)
@@ -256,6 +257,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 512,
         positive, negative = weight[chosen][y[chosen] == 1].sum(), weight[chosen][y[chosen] == 0].sum()
         weight = np.where(y == 1, max(1.0, 0.3 * negative / max(positive, 1)), 1).astype(np.float32)
         chosen = rng.permutation(chosen)
+        batch = min(512, max(32, len(chosen) // steps))
         for i in range(0, len(chosen), batch):
             b = chosen[i : i + batch]
             net.step(x, which[b], length[b], y[b], weight[b], state, 0.01 if epoch < epochs - 1 else 0.003)
