@@ -291,7 +291,7 @@ def q_collection_metrics_summary(s, d):
 
 
 def q_strip_html(s, d):
-    return _pages(s, d).select("page_id", F.xxhash64(strip_html(F.col("summary"))).isNotNull().alias("stripped"), strip_html(F.col("title")).alias("title"))
+    return _pages(s, d).select("page_id", F.sha2(strip_html(F.col("summary")), 256).alias("stripped_sha256"))
 
 
 def q_normalize_summary(s, d):
@@ -332,7 +332,28 @@ def q_exclude_known_words(s, d):
     return table(s, d, "documents").select("doc_id", "lang").join(table(s, d, "labels").where("quality = 0").select("doc_id"), "doc_id", "left_anti")
 
 
-_META = "strftime"
+_RESOLVED = "{0}"
+for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
+    _RESOLVED = f"replace({_RESOLVED}, '{_name}', '{_char}')"
+_STRIP = f"trim(regexp_replace({_RESOLVED}, '<[^>]+>', '', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))"
+_TITLE = _STRIP.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
+HEAT = f"""{DETECTED}, cells AS (SELECT keyword, datediff('day', DATE '2024-01-01', CAST(window_start AS DATE)) AS bucket, CAST(sum(current_mentions) AS BIGINT) AS mentions FROM trends WHERE datediff('day', DATE '2024-01-01', CAST(window_start AS DATE)) BETWEEN 0 AND 29 GROUP BY ALL),
+dense AS (SELECT k.keyword, b.bucket, coalesce(mentions, 0) AS current_mentions FROM (SELECT DISTINCT keyword FROM cells) k JOIN (SELECT unnest(range(30)) AS bucket) b ON true LEFT JOIN cells c ON c.keyword = k.keyword AND c.bucket = b.bucket),
+before AS (SELECT *, lag(current_mentions, 1, 0) OVER (PARTITION BY keyword ORDER BY bucket) AS prev_mentions FROM dense),
+rising AS (SELECT *, {_GROWTH.format("current_mentions", "prev_mentions")} AS growth FROM before),
+hot AS (SELECT *, {_SCORED.format("current_mentions")} FROM rising),
+heat AS (SELECT * FROM hot WHERE current_mentions > 0 AND (is_spike OR current_mentions >= 5 OR growth >= 0.15))"""
+SIGNALS = RELATIONS + f""", trends AS (SELECT provider, domain, {_W.format("10 minutes")} AS window_start, keyword, CAST(sum(keyword_count) AS BIGINT) AS n FROM kw WHERE {_W.format("10 minutes")} >= TIMESTAMP '2024-01-01' AND {_W.format("10 minutes")} < TIMESTAMP '2024-01-08' GROUP BY ALL),
+base AS (SELECT keyword, least(1.0, count(DISTINCT domain) / 4) AS domain_breadth, CAST(sum(n) AS BIGINT) AS frequency FROM (SELECT keyword, domain, sum(n) AS n FROM trends GROUP BY ALL HAVING sum(n) >= 10) GROUP BY keyword),
+chat AS (SELECT role, conv_id, turn, unnest(string_split({_CLEAN.format("text")}, ' ')) AS keyword FROM conversations),
+spoken AS (SELECT keyword, least(1.0, avg(n) / 5) AS repetition FROM (SELECT role, conv_id, turn, keyword, count(*) AS n FROM chat WHERE length(keyword) >= 2 AND regexp_full_match(keyword, '[가-힣]+|[a-z]+') GROUP BY ALL) GROUP BY keyword),
+steady AS (SELECT keyword, coalesce(greatest(0.0, least(1.0, 1 - stddev_samp(n) / avg(n))), 0.0) AS stability FROM trends GROUP BY keyword),
+near AS (SELECT keyword, least(1.0, count(DISTINCT partner) / 50) AS cooccurrence_breadth FROM (SELECT keyword_a AS keyword, keyword_b AS partner FROM relations UNION SELECT keyword_b, keyword_a FROM relations) GROUP BY keyword),
+signals AS (SELECT base.keyword, domain_breadth, frequency, coalesce(repetition, 0.0) AS repetition, coalesce(stability, 0.0) AS stability, coalesce(cooccurrence_breadth, 0.0) AS cooccurrence_breadth, length(base.keyword) <= 2 AS short_word
+  FROM base LEFT JOIN spoken ON base.keyword = spoken.keyword LEFT JOIN steady ON base.keyword = steady.keyword LEFT JOIN near ON base.keyword = near.keyword)"""
+MINED = f"""WITH {ART}, toks AS (SELECT url, domain, pos, words[pos] AS token FROM (SELECT url, domain, words, unnest(range(1, len(words) + 1)) AS pos FROM (SELECT url, domain, string_split({_CLEAN.format("article_text")}, ' ') AS words FROM texts)) WHERE words[pos] <> ''),
+leads AS (SELECT url, domain, token, lead(token, 1) OVER w AS t1, lead(token, 2) OVER w AS t2, lead(token, 3) OVER w AS t3 FROM toks WINDOW w AS (PARTITION BY url ORDER BY pos)),
+runs AS (SELECT url, domain, token || t1 AS word FROM leads WHERE t1 IS NOT NULL UNION ALL SELECT url, domain, token || t1 || t2 FROM leads WHERE t2 IS NOT NULL UNION ALL SELECT url, domain, token || t1 || t2 || t3 FROM leads WHERE t3 IS NOT NULL)"""
 _ALL = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}
 SQL = {
     "clean_text": f"WITH {ART} SELECT doc_id, {_CLEAN.format('article_text')} AS clean FROM texts",
@@ -379,5 +400,13 @@ SQL = {
     "backfill_windows": f"{TRENDS} SELECT provider, domain, {_F.format('window_start')} AS window_start, keyword, keyword_count FROM trends WHERE (provider, domain, window_start) IN (SELECT (provider, domain, {_W.format('10 minutes')}) FROM texts WHERE contains(regexp_replace(article_text, '\\s+', '', 'g'), 'this'))",
     "backfill_counts": f"{KW}, hit AS (SELECT * FROM texts WHERE contains(regexp_replace(article_text, '\\s+', '', 'g'), 'this')) SELECT (SELECT count(*) FROM hit) AS articles, (SELECT count(*) FROM kw WHERE url IN (SELECT url FROM hit)) AS keywords, (SELECT count(*) FROM (SELECT DISTINCT provider, domain, {_W.format('10 minutes')} FROM hit)) AS windows",
     "purge_stopword": f"{RELATIONS}, trends AS (SELECT provider, domain, {_W.format('10 minutes')} AS w, keyword FROM kw GROUP BY ALL) SELECT 'keywords' AS name, count(*) AS removed FROM kw WHERE keyword = 'the' UNION ALL SELECT 'trends', count(*) FROM trends WHERE keyword = 'the' UNION ALL SELECT 'relations', count(*) FROM relations WHERE keyword_a = 'the' OR keyword_b = 'the'",
+    "strip_html": f"SELECT page_id, sha256({_STRIP.format('html')}) AS stripped_sha256 FROM pages",
+    "normalize_summary": f"SELECT page_id, CASE WHEN regexp_matches({_TITLE}, '[A-Za-z0-9가-힣]') THEN trim(regexp_replace({_TITLE}, '\\s+', ' ', 'g')) END AS summary FROM pages",
+    "validate_reject_reason": f"SELECT page_id, CASE WHEN page_id % 5 = 0 OR trim({_TITLE}) = '' THEN 'missing title' WHEN page_id % 7 = 0 OR trim(url) = '' OR url IS NULL THEN 'missing url' END AS reason FROM pages",
+    "heatmap_events": f"{HEAT} SELECT keyword, bucket, current_mentions, prev_mentions, growth, is_spike, event_score FROM heat",
+    "heatmap_matrix": f"{HEAT} SELECT keyword, bucket + d AS bucket, max(least(1.0, greatest(0.12, growth)) * CASE WHEN d = 0 THEN 1.0 ELSE 0.45 END) AS value FROM heat, (VALUES (-1), (0), (1)) v(d) WHERE bucket + d BETWEEN 0 AND 29 GROUP BY keyword, bucket + d",
+    "stopword_signals": f"{SIGNALS} SELECT * FROM signals",
+    "stopword_scores": f"{SIGNALS} SELECT keyword, frequency, round(domain_breadth * 0.30 + repetition * 0.20 + stability * 0.25 + cooccurrence_breadth * 0.15 + CAST(short_word AS INTEGER) * 0.10, 4) AS score FROM (SELECT * FROM signals ORDER BY domain_breadth DESC, frequency DESC, keyword LIMIT 500) WHERE round(domain_breadth * 0.30 + repetition * 0.20 + stability * 0.25 + cooccurrence_breadth * 0.15 + CAST(short_word AS INTEGER) * 0.10, 4) >= 0.45",
+    "compound_candidates": f"{MINED} SELECT domain, word, count(*) AS frequency, count(DISTINCT url) AS doc_count FROM runs WHERE length(word) >= 4 GROUP BY ALL HAVING count(*) >= 5",
 }
 QUERIES = _ALL
