@@ -7,9 +7,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, normalize_summary, strip_html
+from ..functions.text import clean_text, decide, normalize_summary, strip_html
 from ..operators import dictionary, events, ingest, keywords, merge
 from ..sources.fixtures import articles_from_conversations, articles_from_documents, keyword_stream_from_events, table
+from ..schemas import METADATA
 from . import serving
 
 START, END = datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 14)
@@ -332,6 +333,44 @@ def q_exclude_known_words(s, d):
     return table(s, d, "documents").select("doc_id", "lang").join(table(s, d, "labels").where("quality = 0").select("doc_id"), "doc_id", "left_anti")
 
 
+def q_parse_defaults(s, d):
+    rows = table(s, d, "documents").select(F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("provider"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("domain"), F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("url"), F.when(F.col("doc_id") % 5 == 0, F.lit("s")).alias("summary"), F.lit("d").alias("description"), F.struct(F.lit("q").alias("query")).alias("metadata"))
+    out = ingest.fill_defaults(ingest.parse_articles(rows.select(F.to_json(F.struct("*")).alias("value"))))
+    return out.select("url", "provider", "domain", "query", "summary")
+
+
+def q_tokenize(s, d):
+    known = table(s, d, "benchmark").select(F.explode(F.split(clean_text(F.col("text")), " ")).alias("word"), F.lit("all").alias("domain")).where("length(word) between 2 and 3").distinct()
+    docs = _docs(s, d)
+    out = keywords.tokenize(docs, stopwords=keywords.scoped_words(known, docs.select("domain").distinct()))
+    return out.select("url", F.size("tokens").cast("long").alias("n_tokens"))
+
+
+def _candidates(s, d):
+    n = _kw(s, d).groupBy("domain", F.col("keyword").alias("word")).agg(F.sum("keyword_count").alias("frequency"), F.count("*").alias("doc_count"))
+    seen = F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz")
+    days = lambda c: F.make_dt_interval(days=(F.col("frequency") % c).cast("int"))
+    return n.withColumns({"status": F.when(F.col("frequency") % 2 == 0, "needs_review").otherwise("rejected"), "last_seen_at": seen - days(4), "auto_checked_at": F.when(F.col("frequency") % 3 > 0, seen - days(7)), "auto_decision": F.when(F.col("frequency") % 5 == 0, "api_error").otherwise("low_confidence")})
+
+
+def q_review_queue(s, d):
+    return dictionary.review_queue(_candidates(s, d), F.lit(END.replace(day=10)).cast("timestamp_ntz"), 100).select("word", "domain", "frequency", "doc_count")
+
+
+def q_candidate_decision(s, d):
+    rows = _candidates(s, d)
+    found, total, hit = F.col("frequency") % 7 != 0, F.col("frequency") % 6, F.col("doc_count") % 4 != 0
+    return rows.select("word", "domain", decide(found, total, hit, F.concat(F.col("word"), F.when(F.col("frequency") % 2 == 0, "가").otherwise("")), F.lit(False), F.col("doc_count"), F.col("frequency")).alias("decision"))
+
+
+def q_dead_letter_routing(s, d):
+    rows = _pages(s, d).select("page_id", "provider", "domain", "url", F.when(F.col("page_id") % 9 > 0, F.lit("t")).alias("title"), F.lit("2024").alias("ingested_at"), F.lit(None).cast(METADATA).alias("metadata"))
+    payload = F.struct(*(F.col(c) for c in ("provider", "domain", "url", "title", "ingested_at", "metadata")))
+    records = rows.select("page_id", payload.alias("payload"), (F.col("page_id") % 5).alias("attempt"), (F.col("page_id") % 3 > 0).alias("delivered"))
+    seen = rows.where("page_id % 4 = 0").select("provider", "domain", "url")
+    return ingest.route_dead_letters(records, seen).select("page_id", "outcome", "next_attempt")
+
+
 _RESOLVED = "{0}"
 for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
     _RESOLVED = f"replace({_RESOLVED}, '{_name}', '{_char}')"
@@ -354,6 +393,7 @@ signals AS (SELECT base.keyword, domain_breadth, frequency, coalesce(repetition,
 MINED = f"""WITH {ART}, toks AS (SELECT url, domain, pos, words[pos] AS token FROM (SELECT url, domain, words, unnest(range(1, len(words) + 1)) AS pos FROM (SELECT url, domain, string_split({_CLEAN.format("article_text")}, ' ') AS words FROM texts)) WHERE words[pos] <> ''),
 leads AS (SELECT url, domain, token, lead(token, 1) OVER w AS t1, lead(token, 2) OVER w AS t2, lead(token, 3) OVER w AS t3 FROM toks WINDOW w AS (PARTITION BY url ORDER BY pos)),
 runs AS (SELECT url, domain, token || t1 AS word FROM leads WHERE t1 IS NOT NULL UNION ALL SELECT url, domain, token || t1 || t2 FROM leads WHERE t2 IS NOT NULL UNION ALL SELECT url, domain, token || t1 || t2 || t3 FROM leads WHERE t3 IS NOT NULL)"""
+CANDIDATES = KW + ", cand AS (SELECT domain, keyword AS word, CAST(sum(keyword_count) AS BIGINT) AS frequency, count(*) AS doc_count FROM kw GROUP BY ALL)"
 _ALL = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}
 SQL = {
     "clean_text": f"WITH {ART} SELECT doc_id, {_CLEAN.format('article_text')} AS clean FROM texts",
@@ -400,6 +440,11 @@ SQL = {
     "backfill_windows": f"{TRENDS} SELECT provider, domain, {_F.format('window_start')} AS window_start, keyword, keyword_count FROM trends WHERE (provider, domain, window_start) IN (SELECT (provider, domain, {_W.format('10 minutes')}) FROM texts WHERE contains(regexp_replace(article_text, '\\s+', '', 'g'), 'this'))",
     "backfill_counts": f"{KW}, hit AS (SELECT * FROM texts WHERE contains(regexp_replace(article_text, '\\s+', '', 'g'), 'this')) SELECT (SELECT count(*) FROM hit) AS articles, (SELECT count(*) FROM kw WHERE url IN (SELECT url FROM hit)) AS keywords, (SELECT count(*) FROM (SELECT DISTINCT provider, domain, {_W.format('10 minutes')} FROM hit)) AS windows",
     "purge_stopword": f"{RELATIONS}, trends AS (SELECT provider, domain, {_W.format('10 minutes')} AS w, keyword FROM kw GROUP BY ALL) SELECT 'keywords' AS name, count(*) AS removed FROM kw WHERE keyword = 'the' UNION ALL SELECT 'trends', count(*) FROM trends WHERE keyword = 'the' UNION ALL SELECT 'relations', count(*) FROM relations WHERE keyword_a = 'the' OR keyword_b = 'the'",
+    "parse_defaults": "SELECT 'doc://' || doc_id AS url, CASE WHEN doc_id % 2 = 0 THEN source ELSE 'naver' END AS provider, CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'ai_tech' END AS domain, 'q' AS query, CASE WHEN doc_id % 5 = 0 THEN 's' ELSE 'd' END AS summary FROM documents",
+    "tokenize": f"{KW}, stop AS (SELECT DISTINCT word FROM (SELECT unnest(string_split({_CLEAN.format('text')}, ' ')) AS word FROM benchmark) WHERE length(word) BETWEEN 2 AND 3) SELECT t.url, CAST(coalesce(sum(keyword_count), 0) AS BIGINT) AS n_tokens FROM texts t LEFT JOIN (SELECT * FROM kw WHERE keyword NOT IN (SELECT word FROM stop)) k ON k.url = t.url GROUP BY t.url",
+    "review_queue": f"{CANDIDATES}, q AS (SELECT *, TIMESTAMP '2024-01-10' - to_days(CAST(frequency % 4 AS INTEGER)) AS seen, CASE WHEN frequency % 3 > 0 THEN TIMESTAMP '2024-01-10' - to_days(CAST(frequency % 7 AS INTEGER)) END AS checked FROM cand) SELECT word, domain, frequency, doc_count FROM q WHERE frequency % 2 = 0 AND (checked IS NULL OR checked < TIMESTAMP '2024-01-07 14:00:00' OR seen > checked OR frequency % 5 = 0) ORDER BY frequency DESC, doc_count DESC, seen DESC, word, domain LIMIT 100",
+    "candidate_decision": f"{CANDIDATES} SELECT word, domain, CASE WHEN frequency % 7 = 0 THEN 'api_error' WHEN frequency % 6 = 0 THEN 'no_search_results' WHEN doc_count % 4 = 0 THEN 'no_exact_match' WHEN frequency % 2 = 1 THEN 'low_confidence' WHEN doc_count >= 3 AND frequency >= 5 AND CAST(frequency AS DOUBLE) / doc_count <= 8 THEN 'high_confidence' ELSE 'needs_manual_review' END AS decision FROM cand",
+    "dead_letter_routing": "SELECT page_id, o AS outcome, CASE WHEN o = 'retry' THEN page_id % 5 + 1 ELSE page_id % 5 END AS next_attempt FROM (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN 'permanent' WHEN page_id % 5 + 1 > 3 THEN 'permanent' WHEN page_id % 4 = 0 THEN 'skipped' WHEN page_id % 3 > 0 THEN 'replayed' ELSE 'retry' END AS o FROM pages)",
     "strip_html": f"SELECT page_id, sha256({_STRIP.format('html')}) AS stripped_sha256 FROM pages",
     "normalize_summary": f"SELECT page_id, CASE WHEN regexp_matches({_TITLE}, '[A-Za-z0-9가-힣]') THEN trim(regexp_replace({_TITLE}, '\\s+', ' ', 'g')) END AS summary FROM pages",
     "validate_reject_reason": f"SELECT page_id, CASE WHEN page_id % 5 = 0 OR trim({_TITLE}) = '' THEN 'missing title' WHEN page_id % 7 = 0 OR trim(url) = '' OR url IS NULL THEN 'missing url' END AS reason FROM pages",
