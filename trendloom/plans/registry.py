@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from ..sources.fixtures import articles_from_conversations, articles_from_docume
 from ..schemas import METADATA
 from . import serving
 
-START, END = datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 14)
+START, END = datetime(2024, 1, 1, 2), datetime(2024, 1, 1, 4)
 DAY = "1 day"
 
 
@@ -92,9 +92,9 @@ lagged AS (SELECT *, window_start + INTERVAL 1 DAY AS window_end, lag(current_me
 grown AS (SELECT *, {_GROWTH.format("current_mentions", "prev_mentions")} AS growth FROM lagged),
 scored AS (SELECT *, {_SCORED.format("current_mentions")} FROM grown),
 found AS (SELECT *, window_end AS event_time FROM scored WHERE current_mentions > 0 AND (is_spike OR current_mentions >= 5 OR growth >= 0.15))"""
-_RANGE = "{0} >= TIMESTAMP '2024-01-01 08:00:00' AND {0} < TIMESTAMP '2024-01-01 14:00:00'"
-_BEFORE = "{0} >= TIMESTAMP '2024-01-01 02:00:00' AND {0} < TIMESTAMP '2024-01-01 08:00:00'"
-_B30 = "time_bucket(INTERVAL 30 minutes, {0}, TIMESTAMP '2024-01-01 08:00:00')"
+_RANGE = "{0} >= TIMESTAMP '2024-01-01 02:00:00' AND {0} < TIMESTAMP '2024-01-01 04:00:00'"
+_BEFORE = "{0} >= TIMESTAMP '2024-01-01 00:00:00' AND {0} < TIMESTAMP '2024-01-01 02:00:00'"
+_B30 = "time_bucket(INTERVAL 30 minutes, {0}, TIMESTAMP '2024-01-01 02:00:00')"
 _EVENT_COLUMNS = f"provider, domain, keyword, {_F.format('window_start')} AS window_start, {_F.format('window_end')} AS window_end, current_mentions, prev_mentions, growth, is_spike, event_score, {_F.format('event_time')} AS event_time"
 TOTALS = TRENDS + f", totals AS (SELECT keyword, CAST(sum(CASE WHEN {_RANGE.format('window_start')} THEN keyword_count ELSE 0 END) AS BIGINT) AS mentions, CAST(sum(CASE WHEN {_BEFORE.format('window_start')} THEN keyword_count ELSE 0 END) AS BIGINT) AS previous_mentions FROM trends WHERE {_RANGE.format('window_start')} OR {_BEFORE.format('window_start')} GROUP BY keyword)"
 OVERVIEW = TOTALS + f""", candidates AS (SELECT keyword FROM totals WHERE mentions > 0 ORDER BY mentions DESC, keyword LIMIT 80),
@@ -102,7 +102,7 @@ buckets AS (SELECT keyword, {_B30.format("event_time")} AS b, sum(keyword_count)
 ow AS (SELECT keyword, CAST(sum(CASE WHEN {_RANGE.format("b")} THEN m ELSE 0 END) AS BIGINT) AS mentions, CAST(sum(CASE WHEN {_BEFORE.format("b")} THEN m ELSE 0 END) AS BIGINT) AS previous_mentions, CAST(sum(CASE WHEN {_RANGE.format("b")} THEN a ELSE 0 END) AS BIGINT) AS article_count FROM buckets GROUP BY keyword),
 og AS (SELECT *, {_GROWTH.format("mentions", "previous_mentions")} AS growth FROM ow WHERE mentions > 0),
 os AS (SELECT *, {_SCORED.format("mentions")} FROM og)"""
-SERIES = f"WITH RECURSIVE spine(b) AS (SELECT TIMESTAMP '2024-01-01 08:00:00' UNION ALL SELECT b + INTERVAL 30 minutes FROM spine WHERE b < TIMESTAMP '2024-01-01 13:30:00'), "
+SERIES = f"WITH RECURSIVE spine(b) AS (SELECT TIMESTAMP '2024-01-01 02:00:00' UNION ALL SELECT b + INTERVAL 30 minutes FROM spine WHERE b < TIMESTAMP '2024-01-01 03:30:00'), "
 
 
 def q_clean_text(s, d):
@@ -442,7 +442,7 @@ SQL = {
     "purge_stopword": f"{RELATIONS}, trends AS (SELECT provider, domain, {_W.format('10 minutes')} AS w, keyword FROM kw GROUP BY ALL) SELECT 'keywords' AS name, count(*) AS removed FROM kw WHERE keyword = 'the' UNION ALL SELECT 'trends', count(*) FROM trends WHERE keyword = 'the' UNION ALL SELECT 'relations', count(*) FROM relations WHERE keyword_a = 'the' OR keyword_b = 'the'",
     "parse_defaults": "SELECT 'doc://' || doc_id AS url, CASE WHEN doc_id % 2 = 0 THEN source ELSE 'naver' END AS provider, CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'ai_tech' END AS domain, 'q' AS query, CASE WHEN doc_id % 5 = 0 THEN 's' ELSE 'd' END AS summary FROM documents",
     "tokenize": f"{KW}, stop AS (SELECT DISTINCT word FROM (SELECT unnest(string_split({_CLEAN.format('text')}, ' ')) AS word FROM benchmark) WHERE length(word) BETWEEN 2 AND 3) SELECT t.url, CAST(coalesce(sum(keyword_count), 0) AS BIGINT) AS n_tokens FROM texts t LEFT JOIN (SELECT * FROM kw WHERE keyword NOT IN (SELECT word FROM stop)) k ON k.url = t.url GROUP BY t.url",
-    "review_queue": f"{CANDIDATES}, q AS (SELECT *, TIMESTAMP '2024-01-10' - to_days(CAST(frequency % 4 AS INTEGER)) AS seen, CASE WHEN frequency % 3 > 0 THEN TIMESTAMP '2024-01-10' - to_days(CAST(frequency % 7 AS INTEGER)) END AS checked FROM cand) SELECT word, domain, frequency, doc_count FROM q WHERE frequency % 2 = 0 AND (checked IS NULL OR checked < TIMESTAMP '2024-01-07 14:00:00' OR seen > checked OR frequency % 5 = 0) ORDER BY frequency DESC, doc_count DESC, seen DESC, word, domain LIMIT 100",
+    "review_queue": f"{CANDIDATES}, q AS (SELECT *, TIMESTAMP '2024-01-10' - to_days(CAST(frequency % 4 AS INTEGER)) AS seen, CASE WHEN frequency % 3 > 0 THEN TIMESTAMP '2024-01-10' - to_days(CAST(frequency % 7 AS INTEGER)) END AS checked FROM cand) SELECT word, domain, frequency, doc_count FROM q WHERE frequency % 2 = 0 AND (checked IS NULL OR checked < TIMESTAMP '2024-01-07 04:00:00' OR seen > checked OR frequency % 5 = 0) ORDER BY frequency DESC, doc_count DESC, seen DESC, word, domain LIMIT 100",
     "candidate_decision": f"{CANDIDATES} SELECT word, domain, CASE WHEN frequency % 7 = 0 THEN 'api_error' WHEN frequency % 6 = 0 THEN 'no_search_results' WHEN doc_count % 4 = 0 THEN 'no_exact_match' WHEN frequency % 2 = 1 THEN 'low_confidence' WHEN doc_count >= 3 AND frequency >= 5 AND CAST(frequency AS DOUBLE) / doc_count <= 8 THEN 'high_confidence' ELSE 'needs_manual_review' END AS decision FROM cand",
     "dead_letter_routing": "SELECT page_id, o AS outcome, CASE WHEN o = 'retry' THEN page_id % 5 + 1 ELSE page_id % 5 END AS next_attempt FROM (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN 'permanent' WHEN page_id % 5 + 1 > 3 THEN 'permanent' WHEN page_id % 4 = 0 THEN 'skipped' WHEN page_id % 3 > 0 THEN 'replayed' ELSE 'retry' END AS o FROM pages)",
     "strip_html": f"SELECT page_id, sha256({_STRIP.format('html')}) AS stripped_sha256 FROM pages",
