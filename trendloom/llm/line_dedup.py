@@ -8,8 +8,8 @@ earlier; lines are judged on the input, not on what is left.  Lines of fewer tha
 
 Equal lines are found first, by a 128-bit hash.  Two lines within one edit agree
 in the first or the last half of the shorter one, so lines whose halves no other
-line has cannot have a neighbour.  The rest emit their deletion variants as hashed
-keys: lines within a substitution share a variant and its position, lines within an
+line has cannot have a neighbour.  The rest emit the deletion variants outside the
+shared half as hashed keys: lines within a substitution share a variant and its position, lines within an
 insertion share a variant of one with the other as a whole.  Minima of the first
 places per key, never pairs, find for each line the earliest neighbour; the edit
 distance to it is then verified on the texts.
@@ -48,18 +48,16 @@ def _halves(line: Column, n: Column) -> Column:
     return F.array(half(n, 0), half(n, 1), half(n - 1, 0), half(n - 1, 1))
 
 
-def _variants(line: Column, n: Column) -> Column:
-    """(key, whole): the line itself, and the line without character i, alone and with i."""
+def _variants(line: Column, n: Column, head: Column, tail: Column) -> Column:
+    """(key, kind): the line itself, and the line without character i, alone and with i; past a shared head or before a shared tail only."""
+    h = F.floor((n - 1) / 2).cast("int")
 
-    def without(i: Column) -> Column:
-        return F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, n))
+    def keys(i: Column) -> Column:
+        variant = F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, n))
+        return F.flatten(F.transform(F.array(F.xxhash64(F.lit(0), variant)), lambda k: F.array(F.struct(k.alias("key"), F.lit("part").alias("kind")), F.struct(F.xxhash64(i, k).alias("key"), F.lit("same place").alias("kind")))))
 
-    deleted = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: _named(without(i), i)))
-    return F.concat(F.array(F.struct(F.xxhash64(F.lit(0), line).alias("key"), F.lit("whole").alias("kind"))), deleted)
-
-
-def _named(variant: Column, i: Column) -> Column:
-    return F.array(F.struct(F.xxhash64(F.lit(0), variant).alias("key"), F.lit("part").alias("kind")), F.struct(F.xxhash64(i, variant).alias("key"), F.lit("same place").alias("kind")))
+    places = F.sequence(F.when(tail, F.lit(1)).otherwise(h + 1), F.when(head, n).otherwise(n - h))
+    return F.concat(F.array(F.struct(F.xxhash64(F.lit(0), line).alias("key"), F.lit("whole").alias("kind"))), F.flatten(F.transform(places, keys)))
 
 
 def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -71,22 +69,22 @@ def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHA
     lines = stored(lines, "lines")
     distinct = lines.groupBy("h0", "h1").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
     distinct = stored(distinct, "distinct")
-    keys = distinct.select("h0", "h1", F.explode("halves").alias("half"))
+    keys = distinct.select("h0", "h1", F.posexplode("halves").alias("nth", "half"))
     shared = keys.groupBy("half").agg(F.min("h0").alias("low"), F.max("h0").alias("high"), F.min("h1").alias("low1"), F.max("h1").alias("high1")).where("low <> high or low1 <> high1").select("half")
-    near = keys.join(shared, "half", "left_semi").select("h0", "h1").distinct().join(distinct, ["h0", "h1"]).select("first")
-    near = near.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_set("first.at").alias("places"))
+    sides = keys.join(shared, "half", "left_semi").groupBy("h0", "h1").agg(F.max(F.col("nth") % 2 == 0).alias("head"), F.max(F.col("nth") % 2 == 1).alias("tail"))
+    near = sides.join(distinct, ["h0", "h1"]).groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_set(F.struct("first.at", "head", "tail")).alias("places"))
     # texts of the lines that may have neighbours, read at their first places
     texts = docs.where(F.col(text).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(near.hint("shuffle_hash"), "doc_id")
-    texts = texts.select("doc_id", "places", F.split("text", "\n").alias("parts")).select("doc_id", F.explode(F.transform("places", lambda p: F.struct(p.alias("at"), _stripped(F.get("parts", p)).alias("line")))).alias("x"))
-    texts = stored(texts.select(F.struct("doc_id", F.col("x.at").alias("at")).alias("first"), F.col("x.line").alias("line")).where(F.char_length("line") >= min_chars).distinct(), "texts")
-    found = texts.select("first", F.explode(_variants(F.col("line"), F.char_length("line"))).alias("v")).select("first", "v.key", "v.kind")
+    texts = texts.select("doc_id", "places", F.split("text", "\n").alias("parts")).select("doc_id", F.explode(F.transform("places", lambda p: F.struct(p["at"].alias("at"), p["head"].alias("head"), p["tail"].alias("tail"), _stripped(F.get("parts", p["at"])).alias("line")))).alias("x"))
+    texts = stored(texts.select(F.struct("doc_id", F.col("x.at").alias("at")).alias("first"), "x.line", "x.head", "x.tail").where(F.char_length("line") >= min_chars).distinct(), "texts")
+    found = texts.select("first", F.explode(_variants(F.col("line"), F.char_length("line"), F.col("head"), F.col("tail"))).alias("v")).select("first", "v.key", "v.kind")
     groups = found.groupBy("key").agg(
         F.min(F.when(F.col("kind") == "whole", F.col("first"))).alias("whole"), F.min(F.when(F.col("kind") == "part", F.col("first"))).alias("part"), F.min(F.when(F.col("kind") == "same place", F.col("first"))).alias("same")
     )
     source = F.when(F.col("kind") == "whole", F.col("part")).when(F.col("kind") == "part", F.col("whole")).otherwise(F.col("same"))
     pairs = found.join(groups, "key").select("first", source.alias("source")).where("source < first").groupBy("first").agg(F.min("source").alias("source"))
     known = texts.select(F.col("first").alias("source"), F.col("line").alias("earlier"))
-    edited = pairs.join(texts, "first").join(known, "source").where((F.levenshtein("line", "earlier", 1) >= 0)).select("first", F.lit(True).alias("edited"))
+    edited = pairs.join(texts.select("first", "line"), "first").join(known, "source").where((F.levenshtein("line", "earlier", 1) >= 0)).select("first", F.lit(True).alias("edited"))
     gone = distinct.join(edited, "first", "left").where("n > 1 or edited").select("h0", "h1", "first", "edited")
     hits = lines.select("doc_id", "at", "h0", "h1").join(gone, ["h0", "h1"]).where("edited or first <> struct(doc_id, at)")
     return hits.groupBy("doc_id").agg(F.collect_set("at").alias("gone"))
