@@ -101,6 +101,32 @@ def test_large_near_group_is_one_component(spark):
     assert sum(r.kept for r in got) == 1
 
 
+def test_large_near_groups_without_base_and_chains(spark):
+    """Many pairs of copies whose common base is absent, and a chain of edited copies, in nodes larger than `small`."""
+    rng, texts = random.Random(4), []
+
+    def edited(words, places, mark):
+        return [f"{mark}{p}" if p in places else w for p, w in enumerate(words)]
+
+    base = _words(rng, 400)
+    for f in range(120):
+        text = edited(base, rng.sample(range(400), 3), f"f{f}x")
+        texts += [text, edited(text, [rng.randrange(400)], f"f{f}y")]
+    chain = _words(rng, 400)
+    for c in range(30):
+        chain = edited(chain, rng.sample(range(400), 2), f"c{c}x")
+        texts.append(chain)
+    sets, label = [{tuple(t[p : p + 3]) for p in range(len(t) - 2)} for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 95 * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs, 3, 95).collect()}
+    assert [got[i] for i in range(len(texts))] == label
+
+
 def _levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

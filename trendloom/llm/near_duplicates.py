@@ -8,10 +8,13 @@ on by minwise tokens that the node's key chooses, 1/similarity of them on
 average (the chosen-path branching of Christiani and Pagh).  Nodes of at most
 `small` classes are compared exhaustively, larger nodes branch again.  Classes
 that still share a large node at the last level agree in `levels` chosen tokens;
-each is compared with two hubs of the node, the one that met the most classes in
-all trees (of a text and its edited copies, the text) and one by chance, so the
-work stays linear in a node's size.  Components need one link to a group, not all
-pairs in it; no node is cut and no class is left out.
+each is first compared with two hubs of the node, the one that met the most classes
+in all trees (of a text and its edited copies, the text) and one by chance.  What
+the links so far leave in different components of a large node is then compared
+exhaustively on full sets: nodes with the same largest component make one group, and
+a group is dealt into cells of about `BLOCK` by `BLOCK` classes (fewer, if sets are long).
+Components need one link to a group, not all pairs in it; no node is cut and no
+class or pair of a node is left out.
 
 Candidates pass a size bound and a bound on equal sketch tokens that a pair at
 the threshold fails with a chance below 1e-5; links are confirmed on full sets.
@@ -28,13 +31,13 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import TO_LOWER, Words, as_long, mix, slices, stored
 from .components import connected_components
 
-SKETCH = 32
+SKETCH, BLOCK, BLOCK_SHINGLES = 32, 256, 1 << 19
 _SALT = mix(np.arange(1, SKETCH + 3, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 _LOW_BITS = 0x0101010101010101
 
@@ -132,6 +135,40 @@ def _confirm(percent: int):
     return run
 
 
+def _compare_cell(percent: int):
+    """Links between rows of different labels, crossing rows with all of a cell; as many as join what they can join."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        ids, labels, main, crossing = (cell.column(c).to_numpy() for c in ("id", "label", "main", "crossing"))
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in cell.column("members").combine_chunks()]
+        xs, ys, links, parent = np.flatnonzero(crossing), np.flatnonzero(~crossing), [], {}
+        if len(xs) and len(ys):
+            n = np.array([len(v) for v in sets])
+            distinct, token = np.unique(np.concatenate([sets[y] for y in ys]), return_inverse=True)
+            start = np.cumsum(n[ys]) - n[ys]
+
+            def root(v: int) -> int:
+                while (up := parent.get(v, v)) != v:
+                    v = up
+                return v
+
+            for x in xs:
+                at = np.minimum(np.searchsorted(distinct, sets[x]), len(distinct) - 1)
+                held = np.zeros(len(distinct), np.int64)
+                held[at[distinct[at] == sets[x]]] = 1
+                shared = np.add.reduceat(held[token], start)
+                near = 100 * shared >= percent * (n[x] + n[ys] - shared)
+                for y in ys[near & (labels[ys] != labels[x]) & ((labels[ys] == main[ys]) | (ids[x] < ids[ys]))]:
+                    p, q = root(labels[x]), root(labels[y])
+                    if p != q:
+                        parent[max(p, q)] = min(p, q)
+                        links.append(sorted((ids[x], ids[y])))
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table({"a": a, "b": b})
+
+    return run
+
+
 def least_equal_tokens(similarity: float, miss: float = 1e-5) -> int:
     """Most equal sketch tokens that a pair of this similarity has, but for a chance of `miss`."""
     tail, m = 0.0, 0
@@ -194,12 +231,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
     star = large.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
     candidates = stored(found.union(star).groupBy("a", "b").agg(F.max("equal").alias("equal")), "pairs")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        some = texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_full_sets(shingle), "id long, members binary")
-        return stored(some.groupBy("id").agg(F.max("members").alias("members")), "sets")
+    ids = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).union(large.select("id")).distinct()
+    sets = texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_full_sets(shingle), "id long, members binary")
+    sets = stored(sets.groupBy("id").agg(F.max("members").alias("members")), "sets")
 
-    def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame) -> DataFrame:
         x, y = (sets.select(F.col("id").alias(s), F.col("members").alias(f"members_{s}")) for s in "ab")
         return pairs.join(x, "a").join(y, "b").select("a", "b", "members_a", "members_b").mapInArrow(_confirm(percent), "a long, b long")
 
@@ -209,13 +245,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
             pairs = pairs.join(labels.select(F.col("id").alias(s), F.col("label").alias(f"label_{s}")), s, "left").withColumn(f"label_{s}", F.coalesce(f"label_{s}", s))
         return pairs.where("label_a <> label_b").select("a", "b")
 
-    sets = sets_of(candidates)
     likely = candidates.groupBy("b").agg(F.max_by("a", F.struct("equal", -F.col("a"))).alias("a")).select("a", "b")
-    links = stored(confirmed(likely, sets), "confirmed")
+    links = stored(confirmed(likely), "confirmed")
     labels = connected_components(links)
-    links = stored(links.union(confirmed(labelled(candidates.join(likely, ["a", "b"], "left_anti"), labels), sets)), "confirmed")
+    links = stored(links.union(confirmed(labelled(candidates.join(likely, ["a", "b"], "left_anti"), labels))), "confirmed")
     labels = connected_components(links)
 
+    member = large.select("key", "id", "n").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    parts = member.groupBy("key", "label").agg(F.count("*").alias("size"))
+    mixed = parts.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
+    member = stored(member.join(mixed, "key").select("main", "id", "n", "label").distinct(), "mixed")
+    outside = F.col("label") != F.col("main")
+
+    def strips(some: Column) -> Column:
+        return F.ceil(F.greatest(F.count(F.when(some, 1)) / BLOCK, F.sum(F.when(some, F.col("n"))) / BLOCK_SHINGLES))
+
+    cells = member.groupBy("main").agg(strips(outside).alias("down"), strips(F.lit(True)).alias("across"))
+
+    def dealt(rows: DataFrame, own: str, copied: str, count: str, copies: str) -> DataFrame:
+        """Rows in one of `count` strips by their id, once for each of `copies` crossing strips."""
+        rows = rows.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), count)).withColumn(copied, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)))
+        return rows.select("main", "i", "j", "id", "label", F.lit(own == "i").alias("crossing"))
+
+    member = member.join(cells, "main")
+    member = dealt(member.where(outside), "i", "j", "down", "across").union(dealt(member, "j", "i", "across", "down"))
+    late = stored(member.join(sets, "id").groupBy("main", "i", "j").applyInArrow(_compare_cell(percent), "a long, b long"), "late")
+    if not late.isEmpty():
+        labels = connected_components(links.union(late))
+
     classes = classes.select("d0", "d1", F.col("n").alias("n_shingles"), "id").join(labels, "id", "left")
     out = described.drop("sketch").join(classes, ["d0", "d1", "n_shingles"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "id", "doc_id").alias("component_id"), (F.col("doc_id") == F.coalesce("label", "id", "doc_id")).alias("kept"))
