@@ -237,6 +237,21 @@ def test_chat_layouts_and_escapes(spark):
     assert got[5] == got[9] == got[10] == (None, [], "")
 
 
+def test_chat_reads_long_texts_or_fails(spark):
+    n = 20_000_001
+    turn = F.struct(F.lit("assistant").alias("role"), F.repeat(F.lit("a"), F.lit(n)).alias("text"))
+    rows = spark.range(1).select(F.col("id").alias("conv_id"), F.lit(0).alias("turn"), turn["role"].alias("role"), turn["text"].alias("text"))
+    records = chat_format.conversation_records(rows)
+    given = {"paths": "paths"} if "paths" in records.columns else {}
+    out = chat_format.format_records(records, **given)
+    got = out.select("layout", F.size(chat_format.read_turns(F.col("formatted"))), F.length(chat_format.masked_text(F.col("formatted"), F.col("loss_spans")))).first()
+    assert tuple(got) == ("messages", 1, n)
+    with pytest.raises(Exception, match="too long to parse"):
+        chat_format.format_records(records.select("record")).select(F.length("formatted")).collect()
+    built = chat_format.conversation_records(spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "system", "a"), (2, 1, "user", "b"), (2, 2, "assistant", "c"), (3, 0, "user", "a")], "conv_id int, turn int, role string, text string"))
+    assert built.where(chat_format.shape(F.col("record")) != F.col("paths")).count() == 0
+
+
 def test_decontamination(spark, docs, empty):
     rng = random.Random(3)
     items = [(i, "".join(rng.choice("abcde ") for _ in range(n))) for i, n in enumerate((5, 12, 40, 90, 200))] + [(8, None), (9, "")]

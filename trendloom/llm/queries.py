@@ -43,7 +43,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
-    out = chat_format.format_records(chat_format.conversation_records(rows))
+    out = chat_format.format_records(chat_format.conversation_records(rows), paths="paths")
     out = out.select("conv_id", "formatted", "loss_spans", chat_format.read_turns(F.col("formatted")).alias("turns"), chat_format.masked_text(F.col("formatted"), F.col("loss_spans")).alias("masked"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
