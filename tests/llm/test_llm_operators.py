@@ -162,6 +162,9 @@ def test_byte_bpe_is_tiktoken(docs, empty, rows):
     got = {r.doc_id: (r.ids, bytes(r.bytes)) for r in out.collect()}
     assert got == {i: (real.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows}
     assert byte_bpe.encode(empty, ranks, public_tokenizers.PATTERN).count() == 0
+    digests = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in byte_bpe.encode_digests(docs, ranks, public_tokenizers.PATTERN, 40).collect()}
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    assert digests == {i: (len(ids), sha(",".join(map(str, ids)).encode()), sha(raw)) for i, (ids, raw) in got.items()}
     for word in ("abc" * 50, "a", "ththththéé"):
         assert byte_bpe.merge_long(word.encode(), ranks) == real.encode_ordinary(word)
 
@@ -354,3 +357,24 @@ def test_network_gradients():
 
 def test_registered_names():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_that_cancel_out_under_powers_stay_apart(spark, size):
+    """A Thue-Morse word and its complement collide under any polynomial modulo 2**64."""
+    word, base = _thue_morse(size), [f"w{i}" for i in range(60)]
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(0, " ".join([*base[:30], word, *base[30:]])), (1, " ".join([*base[:30], other, *base[30:]])), (2, word), (3, other)], "doc_id long, text string")
+    assert [r.n_removed for r in repeated_spans.remove_repeated_spans(docs).orderBy("doc_id").collect()] == [0, 0, 0, 0]
+    assert [r.component_id for r in near_duplicates.near_duplicates(docs, 3, 95).orderBy("doc_id").collect()] == [0, 1, 2, 3]
+
+
+def test_repeated_ids_with_other_texts(spark):
+    long = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, long), (2, "short"), (2, long), (2, "other " + long), (3, None)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in repeated_spans.remove_repeated_spans(docs).collect())
+    assert got == [(1, 80, 0), (2, 1, 0), (2, 80, 80), (2, 81, 80), (3, 0, 0)]

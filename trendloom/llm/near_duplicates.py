@@ -17,7 +17,9 @@ Components need one link to a group, not all pairs in it; no node is cut and no
 class or pair of a node is left out.
 
 Candidates pass a size bound and a bound on equal sketch tokens that a pair at
-the threshold fails with a chance below 1e-5; links are confirmed on full sets.
+the threshold fails with a chance below 1e-5; links are confirmed on full sets of
+shingles made of the words themselves, without hashes.  Equal sets are told by their
+size and two sums over independent 64-bit hashes.
 
 Defined cases: null, empty or blank texts have an empty set and no links; texts
 with fewer words than a shingle are one shingle; rows that repeat a doc_id are
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TO_LOWER, Words, as_long, mix, slices, stored
+from .common import TO_LOWER, Words, as_long, discard, exact_grams, mix, slices, stored, word_numbers
 from .components import connected_components
 
 SKETCH, BLOCK, BLOCK_SHINGLES = 32, 256, 1 << 19
@@ -42,20 +44,26 @@ _SALT = mix(np.arange(1, SKETCH + 3, dtype=np.uint64) * np.uint64(0xD1342543DE82
 _LOW_BITS = 0x0101010101010101
 
 
-def _sets(batches_column: pa.Array, k: int):
-    """(first row, list of sorted distinct shingle hashes) of each slice."""
-    for low, high, data, at in slices(batches_column):
+def _sets(column: pa.Array, k: int):
+    """(first row, two lists of shingle hashes) of each slice; the first hashes are sorted and distinct, the second those of the same shingles."""
+    for low, high, data, at in slices(column):
         words = Words(data, at, TO_LOWER)
-        grams, first = words.grams(k), words.first
-        short = words.spans(first[:-1], first[1:])
-        yield low, [np.unique(grams[a : b - k + 1]) if b - a >= k else short[i : i + (b > a)] for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True))]
+        first, again = words.first, words.hashes(1)
+        grams, checks = words.grams(k), words.grams(k, again)
+        short, short_checks = (words.spans(first[:-1], np.minimum(first[1:], first[:-1] + k), h) for h in (words.hash, again))
+        sets, others = [], []
+        for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+            own, at_own = np.unique(grams[a : b - k + 1], return_index=True) if b - a >= k else (short[i : i + (b > a)], np.zeros(int(b > a), np.int64))
+            sets.append(own)
+            others.append(checks[a + at_own] if b - a >= k else short_checks[i : i + (b > a)])
+        yield low, sets, others
 
 
 def _describe(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            for low, sets in _sets(batch.column(1), k):
+            for low, sets, others in _sets(batch.column(1), k):
                 n = np.array([len(s) for s in sets])
                 d0, d1 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
                 sketch = np.zeros((len(sets), SKETCH), np.uint64)
@@ -65,7 +73,7 @@ def _describe(k: int):
                     for j in range(SKETCH):
                         sketch[full, j] = np.minimum.reduceat((every ^ _SALT[j]) * _SALT[j + 1], start)
                     d0[full] = np.add.reduceat(mix(every ^ _SALT[-1]), start)
-                    d1[full] = np.add.reduceat(mix(every + _SALT[-2]), start)
+                    d1[full] = np.add.reduceat(mix(np.concatenate(others) + _SALT[-2]), start)
                 yield pa.RecordBatch.from_arrays(
                     [ids[low : low + len(sets)], pa.array(n), pa.array(as_long(d0)), pa.array(as_long(d1)), pa.array([x.tobytes() for x in sketch], pa.binary())],
                     ["doc_id", "n_shingles", "d0", "d1", "sketch"],
@@ -112,21 +120,28 @@ def _branches(similarity: float):
     return run
 
 
-def _full_sets(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low, sets in _sets(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[low : low + len(sets)], pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "members"])
+def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Folded words, with one blank between: what full sets are made of, and shorter than hashes of shingles."""
+    for batch in batches:
+        for low, high, data, at in slices(batch.column(1)):
+            data = TO_LOWER[data]
+            words = [b" ".join(data[a:b].tobytes().split()) for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], pa.array(words, pa.binary())], ["id", "members"])
 
-    return run
+
+def full_sets(words: list[bytes], k: int) -> list[np.ndarray]:
+    """Exact sets of the shingles of different texts: sorted numbers, equal for equal shingles.  A text of fewer than k words has a number of its own."""
+    grams = exact_grams(word_numbers(words), k)
+    own = max((int(g.max()) for g in grams if len(g)), default=0) + 1
+    return [np.unique(g) if len(g) else np.array([own + i]) for i, g in enumerate(grams)]
 
 
-def _confirm(percent: int):
+def _confirm(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            for i, pair in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                x, y = full_sets([v.as_py() for v in pair], k)
                 both = np.sort(np.concatenate((x, y)), kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
                 good[i] = 100 * shared >= percent * (len(x) + len(y) - shared)
@@ -135,12 +150,15 @@ def _confirm(percent: int):
     return run
 
 
-def _compare_cell(percent: int):
+def _compare_cell(k: int, percent: int):
     """Links between rows of different labels, crossing rows with all of a cell; as many as join what they can join."""
 
     def run(cell: pa.Table) -> pa.Table:
         ids, labels, main, crossing = (cell.column(c).to_numpy() for c in ("id", "label", "main", "crossing"))
-        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in cell.column("members").combine_chunks()]
+        members = cell.column("members").to_pylist()
+        place = {m: i for i, m in enumerate(dict.fromkeys(members))}  # a class may stand in both strips
+        distinct = full_sets(list(place), k)
+        sets = [distinct[place[m]] for m in members]
         xs, ys, links, parent = np.flatnonzero(crossing), np.flatnonzero(~crossing), [], {}
         if len(xs) and len(ys):
             n = np.array([len(v) for v in sets])
@@ -212,7 +230,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
         return [F.least(f"{x}.id", f"{y}.id").alias("a"), F.greatest(f"{x}.id", f"{y}.id").alias("b"), _equal_tokens(x, y).alias("equal")]
 
     level, found = classes.select("id", "sketch").mapInArrow(_roots(trees), "key long, id long"), None
-    met = None
+    met, scratch = None, []
     for depth in range(levels):
         level = stored(level, "level")
         sizes = level.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -224,20 +242,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
         large = shared.where(F.col("size") > small).select("key", "id")
         if depth + 1 < levels:
             level = large.join(classes.select("id", "sketch"), "id").select("key", "id", "sketch").mapInArrow(_branches(similarity), "key long, id long")
+        scratch.append(shared)
     large = stored(large.join(marks, "id").join(met.groupBy("id").agg(F.sum("size").alias("met")), "id"), "large")
     this = F.struct("id", "n", "b0", "b1", "b2", "b3")
     central, chance = F.max_by(this, F.struct("met", -F.col("id"))), F.min_by(this, F.xxhash64("key", "id"))
     hubs = large.groupBy("key").agg(F.array_distinct(F.array(central, chance)).alias("hubs")).select("key", F.explode("hubs").alias("hub")).select("key", "hub.*")
     star = large.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
     candidates = stored(found.union(star).groupBy("a", "b").agg(F.max("equal").alias("equal")), "pairs")
+    discard(*scratch)
 
     ids = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).union(large.select("id")).distinct()
-    sets = texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_full_sets(shingle), "id long, members binary")
+    sets = texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_words_of, "id long, members binary")
     sets = stored(sets.groupBy("id").agg(F.max("members").alias("members")), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         x, y = (sets.select(F.col("id").alias(s), F.col("members").alias(f"members_{s}")) for s in "ab")
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "members_a", "members_b").mapInArrow(_confirm(percent), "a long, b long")
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "members_a", "members_b").mapInArrow(_confirm(shingle, percent), "a long, b long")
 
     def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs whose ends are not known to be in one component."""
@@ -269,7 +289,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
 
     member = member.join(cells, "main")
     member = dealt(member.where(outside), "i", "j", "down", "across").union(dealt(member, "j", "i", "across", "down"))
-    late = stored(member.join(sets, "id").groupBy("main", "i", "j").applyInArrow(_compare_cell(percent), "a long, b long"), "late")
+    late = stored(member.join(sets, "id").groupBy("main", "i", "j").applyInArrow(_compare_cell(shingle, percent), "a long, b long"), "late")
     if not late.isEmpty():
         labels = connected_components(links.union(late))
 

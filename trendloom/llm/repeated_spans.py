@@ -1,27 +1,30 @@
-"""Substring deduplication over a sparse De Bruijn graph of token k-mers.
+"""Substring deduplication over a compacted De Bruijn graph of token k-mers.
 
-Each text is walked by windows of `window` words.  Of the k-mers in a window the
-one with the least hash is the window's edge; consecutive windows that choose the
-same k-mer occurrence form a nonbranching path, stored as one row: k-mer, content
-hash of the whole path, document and the range of windows it covers.  Equal
-windows choose equal k-mers, so
+The graph's edges are the windows of `window` words, between nodes of one word less.
+As in BCALM 2 (Chikhi, Limasset and Medvedev) they are dealt by minimisers: of the
+k-mers in a window the one with the least hash.  Consecutive windows of a text with
+one minimiser are a path, stored as one row: minimiser, hash of the path's words,
+document and the range of windows.  Equal windows have equal minimisers, so
 
-* a k-mer seen in one document only cannot hold a repeat: dropped;
-* a k-mer whose every occurrence has the same path does not branch: all windows of
-  the path compact to the least document of the path (one join on the path);
+* a minimiser met in one document only holds no repeat: dropped;
+* where all paths of a minimiser are equal, its nodes have one way in and one way
+  out: all windows of the path compact to the least document of it (one join);
 * only where paths branch are windows told apart, once per distinct path and
   never per copy, from the source coordinates of the path's first occurrence.
 
-Whether a window repeats in an earlier document is thus known for every window,
-on the input as given.
+Whether a window repeats in an earlier document is thus known for every window, on
+the input as given.  Before words are cut, the path is read again at its coordinates
+in the text and compared.  Paths have at most 2 * window - k words and meet only under
+equal minimisers; hashes are of 64 bits each and have no sequence that cancels out.
 
 Defined cases: null or empty texts have no words; texts shorter than the window
-lose nothing; repeats within one document are not removed; rows that repeat a doc_id with the same text count as one document; extra columns are ignored.
+lose nothing; repeats within one document are not removed; rows that repeat a
+doc_id are one document, and each row loses the windows that its own text has in an
+earlier document; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, Words, as_long, slices, stored, text_buffers
+from .common import SLICE_BYTES, Words, as_long, slices, stored
 
 PATHS = "kmer long, path long, doc_id long, first_window long, n_windows int, at int"
 
@@ -105,34 +108,30 @@ def _window_hashes(window: int):
 
 
 def _cut(window: int):
-    """Remove covered words; spans: word ranges to remove."""
+    """Remove words covered by repeated windows; asks: paths, where they stand, and the runs of their windows that repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, spans = batch.column(0), batch.column(2)
-            out = {"doc_id": [], "n_words": [], "n_removed": [], "kept_text": []}
-            held = 0
-            data, at = text_buffers(batch.column(1))
-            for i in range(len(at) - 1):
-                words, removed = data[at[i] : at[i + 1]].tobytes().split(), 0
-                n = len(words)
-                if spans[i].is_valid and len(spans[i]):
-                    gone = np.zeros(n + 1, np.int32)
-                    for s in spans[i].as_py():
-                        gone[s["start"]] += 1
-                        gone[s["end"]] -= 1
-                    keep = np.cumsum(gone)[:n] == 0
-                    words = [w for w, x in zip(words, keep, strict=True) if x]
-                    removed = n - len(words)
-                kept = b" ".join(words)
-                for c, v in zip(out, (ids[i].as_py(), n, removed, kept.decode("utf-8", "replace")), strict=True):
-                    out[c].append(v)
-                held += len(kept)
-                if held > 4 * SLICE_BYTES:
-                    yield pa.RecordBatch.from_pydict(out, _KEPT)
-                    out, held = {c: [] for c in out}, 0
-            if out["doc_id"]:
-                yield pa.RecordBatch.from_pydict(out, _KEPT)
+            for low, high, data, at in slices(batch.column(1), 4 * SLICE_BYTES):
+                asked = batch.column(2)[low:high]
+                words = Words(data, at) if asked.null_count < len(asked) else None
+                out: tuple[list, list, list] = [], [], []
+                for i in range(high - low):
+                    text, gone = data[at[i] : at[i + 1]].tobytes().split(), None
+                    if asked[i].is_valid:
+                        gone = np.zeros(len(text) + 1, np.int32)
+                        for a in asked[i].as_py():
+                            first, end = words.first[i] + a["first_window"], words.first[i] + a["first_window"] + a["n_windows"] + window - 1
+                            if end > words.first[i + 1] or as_long(_content(words, *np.array([[first], [end], [a["at"]]])))[0] != a["path"]:
+                                continue  # another row of the same doc_id
+                            for run in a["runs"]:
+                                gone[a["first_window"] + run["low"]] += 1
+                                gone[a["first_window"] + run["high"] + window] -= 1
+                        gone = np.cumsum(gone)[: len(text)] > 0
+                    kept = text if gone is None else [w for w, g in zip(text, gone, strict=True) if not g]
+                    for c, v in zip(out, (len(text), len(text) - len(kept), b" ".join(kept).decode("utf-8", "replace")), strict=True):
+                        c.append(v)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], *(pa.array(c, f.type) for c, f in zip(out, list(_KEPT)[1:], strict=True))], schema=_KEPT)
 
     return run
 
@@ -141,7 +140,7 @@ _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed"
 
 
 def repeated_spans(docs: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
-    """(doc_id, spans): word ranges [start, end) covered by windows that also start in a document of smaller doc_id."""
+    """(doc_id, asks): paths with runs of windows that also start in a document of smaller doc_id."""
     if not 1 <= k <= window:
         raise ValueError("k must lie between 1 and the window")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
@@ -158,20 +157,16 @@ def repeated_spans(docs: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
     first = windows.groupBy("kmer", "content").agg(F.min("least").alias("source"))
     forked = windows.join(first, ["kmer", "content"]).groupBy("kmer", "path").agg(F.array_sort(F.collect_set(F.struct("nth", "source"))).getField("source").alias("sources"))
     sources = plain.unionByName(forked)
-    hits = paths.join(sources, ["kmer", "path"]).select(
-        "doc_id",
-        F.expr(f"transform(filter(transform(sources, (s, i) -> struct(s, i)), x -> x.s < doc_id), x -> struct(first_window + x.i as start, first_window + x.i + {window} as end))").alias("spans"),
-    )
-    merged = F.expr(  # consecutive windows of one path become one span
-        "aggregate(spans, cast(array() as array<struct<start:bigint,end:bigint>>), (acc, s) -> if(size(acc) > 0 and element_at(acc, -1).end >= s.start, "
-        "concat(slice(acc, 1, size(acc) - 1), array(struct(element_at(acc, -1).start as start, s.end as end))), concat(acc, array(struct(s.start as start, s.end as end)))))"
+    runs = F.expr(  # runs of consecutive windows that stand in an earlier document, both ends included
+        "aggregate(filter(transform(sources, (s, i) -> if(s < doc_id, i, -1)), i -> i >= 0), cast(array() as array<struct<low:int,high:int>>), (acc, i) -> if(size(acc) > 0 and "
+        "element_at(acc, -1).high = i - 1, concat(slice(acc, 1, size(acc) - 1), array(struct(element_at(acc, -1).low as low, i as high))), concat(acc, array(struct(i as low, i as high)))))"
     )
-    hits = hits.where("size(spans) > 0").select("doc_id", F.explode(merged).alias("span"))
-    return hits.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    hits = paths.join(sources, ["kmer", "path"]).withColumn("runs", runs).where("size(runs) > 0")
+    return hits.groupBy("doc_id").agg(F.collect_list(F.struct("first_window", "n_windows", "at", "path", "runs")).alias("asks"))
 
 
 def remove_repeated_spans(docs: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed and kept_text, kept words joined by one blank."""
     spans = repeated_spans(docs, window, k)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
+    return texts.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "asks").mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
