@@ -10,7 +10,8 @@ regression by pooling adjacent violators, over sums of labels in fixed score
 bins, turns ridge scores into probabilities of label 1.
 
 Defined cases: null and empty texts have all-zero statistics and are scored like
-any other; repeated rows are scored alike; extra columns are ignored.  Labels,
+any other; repeated rows are scored alike; extra columns are ignored; without
+labelled rows every score is 0, with one class it is that class's label.  Labels,
 lang, source and doc_id are not inputs.
 """
 
@@ -122,7 +123,7 @@ def fit(stats: DataFrame, labels: DataFrame, features: int = 128, width: float =
     sums = rows.mapInArrow(moments, "at long, n double, s double, q double").groupBy("at").agg(F.sum("n"), F.sum("s"), F.sum("q")).orderBy("at").collect()
     n, s, q = np.array([r[1:] for r in sums]).T if sums else np.zeros((3, N_STATS))
     if not n.max():
-        raise ValueError("quality needs labelled documents that are not held out")
+        return Model(np.zeros(N_STATS), np.ones(N_STATS), features, width)  # of zero weights and steps
     mean = s / n
     model = Model(mean, np.sqrt(np.maximum(q / n - mean * mean, 1e-8)), features, width)
 

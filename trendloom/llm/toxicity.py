@@ -3,25 +3,28 @@
 Each word is one step.  Its input joins a hashed word vector with the mean of
 hashed character n-gram vectors (3 to 5 bytes, word starts told apart, and starts of 6
 to 10 bytes); words and
-n-grams of fewer than `KNOWN_SHARE` of the training documents share row 0, so that rare
+n-grams of fewer than `LEAST_DOCS` training documents share row 0, so that rare
 ones are not learnt by heart.  Two gated recurrent layers read a window of words in either direction, attention
 pools their states, and a logistic unit scores the window.  Windows of
 `WINDOW` words overlap by half and cover every word of a text; a document's
 score is that of its highest window.
 
-Trained in numpy by back-propagation through time on a bounded sample
-(`most` documents per class).  Labels are of documents, so windows start from the
+Trained in numpy by back-propagation through time on a bounded sample of whole texts
+(`most` documents and `most_chars` characters per class), in one Spark task, so that the
+driver meets the fitted tables only.  Labels are of documents, so windows start from the
 log-odds of their words and n-grams between the classes: the first coordinate of
 a vector starts there, and in the first epochs the toxic windows are those of
 toxic documents that hold a word or n-gram of high odds.  Later a toxic document
 is also represented by the window that the network itself finds highest.
 
 Defined cases: null, empty and blank texts score 0; texts shorter than a window
-are one masked window; repeated rows are scored alike; extra columns are ignored.
+are one masked window; repeated rows are scored alike; extra columns are ignored;
+without labelled documents of both classes every score is 0.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTES, BYTE_CODES, TO_LOWER, Words, _ranges, slices
+from .common import SLICE_BYTES, TO_LOWER, Words, hash_ranges, slices
 from .labelled import is_held_out, labelled_sample
 
 WINDOW, STRIDE, HIDDEN, WIDTH = 32, 16, 8, 8
-BUCKETS, ROWS, KNOWN_SHARE = 1 << 20, 1 << 15, 0.015
+BUCKETS, ROWS, LEAST_DOCS = 1 << 20, 1 << 15, 4
 GRAMS, STARTS = (3, 4, 5), (6, 7, 8, 10)
 THRESHOLD, HIGH_ODDS = 0.3, 2.3
 
@@ -43,21 +46,45 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Inputs:
-    """Distinct words of a slice: word rows, character n-gram rows, and which word stands at each place."""
+    """Distinct words of some texts: word rows, character n-gram rows, and which word stands at each place."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray):
         words = Words(data, at, TO_LOWER)
         self.first = words.first
         distinct, one, self.which = np.unique(words.hash, return_index=True, return_inverse=True)
+        self._describe(distinct, words.data, words.start[one], words.end[one])
+
+    @classmethod
+    def of(cls, rows: list[bytes]) -> Inputs:
+        """The same of many texts, met in slices; only their distinct words are held together."""
+        self, known, which, kept, each, low = cls.__new__(cls), {}, [], [], [], 0
+        while low < len(rows):
+            high, size = low, 0
+            while high < len(rows) and (high == low or size + len(rows[high]) <= SLICE_BYTES):
+                size, high = size + len(rows[high]), high + 1
+            words = Words(np.frombuffer(b"".join(rows[low:high]), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in rows[low:high]]))), TO_LOWER)
+            distinct, one, place = np.unique(words.hash, return_index=True, return_inverse=True)
+            before = len(known)
+            number = np.array([known.setdefault(h, len(known)) for h in distinct.tolist()], np.int32)
+            kept.extend(words.data[words.start[i] : words.end[i]].tobytes() for i in one[np.argsort(number)][number[np.argsort(number)] >= before])
+            which.append(number[place])
+            each.append(np.diff(words.first))
+            low = high
+        self.which = np.concatenate([*which, np.zeros(0, np.int32)])
+        self.first = np.concatenate(([0], np.cumsum(np.concatenate([*each, np.zeros(0, np.int64)]))))
+        end = np.cumsum([len(w) for w in kept], dtype=np.int64)
+        self._describe(np.fromiter(known, np.uint64, len(known)), np.frombuffer(b"".join(kept), np.uint8), np.concatenate(([0], end[:-1])) if kept else end, end)
+        return self
+
+    def _describe(self, distinct: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         self.word = (distinct % np.uint64(BUCKETS)).astype(np.int64)
-        start, length = words.start[one], (words.end - words.start)[one]
-        codes, rows, owner = BYTE_CODES[TO_LOWER[data]], [], []
+        length, rows, owner = end - start, [], []
         for n in GRAMS + STARTS:
             count = np.maximum(length - n + 1, 0) if n in GRAMS else (length >= n).astype(np.int64)
             who = np.repeat(np.arange(len(distinct)), count)
             place = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
             begin = start[who] + place
-            rows.append((_ranges(codes, _BYTES, begin, begin + n) + (place == 0).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(BUCKETS))
+            rows.append((hash_ranges(data, begin, begin + n) + (place == 0).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(BUCKETS))
             owner.append(who)
         owner, rows = np.concatenate(owner), np.concatenate(rows).astype(np.int64)
         order = np.argsort(owner, kind="stable")
@@ -76,7 +103,7 @@ class Inputs:
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each)
         start = np.minimum(nth * STRIDE, np.maximum(n[doc] - WINDOW, 0))
         length = np.minimum(n[doc] - start, WINDOW)
-        places = (self.first[doc] + start)[:, None] + np.minimum(np.arange(WINDOW), length[:, None] - 1)
+        places = (self.first[doc] + start).astype(np.int32)[:, None] + np.minimum(np.arange(WINDOW, dtype=np.int32), length.astype(np.int32)[:, None] - 1)
         return doc, places, length
 
 
@@ -202,7 +229,7 @@ class Network:
 
 
 class _Known:
-    """Documents and toxic documents of each bucket; a row for those met in KNOWN_SHARE of all documents, the most frequent first, 0 for others."""
+    """Documents and toxic documents of each bucket; a row for those met in LEAST_DOCS documents or more, the most frequent first, 0 for others."""
 
     def __init__(self):
         self.count, self.toxic = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
@@ -216,7 +243,7 @@ class _Known:
     def rows(self, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row of each bucket and log-odds of each row."""
         best = np.argsort(-self.count, kind="stable")[: ROWS - 1]
-        best = best[self.count[best] >= max(4, KNOWN_SHARE * len(labels))]
+        best = best[self.count[best] >= LEAST_DOCS]
         row, odds = np.zeros(BUCKETS, np.int32), np.zeros(ROWS)
         row[best] = np.arange(1, len(best) + 1)
         odds[1 : len(best) + 1] = np.log((self.toxic[best] + 2) / (self.count[best] - self.toxic[best] + 2) * (labels == 0).sum() / labels.sum())
@@ -224,12 +251,13 @@ class _Known:
 
 
 def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, steps: int = 120, seed: int = 7) -> Network:
-    """Train on texts labelled 0 or 1; the last step moves the border between the classes to THRESHOLD."""
+    """Train on texts labelled 0 or 1; the last step moves the border between the classes to THRESHOLD.  Without both classes all scores are 0."""
     net, rng, state = Network(seed), np.random.default_rng(seed), {}
     labels = np.asarray(labels, np.float32)
-    rows = [t.encode() for t in texts]
-    x = Inputs(np.frombuffer(b"".join(rows), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64))
-    _BYTES.upto(1, shrink=True)
+    if len(set(labels.tolist())) < 2:
+        net.shift = np.float32(-np.inf)
+        return net
+    x = Inputs.of([t.encode() for t in texts])
     words, grams, start = _Known(), _Known(), np.cumsum(x.count) - x.count
     for i, label in enumerate(labels):
         own = np.unique(x.which[x.first[i] : x.first[i + 1]])
@@ -274,12 +302,17 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, steps: int = 120,
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 1000) -> Network:
-    """Fit on at most `most` labelled documents per class that are not held out."""
-    sample = labelled_sample(docs, labels, "toxic", most, 1 << 13)
-    if sample["label"].nunique() < 2:
-        raise ValueError("toxicity needs labelled documents of both classes")
-    return fit(sample["text"].tolist(), sample["label"].to_numpy())
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fitted network of one partition that holds the whole sample."""
+    rows = sorted({d: (t, y) for b in batches for d, t, y in sorted(zip(*(c.to_pylist() for c in b.columns), strict=True), reverse=True)}.items())
+    net = fit([t for _, (t, _) in rows], np.array([y for _, (_, y) in rows]))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = 1000, most_chars: int = 8_000_000) -> Network:
+    """Fit on at most `most` labelled documents, of at most `most_chars` characters in all, per class that are not held out."""
+    sample = labelled_sample(docs, labels, "toxic", most, most_chars)
+    return pickle.loads(sample.repartition(1).mapInArrow(_fit, "net binary").first()["net"])
 
 
 def score_toxicity(docs: DataFrame, net: Network) -> DataFrame:
