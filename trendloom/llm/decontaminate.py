@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, _ranges
+from .common import Powers, short_ranges
 
 Q, RATE, BLOCK_CHARS, SLICE = 8, 0.1, 4 << 20, 1 << 19
 _CHARS = Powers(0xC2B2AE3D27D4EB4F)
-_BITS = 22
+_BITS, _CELLS = 22, 1 << 20
 
 
 def normal(text: str | None) -> str:
@@ -43,7 +43,7 @@ def _points(text: str) -> np.ndarray:
 
 def _grams(points: np.ndarray) -> np.ndarray:
     at = np.arange(max(0, len(points) - Q + 1))
-    return _ranges((points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), _CHARS, at, at + Q)
+    return short_ranges((points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), _CHARS, at, at + Q)
 
 
 def edit_budget(length: int, rate: float = RATE) -> int:
@@ -51,26 +51,39 @@ def edit_budget(length: int, rate: float = RATE) -> int:
     return max(0, min(int(rate * length), (length - Q) // Q))
 
 
-def banded_distance(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int] | None:
-    """(edits, end) of the best alignment of all of item with a substring of text, on diagonals low..high; None over budget."""
-    width = high - low + 1
-    step = np.arange(width)
-    column = low + step  # of row 0
-    row = np.where((column >= 0) & (column <= len(text)), 0, budget + 1)
-    for i in range(1, len(item) + 1):
+def banded_distances(items: list[np.ndarray], which: np.ndarray, text: np.ndarray, first: np.ndarray, last: np.ndarray, low: np.ndarray, width: int, budget: int) -> list[tuple[int, int] | None]:
+    """For each candidate, (edits, end) of the best alignment of all of item `which` with a part of text[first:last], on `width` diagonals from `low` on; None over budget.
+
+    Candidates of one budget are aligned together, one row of the item at a time; those over budget leave.
+    """
+    out: list[tuple[int, int] | None] = [None] * len(which)
+    longest = max(len(p) for p in items)
+    letters = np.zeros((len(items), longest), np.uint32)
+    for i, p in enumerate(items):
+        letters[i, : len(p)] = p
+    size, length = np.array([len(p) for p in items])[which], last - first
+    live, step = np.arange(len(which)), np.arange(width)
+    column = low[:, None] + step
+    row = np.where((column >= 0) & (column <= length[:, None]), 0, budget + 1)
+    for i in range(1, longest + 1):
         j = column + i
-        inside = (j >= 1) & (j <= len(text))
-        differs = np.ones(width, np.int64)
-        differs[inside] = text[j[inside] - 1] != item[i - 1]
-        best = np.where(inside, row + differs, budget + 1)
-        best[:-1] = np.minimum(best[:-1], row[1:] + 1)
-        best = np.where((j >= 0) & (j <= len(text)), best, budget + 1)
-        row = np.minimum.accumulate(best - step) + step
-        if row.min() > budget:
-            return None
-    row = np.where((column + len(item) >= 0) & (column + len(item) <= len(text)), row, budget + 1)
-    k = int(row.argmin())
-    return (int(row[k]), low + k + len(item)) if row[k] <= budget else None
+        inside = (j >= 1) & (j <= length[live, None])
+        at = np.where(inside, first[live, None] + j - 1, 0)
+        best = np.where(inside, row + (text[at] != letters[which[live], i - 1][:, None]), budget + 1)
+        best[:, :-1] = np.minimum(best[:, :-1], row[:, 1:] + 1)
+        best = np.where((j >= 0) & (j <= length[live, None]), best, budget + 1)
+        row = np.minimum.accumulate(best - step, axis=1) + step
+        done = size[live] == i
+        for c in np.flatnonzero(done):
+            k = int(row[c].argmin())
+            if row[c, k] <= budget:
+                out[live[c]] = int(row[c, k]), int(j[c, k])
+        stay = ~done & (row.min(1) <= budget)
+        if not stay.all():
+            live, column, row = live[stay], column[stay], row[stay]
+            if not len(live):
+                break
+    return out
 
 
 class Index:
@@ -124,22 +137,30 @@ class Index:
                 b = int((k >> 31) & ((1 << 20) - 1))
                 start = (int(k & ((1 << 31) - 1)) - (1 << 30)) * 2 * (int(self.budget[b]) + 1) - family * (int(self.budget[b]) + 1)
                 found.setdefault((int(k >> 51), b), set()).add(start)
-        for (d, b), starts in sorted(found.items()):
-            best = None
-            for start in sorted(starts):
-                exact = texts[d].find(self.texts[b], max(0, start))
-                if 0 <= exact <= start + 2 * int(self.budget[b]) + 1:
-                    hit = (0, exact + len(self.texts[b]))
-                else:
-                    e = int(self.budget[b])
-                    begin = max(0, start - e)  # align with the region of the band only
-                    region = points[d][begin : start + 2 * e + 2 + len(self.points[b]) + 2 * e]
-                    hit = banded_distance(self.points[b], region, start - e - begin, start + 3 * e + 1 - begin, e)
-                    hit = hit and (hit[0], hit[1] + begin)
-                if hit and (best is None or hit < best):
-                    best = hit
-            if best:
-                out[d].append((self.ids[b], *best))
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        rest: dict[int, list[tuple[int, int, int]]] = {}
+        for (d, b), starts in found.items():
+            e = int(self.budget[b])
+            for start in starts:
+                begin = max(0, start)
+                exact = texts[d].find(self.texts[b], begin, max(begin, start + 2 * e + 1 + len(self.texts[b])))
+                if exact >= 0:
+                    best[d, b] = min(best.get((d, b), (0, exact + len(self.texts[b]))), (0, exact + len(self.texts[b])))
+                elif e:
+                    rest.setdefault(e, []).append((d, b, start))
+        every = np.concatenate(points) if points else np.zeros(0, np.uint32)
+        for e, candidates in rest.items():
+            width, together = 4 * e + 2, max(1, _CELLS // (4 * e + 2))
+            candidates = [c for c in candidates if best.get(c[:2], (1, 0))[0]]  # found as they are, they need no alignment
+            for i in range(0, len(candidates), together):
+                d, b, start = np.array(candidates[i : i + together]).T
+                items, which = np.unique(b, return_inverse=True)
+                hits = banded_distances([self.points[x] for x in items], which, every, first[d], first[d + 1], start - e, width, e)
+                for key, hit in zip(zip(d.tolist(), b.tolist(), strict=True), hits, strict=True):
+                    if hit:
+                        best[key] = min(best.get(key, hit), hit)
+        for (d, b), hit in sorted(best.items()):
+            out[d].append((self.ids[b], *hit))
         return out
 
 
