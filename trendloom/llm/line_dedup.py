@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import columns_free, stored
 
 MIN_CHARS = 16
 
@@ -92,10 +92,10 @@ def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHA
 
 def remove_repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with `text` without repeated lines; all columns stay.  The number of lines removed is in n_gone, unless docs has such a column."""
-    gone = repeated_lines(docs, text, min_chars)
-    gone = gone.select(F.col("doc_id").alias("_gone_of"), F.col("gone").alias("_gone"))
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    out = docs.join(gone.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_gone_of"), "left")
-    columns = [F.when(F.col("_gone").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text else F.col(c) for c in docs.columns]
-    extra = [] if "n_gone" in docs.columns else [F.coalesce(F.size("_gone"), F.lit(0)).alias("n_gone")]
+    of, lost = columns_free(docs, "_gone_of", "_gone")
+    gone = repeated_lines(docs, text, min_chars).select(F.col("doc_id").alias(of), F.col("gone").alias(lost))
+    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(lost, i)), "\n")
+    out = docs.join(gone.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col(of), "left")
+    columns = [F.when(F.col(lost).isNull(), F.col(c)).otherwise(kept).alias(c) if c == text else F.col(c) for c in docs.columns]
+    extra = [] if "n_gone" in map(str.lower, docs.columns) else [F.coalesce(F.size(lost), F.lit(0)).alias("n_gone")]
     return out.select(*columns, *extra)
