@@ -1,14 +1,16 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
-Ranks are a literal: an array of hash buckets of pairs of pieces and the rank of
-their joined bytes, which is also the joined piece's id.  `fold_merges` starts
-from the bytes of a word and, step by step, merges the leftmost adjacent pair of
-least rank, carrying the ranks of adjacent pairs so that a step looks up two.
-
-Words (matches of the pattern) are counted over all documents; the most frequent
-ones, at most `HEAD`, are folded once and shipped to the tasks that split texts.
-Any other word of a document is folded in the document's own row, once per
-document.  No text is shuffled.  Decoding joins the bytes of the ids' pieces.
+A word is folded as a string of one character per piece; pieces are numbered by
+their ranks, so comparing characters compares ranks.  Ranks of pairs are a literal:
+an array of hash buckets, each a string of pairs and the piece that they join to.
+`fold_merges` maps the bytes of a word to characters and, step by step, looks up all
+adjacent pairs and replaces the pair of least rank, the leftmost of equals.
+
+Words (matches of the pattern) are counted over all documents.  Those that occur
+again, at most the `HEAD` most frequent, are folded once and shipped to the tasks
+that split texts, as sorted hashes with their bytes to compare.  Any other word of a
+document is folded in the document's own row.  No text is shuffled.  Decoding joins
+the bytes of the ids' pieces.
 
 Words of over `LONG` bytes, where the quadratic fold would not end, are merged by
 a heap over the same ranks; the result is the same.
@@ -20,22 +22,24 @@ encoded alike; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
-import json
+import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import hash_ranges, slices, small_batches, stored, text_buffers
 
-HEAD, LONG, BUCKETS, NONE = 3 << 18, 1024, 32768, 1 << 30
-_COUNTED = 300_000
+HEAD, LONG, BUCKETS = 1 << 21, 256, 1 << 16
+_COUNTED, _TEXTS = 300_000, 1 << 21
+_OFFSET, _SURROGATES, _END, _DONE, _NONE = 0x100, 0xD800, "!", ".", "\U0010ffff"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,21 +48,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (line.split() for line in lines if line.strip())}
 
 
+def _char(rank: int) -> str:
+    """The character of a piece; greater ranks have greater characters."""
+    return chr(rank + _OFFSET if rank + _OFFSET < _SURROGATES else rank + _OFFSET + 0x800)
+
+
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """Hash buckets of pairs of pieces (first id * 65536 + second id) and the rank of their join."""
-    buckets: list[dict] = [{"k": [], "v": []} for _ in range(BUCKETS)]
+    """Hash buckets of pairs: each bucket has "no piece", then for each pair the pair, the joined piece and the pair's parts between marks."""
+    buckets = [[_END + _NONE + _END] for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
             a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
             if a is not None and b is not None:
-                buckets[(a * 65536 + b) % BUCKETS]["k"].append(a * 65536 + b)
-                buckets[(a * 65536 + b) % BUCKETS]["v"].append(rank)
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<struct<k:array<bigint>,v:array<int>>>")
+                a, b = _char(a), _char(b)
+                buckets[zlib.crc32((a + b).encode()) % BUCKETS].append(_END.join((a + b, _char(rank), a, b, "")))
+    return F.split(F.lit("\n".join(map("".join, buckets))), "\n")
 
 
-def byte_literal(ranks: dict[bytes, int]) -> Column:
-    """Id of each single byte, at the byte's place."""
-    return F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>")
+def piece_chars(word: Column, ranks: dict[bytes, int]) -> Column:
+    """The bytes of a text, one character for each byte's piece."""
+    single = "".join(_char(ranks[bytes([b])]) for b in range(256))
+    return F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "".join(map(chr, range(256))), single)
 
 
 def piece_literal(ranks: dict[bytes, int]) -> Column:
@@ -69,43 +79,36 @@ def piece_literal(ranks: dict[bytes, int]) -> Column:
     return F.split(F.lit(",".join(pieces)), ",")
 
 
-def fold_merges(word: Column, table: Column, single: Column) -> Column:
-    """Ids (array<int>) of a binary column's bytes; a joined piece's id is the rank of its pair."""
-    return _bind(F.struct(table.alias("table"), single.alias("single")), lambda c: _fold(word, c["table"], c["single"]))
-
-
 def _bind(value: Column, body) -> Column:
     """Names a value for the expressions in body."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _fold(word: Column, table: Column, single: Column) -> Column:
-    def rank_of(a: Column, b: Column) -> Column:
-        key = a.cast("long") * 65536 + b
-        bucket = F.get(table, (key % BUCKETS).cast("int"))
-        return F.coalesce(F.get(bucket["v"], (F.array_position(bucket["k"], key) - 1).cast("int")), F.lit(NONE))
+def fold_merges(word: Column, table: Column, ranks: dict[bytes, int]) -> Column:
+    """Pieces of a text, one character each: ranked merges folded over its bytes."""
+    one, two = F.lit(1), F.lit(2)
+
+    def offer(pair: Column) -> Column:
+        bucket = F.get(table, F.crc32(pair.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int"))
+        return F.call_function("substring_index", bucket, pair, F.lit(-1))
 
-    def merge(s: Column) -> Column:
-        p, r = s["p"], s["r"]
+    def merged(pieces: Column, least: Column) -> Column:
+        pair = F.concat(F.substring(least, F.lit(4), one), F.substring(least, F.lit(6), one))
+        joined = F.overlay(pieces, F.substring(least, two, one), F.call_function("instr", pieces, pair), two)
+        return F.when(F.substring(least, two, one) == _NONE, F.concat(F.lit(_DONE), pieces)).otherwise(joined)
 
-        def at(b: Column) -> Column:
-            x, m = b["x"], b["m"]
-            left, right = F.get(p, m - 2), F.get(p, m + 1)
-            beside = F.filter(F.array(F.when(left.isNotNull(), rank_of(left, x)), F.when(right.isNotNull(), rank_of(x, right))), lambda y: y.isNotNull())
-            pieces = F.concat(F.slice(p, F.lit(1), m - 1), F.array(x), F.slice(p, m + 2, F.lit(NONE)))
-            ranks = F.concat(F.slice(r, F.lit(1), F.greatest(m - 2, F.lit(0))), beside, F.slice(r, m + 2, F.lit(NONE)))
-            return F.struct(pieces.alias("p"), ranks.alias("r"))
+    def step(pieces: Column, _) -> Column:
+        least = F.array_min(F.transform(F.sequence(one, F.length(pieces) - 1), lambda i: offer(F.substring(pieces, i, two))))
+        return F.when((F.ascii(pieces) == ord(_DONE)) | (F.length(pieces) < 2), pieces).otherwise(_bind(least, lambda x: merged(pieces, x)))
 
-        return _bind(F.struct(s["least"].alias("x"), F.array_position(r, s["least"]).cast("int").alias("m")), lambda b: with_least(at(b)))
+    bytes_left = F.sequence(one, F.greatest(F.octet_length(word), one))
+    return F.aggregate(bytes_left, piece_chars(word, ranks), step, lambda pieces: F.replace(pieces, F.lit(_DONE), F.lit("")))
 
-    def with_least(state: Column) -> Column:
-        return _bind(state, lambda t: F.struct(t["p"].alias("p"), t["r"].alias("r"), F.coalesce(F.array_min(t["r"]), F.lit(NONE)).alias("least")))
 
-    n = F.octet_length(word)
-    pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(single, F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")))
-    start = _bind(pieces, lambda p: F.struct(p.alias("p"), F.transform(F.slice(p, F.lit(2), n), lambda b, i: rank_of(F.get(p, i), b)).alias("r")))
-    merged = F.aggregate(F.sequence(F.lit(1), n), with_least(start), lambda s, _: F.when(s["least"] < NONE, merge(s)).otherwise(s), lambda s: s["p"])
-    return F.when(n > 0, merged).otherwise(F.array().cast("array<int>"))
+def piece_ids(pieces: Column) -> Column:
+    """Ids (array<int>) of a string of one character per piece."""
+    code = lambda c: F.ascii(c) - F.when(F.ascii(c) < _SURROGATES, _OFFSET).otherwise(_OFFSET + 0x800)
+    return F.when(F.length(pieces) > 0, F.transform(F.split(pieces, ""), code)).otherwise(F.array().cast("array<int>"))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -133,115 +136,271 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
+def _strings(column: pa.Array, lead: str = "") -> list[str]:
+    """Each string after `lead`; one long string cut at marks is far cheaper than a conversion of each."""
+    if not len(column):
+        return []
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column.cast(pa.string())), "\x1e" + lead)[0].as_py()
+    out = (lead + joined).split("\x1e")
+    return out if len(out) == len(column) else [lead + x for x in column.to_pylist()]
+
+
 class Splitter:
-    """Splits texts by the pattern.
+    """Splits texts by the pattern, each distinct run of a slice of texts once.
 
-    Between single blanks that stand beside no other white space the matches of a
-    run do not depend on what surrounds it, so each such run, with its leading
-    blank, is matched once and remembered; other texts are matched whole.
+    The matches before and after a single blank that stands beside no other white
+    space do not depend on each other, so texts are cut before such blanks; other
+    texts are one run each.
     """
 
+    #: Two white spaces together, one at an end, or one that is not ASCII.
+    ODD = r"\s\s|\A\s|\s\z|[\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
     def __init__(self, pattern: str):
         self.find = regex.compile(pattern).findall
-        self.odd = regex.compile(r"\s\s|^\s|\s$").search
 
-    def runs(self, text: str) -> list[str] | None:
-        return None if self.odd(text) else text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
+    def distinct(self, texts: pa.Array) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+        """(distinct runs that a blank leads, other distinct runs, number of the run at each place, first place of each text and the end)."""
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, self.ODD)
+        parts = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        first, values = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py(), parts.flatten()
+        head = np.zeros(len(values), bool)
+        head[first[:-1]] = True
+        later, heads = values.filter(pa.array(~head)).dictionary_encode(), pc.if_else(odd, texts, values.take(pa.array(first[:-1]))).dictionary_encode()
+        which = np.empty(len(values), np.int64)
+        which[~head] = later.indices.to_numpy()
+        which[head] = heads.indices.to_numpy() + len(later.dictionary)
+        return _strings(later.dictionary, " "), _strings(heads.dictionary), which, first
+
+    def words(self, led: list[str], others: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(distinct words, number of the word at each place, first place of each run and the end); runs that a blank leads are matched together."""
+        found = self.find("".join(led))
+        ends, bounds = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))), np.cumsum(np.fromiter(map(len, led), np.int64, len(led)))
+        first = np.searchsorted(ends, bounds, "right")
+        if len(led) and (ends[first - 1] != bounds).any():  # the pattern leaves characters out
+            each = list(map(self.find, led))
+            found, first = [w for words in each for w in words], np.cumsum([len(w) for w in each])
+        each = list(map(self.find, others))
+        first = np.concatenate(([0], first, len(found) + np.cumsum([len(w) for w in each], dtype=np.int64))).astype(np.int64)
+        coded = pa.array([*found, *(w for words in each for w in words)], pa.large_string()).dictionary_encode()
+        return _strings(coded.dictionary), coded.indices.to_numpy(), first
+
+
+def text_slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about `_TEXTS` bytes."""
+    return ((low, high) for low, high, _, _ in slices(column, _TEXTS))
 
 
 def _count_words(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, runs, words = Splitter(pattern), Counter(), Counter()
+        splitter, led, others = Splitter(pattern), {}, {}
 
         def flush() -> pa.RecordBatch:
-            for r, n in runs.items():
-                for w in splitter.find(r):
-                    words[w] += n
-            out = pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
-            runs.clear()
-            words.clear()
-            return out
+            words, which, first = splitter.words(list(led), list(others))
+            counts = np.zeros(len(words), np.int64)
+            np.add.at(counts, which, np.repeat(np.array([*led.values(), *others.values()], np.int64), np.diff(first)))
+            led.clear()
+            others.clear()
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts)], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                text = text.as_py()
-                if text:
-                    found = splitter.runs(text)
-                    if found is None:
-                        words.update(splitter.find(text))
-                    else:
-                        runs.update(found)
-                if len(runs) + len(words) > _COUNTED:
+            for low, high in text_slices(batch.column(0)):
+                a, b, which, _ = splitter.distinct(batch.column(0)[low:high])
+                times = np.bincount(which, minlength=len(a) + len(b)).tolist()
+                for known, found, counts in ((led, a, times[: len(a)]), (others, b, times[len(a) :])):
+                    known.update(zip(found, map(int.__add__, counts, (known.get(r, 0) for r in found)), strict=True))
+                if len(led) + len(others) > _COUNTED:
                     yield flush()
         yield flush()
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
-_CODED = pa.schema([("doc_id", pa.int64()), ("runs", pa.list_(pa.list_(pa.int32()))), ("rare_at", pa.list_(pa.int32())), ("rare", pa.list_(pa.binary()))])
-
-
-def _encode_known(pattern: str, head, ranks):
-    """Ids of known words; runs[i] is followed by the rare word number rare_at[i]."""
+def pieces_ids(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each row and the end, ids) of strings of one character per piece."""
+    raw, at = text_buffers(pieces)
+    begins = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))  # characters before each byte
+    codes = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int32)
+    return begins[at], codes - np.where(codes < _SURROGATES, _OFFSET, _OFFSET + 0x800).astype(np.int32)
+
+
+class Known:
+    """Ids of known words: sorted hashes, with the words' bytes to compare.  Its size is bounded by the number of words."""
+
+    def __init__(self, words: pa.Array, pieces: pa.Array):
+        raw, at = text_buffers(words)
+        first, self.ids = pieces_ids(pieces)
+        hashes = hash_ranges(raw, at[:-1], at[1:])
+        order = np.argsort(hashes)
+        self.bytes, self.hash = raw.tobytes(), hashes[order]
+        self.word_at, self.word_size = at[:-1][order].astype(np.uint32), np.diff(at)[order].astype(np.uint16)
+        self.ids_at, self.ids_size = first[:-1][order].astype(np.uint32), np.diff(first)[order].astype(np.uint16)
+        if len(self.ids) and self.ids.max() < 1 << 16:
+            self.ids = self.ids.astype(np.uint16)
+
+    @classmethod
+    def of(cls, parts: list[Known]) -> Known:
+        """One table of the words of several."""
+        self = cls.__new__(cls)
+        self.bytes, self.ids = b"".join(k.bytes for k in parts), np.concatenate([k.ids for k in parts] or [np.zeros(0, np.int32)])
+        hashes = np.concatenate([k.hash for k in parts] or [np.zeros(0, np.uint64)])
+        order = np.argsort(hashes)
+        self.hash = hashes[order]
+        for at, size, of in (("word_at", "word_size", "bytes"), ("ids_at", "ids_size", "ids")):
+            begin = np.cumsum([0, *(len(getattr(k, of)) for k in parts)])
+            setattr(self, at, np.concatenate([getattr(k, at) + np.uint32(b) for k, b in zip(parts, begin[:-1], strict=True)] or [np.zeros(0, np.uint32)])[order])
+            setattr(self, size, np.concatenate([getattr(k, size) for k in parts] or [np.zeros(0, np.uint16)])[order])
+        return self
+
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """Packed 32-bit ids of each word, None for unknown ones."""
+        if not len(self.hash) or not words:
+            return [None] * len(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        hashes = hash_ranges(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], ends[:-1])), ends)
+        place = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        same = self.hash[place] == hashes
+        size = np.where(same, self.ids_size[place], 0).astype(np.int64)
+        ids, at = self.ids[ragged(self.ids_at[place].astype(np.int64), size)].astype(np.int32).tobytes(), (4 * np.concatenate(([0], np.cumsum(size)))).tolist()
+        begin = self.word_at[place].astype(np.int64)
+        rows = zip(words, same.tolist(), begin.tolist(), (begin + self.word_size[place]).tolist(), at[:-1], at[1:], strict=True)
+        return [ids[f:t] if hit and self.bytes[a:b] == w else None for w, hit, a, b, f, t in rows]
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The known words of a partition as one table."""
+    columns = list(zip(*(b.columns for b in batches if b.num_rows), strict=True))
+    if columns:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Known(*(pa.concat_arrays(c) for c in columns)))], pa.binary())], ["part"])
+
+
+class KnownParts:
+    """Tables as executors packed them; a task's process unpacks and joins them once."""
+
+    def __init__(self, parts: list[bytes]):
+        self.parts, self.known = parts, None
+
+    def joined(self) -> Known:
+        if self.known is None:
+            self.known, self.parts = Known.of([pickle.loads(p) for p in self.parts]), []
+        return self.known
+
+
+def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All of start[i], start[i] + 1, ... of length[i] numbers, one after another."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
+
+
+class Coder:
+    """Ids of texts; a word that is not known has the number of a rare word, negative."""
+
+    def __init__(self, pattern: str, known: Known, ranks: dict[bytes, int]):
+        self.splitter, self.known, self.ranks = Splitter(pattern), known, ranks
+        self.rare: list[str] = []
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        new = [w for w in words if w not in self.words]
+        raw = [w.encode() for w in new]
+        for w, r, ids in zip(new, raw, self.known.find(raw), strict=True):
+            if ids is None and len(r) > LONG:
+                ids = np.array(merge_long(r, self.ranks), np.int32).tobytes()
+            elif ids is None:
+                self.rare.append(w)
+                ids = np.array([-len(self.rare)], np.int32).tobytes()
+            self.words[w] = ids
+
+    def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, first place of each text and the end)."""
+        if len(self.runs) + len(self.words) > _COUNTED:
+            self.rare, self.words, self.runs = [], {}, {}
+        led, others, which, first = self.splitter.distinct(texts)
+        new = [r for r in led if r not in self.runs], [r for r in others if r not in self.runs]
+        words, place, run_at = self.splitter.words(*new)
+        self._learn(words)
+        ids, ends = _joined(list(map(self.words.__getitem__, words)), place)
+        ids, ends = ids.tobytes(), (4 * ends[run_at]).tolist()
+        self.runs.update(zip(new[0] + new[1], (ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)), strict=True))
+        ids, ends = _joined(list(map(self.runs.__getitem__, led + others)), which)
+        return ids, ends[first]
+
+
+def _joined(codes: list[bytes], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(packed ids codes[which[0]], codes[which[1]], ... joined, first place of each and the end)."""
+    at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, codes), np.int64, len(codes)) // 4)))
+    lists = pa.LargeListArray.from_arrays(at, pa.array(np.frombuffer(b"".join(codes), np.int32))).take(pa.array(which))
+    ends = lists.offsets.to_numpy() if len(which) else np.zeros(1, np.int64)
+    return lists.flatten().to_numpy(), ends - ends[0]
+
+
+_CODED = pa.schema([("doc_id", pa.int64()), ("packed", pa.binary()), ("rare", pa.list_(pa.string()))])
+
+
+def _encode_known(pattern: str, known, ranks):
+    """(doc_id, packed ids, rare words); a negative id is the number, from -1, of one of the rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, known = Splitter(pattern), head.value
-        rare: list[bytes] = []
-        rare_code: dict[str, bytes] = {}
-
-        def code(w: str) -> bytes:
-            if (ids := known.get(w)) is not None:
-                return ids
-            if len(raw := w.encode()) > LONG:
-                return np.array(merge_long(raw, ranks.value), np.int32).tobytes()
-            if w not in rare_code:
-                rare.append(raw)
-                rare_code[w] = np.array([-len(rare)], np.int32).tobytes()
-            return rare_code[w]
-
-        class Runs(dict):
-            def __missing__(self, r: str) -> bytes:
-                out = self[r] = b"".join(map(code, splitter.find(r)))
-                return out
-
-        seen = Runs()
+        coder = Coder(pattern, known.value.joined(), ranks.value)
         for batch in batches:
-            columns, held = ([], [], [], []), 0
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                text = text.as_py() or ""
-                found = splitter.runs(text)
-                ids = np.frombuffer(b"".join(map(code, splitter.find(text))) if found is None else b"".join(map(seen.__getitem__, found)), np.int32)
-                gaps = np.flatnonzero(ids < 0)
-                codes, at = np.unique(-1 - ids[gaps], return_inverse=True)
-                edges = np.concatenate(([0], np.ravel(np.column_stack((gaps, gaps + 1))), [len(ids)]))
-                columns[0].append(doc_id.as_py())
-                columns[1].append([ids[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
-                columns[2].append(at.astype(np.int32))
-                columns[3].append([rare[c] for c in codes])
-                held += len(ids)
-                if held > 1 << 19:
-                    yield _coded(columns)
-                    columns, held = ([], [], [], []), 0
-            if columns[0]:
-                yield _coded(columns)
-            if len(seen) > _COUNTED or len(rare) > _COUNTED:
-                seen.clear()
-                rare.clear()
-                rare_code.clear()
+            for low, high in text_slices(batch.column(1)):
+                codes, at = coder.code(batch.column(1)[low:high])
+                packed, rare = [], []
+                for a, b in zip(at[:-1], at[1:], strict=True):
+                    ids, which = codes[a:b], ()
+                    gaps = np.flatnonzero(ids < 0)
+                    if len(gaps):
+                        ids = ids.copy()
+                        which, number = np.unique(-1 - ids[gaps], return_inverse=True)
+                        ids[gaps] = -1 - number
+                    packed.append(ids.tobytes())
+                    rare.append([coder.rare[w] for w in which])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], pa.array(packed, pa.binary()), pa.array(rare, _CODED.field(2).type)], schema=_CODED)
+        del coder
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
-def _lists(parts: list, kind: pa.DataType) -> pa.Array:
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))), pa.int32()), pa.array(flat, kind))
+def _filled(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(doc_id, ids, first place of each document and the end) with the pieces of rare words in their places."""
+    for low, high, data, at in slices(batch.column(1), _TEXTS):
+        ids, first = np.frombuffer(data.tobytes(), np.int32), at // 4
+        rare = batch.column(2)[low:high]
+        rare_at, piece_at, piece = (rare.offsets.to_numpy() - rare.offsets[0].as_py()).astype(np.int64), *pieces_ids(rare.flatten())
+        start, length = np.arange(len(ids)), np.ones(len(ids), np.int64)
+        gaps = np.flatnonzero(ids < 0)
+        which = rare_at[np.searchsorted(first, gaps, "right") - 1] - 1 - ids[gaps]
+        start[gaps], length[gaps] = len(ids) + piece_at[which], piece_at[which + 1] - piece_at[which]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        yield batch.column(0)[low:high], np.concatenate((ids, piece))[ragged(start, length)], ends[first]
+
 
+def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc_id, ids, at in _filled(batch):
+            yield pa.RecordBatch.from_arrays([doc_id, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
 
-def _coded(columns: tuple) -> pa.RecordBatch:
-    ids, runs, at, rare = columns
-    inner = _lists([r for rs in runs for r in rs], pa.int32())
-    outer = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(rs) for rs in runs]))), pa.int32()), inner)
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), outer, _lists(at, pa.int32()), pa.array(rare, pa.list_(pa.binary()))], schema=_CODED)
+
+def _digests(ranks):
+    """Number of ids, digests of the ids and of the bytes they decode to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = [b""] * (max(ranks.value.values()) + 1)
+        for piece, rank in ranks.value.items():
+            pieces[rank] = piece
+        name, piece = [b"%d" % i for i in range(len(pieces))].__getitem__, pieces.__getitem__
+        for batch in batches:
+            for doc_id, ids, at in _filled(batch):
+                each = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+                joined = ([hashlib.sha256(mark.join(map(of, x))).hexdigest() for x in each] for mark, of in ((b",", name), (b"", piece)))
+                yield pa.RecordBatch.from_arrays([doc_id, pa.array(np.diff(at)), *(pa.array(x, pa.string()) for x in joined)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
 
 
 def head_words(texts: DataFrame, pattern: str, most: int = HEAD) -> tuple[DataFrame, DataFrame]:
@@ -257,25 +416,31 @@ def head_words(texts: DataFrame, pattern: str, most: int = HEAD) -> tuple[DataFr
     return words, words.where(step >= least)
 
 
+def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) -> DataFrame:
+    """(doc_id, packed, rare): packed ids, and the pieces of the rare words whose numbers stand among them."""
+    spark = small_batches(docs.sparkSession)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    table = rank_literal(ranks)
+    words = head_words(texts, pattern, most)[1].where((F.octet_length("word") <= LONG) & (F.col("n") > 1))
+    folded = words.select("word", fold_merges(F.col("word"), table, ranks).alias("pieces")).mapInArrow(_pack, "part binary")  # at most `most` words
+    known = spark.sparkContext.broadcast(KnownParts([bytes(r.part) for r in folded.collect()]))
+    coded = texts.mapInArrow(_encode_known(pattern, known, spark.sparkContext.broadcast(ranks)), "doc_id long, packed binary, rare array<string>")
+    return coded.select("doc_id", "packed", F.transform("rare", lambda w: fold_merges(w, table, ranks)).alias("rare"))
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = HEAD) -> DataFrame:
     """One row per input row: doc_id and ids (array<int>)."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    words = head_words(texts, pattern, most)[1].where(F.octet_length("word") <= LONG).select("word")
-    folded = words.select("word", fold_merges(F.encode("word", "UTF-8"), rank_literal(ranks), byte_literal(ranks)).alias("ids")).toArrow()  # at most `most` rows
-    ids = folded.column("ids").combine_chunks()
-    at, flat = ids.offsets.to_numpy(), np.asarray(ids.values, np.int32)
-    known = {w: flat[a:b].tobytes() for w, a, b in zip(folded.column("word").to_pylist(), at[:-1], at[1:], strict=True)}
-    head, shipped = spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(ranks)
-    coded = texts.mapInArrow(_encode_known(pattern, head, shipped), "doc_id long, runs array<array<int>>, rare_at array<int>, rare array<binary>")
-    table, single = rank_literal(ranks), byte_literal(ranks)
-    rare = F.transform("rare", lambda w: fold_merges(w, table, single))
-    # the rare words' ids are bound before the runs are walked, or the optimizer would fold them again for every run
-    joined = _bind(rare, lambda ids: F.flatten(F.transform("runs", lambda r, i: F.concat(r, F.coalesce(F.get(ids, F.get(F.col("rare_at"), i)), F.array().cast("array<int>"))))))
-    return coded.select("doc_id", joined.alias("ids"))
+    return _coded(docs, ranks, pattern, most).mapInArrow(_ids, "doc_id long, ids array<int>")
+
+
+def encode_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = HEAD) -> DataFrame:
+    """One row per input row: doc_id, n_tokens, and digests of the decimal ids joined by commas and of the bytes that the ids decode to."""
+    shipped = docs.sparkSession.sparkContext.broadcast(ranks)
+    return _coded(docs, ranks, pattern, most).mapInArrow(_digests(shipped), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     """The bytes (binary) of an array of ids."""
     pieces = piece_literal(ranks)
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
+

@@ -73,16 +73,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return digest_tokens(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
-
-
-def digest_tokens(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
-    )
+    return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 QUERIES = {

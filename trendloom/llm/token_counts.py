@@ -20,11 +20,12 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import Splitter, head_words
+from .byte_bpe import Splitter, head_words, text_slices
 from .common import stored
 
 HEAD = 1 << 18
@@ -72,32 +73,32 @@ def _count(pattern: str, head):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, counts = Splitter(pattern), head.value
+        seen: dict[str, tuple[int, int, list[str]]] = {}
 
-        def measure(words: list[str]) -> tuple[int, int, list[str]]:
+        def measure(led: list[str], others: list[str]) -> None:
+            words, place, first = splitter.words(led, others)
             known = [counts.get(w) for w in words]
-            return len(words), sum(k for k in known if k), [w for w, k in zip(words, known, strict=True) if k is None]
+            total = np.concatenate(([0], np.cumsum(np.array([k or 0 for k in known], np.int64)[place])))[first]
+            rare = np.array([k is None for k in known], bool)[place]
+            for r, a, b, k in zip(led + others, first[:-1].tolist(), first[1:].tolist(), np.diff(total).tolist(), strict=True):
+                seen[r] = b - a, k, [words[w] for w in place[a:b][rare[a:b]]] if rare[a:b].any() else []
 
-        class Runs(dict):
-            def __missing__(self, r: str):
-                out = self[r] = measure(splitter.find(r))
-                return out
-
-        seen = Runs()
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                doc_id, text = doc_id.as_py(), text.as_py() or ""
-                found = splitter.runs(text)
-                parts = [measure(splitter.find(text))] if found is None else list(map(seen.__getitem__, found))
-                rows.append((doc_id, f"\0\0{doc_id}", 0, sum(p[0] for p in parts), sum(p[1] for p in parts)))
-                rows.extend((doc_id, w, n, 0, 0) for w, n in Counter(w for p in parts for w in p[2]).items())
-                if len(rows) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                    rows = []
-            if rows:
+            for low, high in text_slices(batch.column(1)):
+                led, others, which, first = splitter.distinct(batch.column(1)[low:high])
+                if len(seen) > 300_000:
+                    seen.clear()
+                measure([r for r in led if r not in seen], [r for r in others if r not in seen])
+                found = [seen[r] for r in led + others]
+                words, known = (np.concatenate(([0], np.cumsum(np.array([f[j] for f in found], np.int64)[which])))[first] for j in (0, 1))
+                rare = np.array([bool(f[2]) for f in found])[which]
+                places = np.flatnonzero(rare)
+                at = np.searchsorted(places, first)
+                rows: list[tuple] = []
+                for i, doc_id in enumerate(batch.column(0)[low:high].to_pylist()):
+                    rows.append((doc_id, f"\0\0{doc_id}", 0, int(words[i + 1] - words[i]), int(known[i + 1] - known[i])))
+                    rows.extend((doc_id, w, n, 0, 0) for w, n in Counter(w for p in which[places[at[i] : at[i + 1]]] for w in found[p][2]).items())
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-            if len(seen) > 300_000:
-                seen.clear()
 
     return run
 
