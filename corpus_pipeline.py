@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.llm import byte_bpe, decontaminate, line_dedup, near_duplicates, toxicity
-from trendloom.llm.common import stored, table
-from trendloom.llm.queries import digest_tokens
+from trendloom.llm.common import discard, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of ids and of the decoded bytes."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return digest_tokens(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return byte_bpe.encode_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [
@@ -57,7 +56,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each stage's result stored and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if read is not None:
+            discard(read)  # no later stage reads it
+        read = docs
     return docs
