@@ -33,6 +33,66 @@ def test_longest_compound_wins(spark):
     assert one(spark, tx.merge_compounds(F.array().cast("array<string>"), words("가나"))) == []
 
 
+def test_compounds_join_only_tokens_that_touch(spark):
+    words = lambda *w: F.array(*map(F.lit, w))
+    spans = lambda *p: F.array(*(F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in p))
+    tokens = words("데이터", "센터", "투자")
+    merged = lambda text, *p: one(spark, tx.merge_compounds(tokens, words("데이터센터"), 6, spans(*p), F.lit(text)))
+    assert merged("데이터 센터 투자", (0, 3), (4, 6), (7, 9)) == ["데이터센터", "투자"]
+    assert merged("데이터, 센터 투자", (0, 3), (5, 7), (8, 10)) == ["데이터", "센터", "투자"]
+    assert one(spark, tx.compound_window(words("가나다"))) == 3
+    assert one(spark, tx.compound_window(words("가나다라마바사아"))) == 6
+
+
+def test_hangul_is_composed_before_cleaning(spark):
+    import unicodedata
+
+    for text in ("혁신 ai 값", "가각", "no hangul"):
+        assert one(spark, tx.clean_text(F.lit(unicodedata.normalize("NFD", text)))) == text
+    assert one(spark, tx.clean_text(F.lit("now [+12 chars] [+3chars]"))) == "now chars"
+
+
+def test_texts_are_tokenised_once(spark):
+    a = spark.createDataFrame([("p", "d", "u", T(2024, 1, 1), "alpha beta")], "provider string, domain string, url string, event_time timestamp_ntz, article_text string")
+    plan = keywords.article_keywords(keywords.tokenize(a))._jdf.queryExecution().executedPlan().toString()
+    assert sum("http" in line for line in plan.splitlines()) == 1
+
+
+def test_purge_counts_every_row(spark):
+    log = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "a"), ("b", "c")], "keyword_a string, keyword_b string")
+    kept, counts = dictionary.purge_words({"pairs": log}, spark.createDataFrame([("a",), ("a",)], "word string"))
+    assert [tuple(r) for r in kept["pairs"].collect()] == [("b", "c")]
+    assert [tuple(r) for r in counts.collect()] == [("pairs", 3)]
+
+
+def test_ranges_on_offer():
+    assert serving.preset_range(T(2024, 1, 2), "6h") == (T(2024, 1, 1, 18), T(2024, 1, 2), 30)
+    assert [serving.auto_bucket(T(2024, 1, 1), T(2024, 1, d)) for d in (1, 3, 5, 20)] == [5, 15, 60, 240]
+
+
+def test_bounded_pairs_take_the_most_frequent(spark):
+    df = _keywords(spark, [("p", "d", "u", T(2024, 1, 1), k, n) for k, n in (("a", 3), ("b", 2), ("c", 1))])
+    got = lambda **k: {(r.keyword_a, r.keyword_b): r.cooccurrence_count for r in keywords.min_count_relations(df, **k).collect()}
+    assert got() == {("a", "b"): 2, ("a", "c"): 1, ("b", "c"): 1}
+    assert got(most=2) == {("a", "b"): 2}
+
+
+def test_files_of_feeds_letters_and_words(spark, tmp_path):
+    from trendloom.sources import readers
+
+    (tmp_path / "feeds.csv").write_text("publisher,feed_name,domain,url,is_active,notes\nA,f,d,http://a,true,x\nB,g,d,http://b,false,\nC,h,d, ,yes,\n")
+    assert [r.publisher for r in readers.read_feed_catalog(spark, str(tmp_path / "feeds.csv")).collect()] == ["A"]
+    (tmp_path / "feed.xml").write_text("<rss><channel><item><title><![CDATA[<b>T</b> one]]></title><description>&lt;p&gt;S&lt;/p&gt;</description><link>http://x/1</link><pubDate>Mon, 02 Mar 2026 03:00:00 +0900</pubDate></item></channel></rss>")
+    row = readers.read_feed_items(spark, str(tmp_path / "feed.xml"), "A", "d", "f").first()
+    assert (row.provider, row.source, row.title, row.summary, row.url, str(row.published_at), row._query) == ("A", "A", "T one", "S", "http://x/1", "2026-03-01 18:00:00", "f")
+    (tmp_path / "dead.jsonl").write_text('{"failed_at": "t", "reason": "r", "attempt": 1, "payload": {"title": "x"}}\n\n{bad\n')
+    good, bad = readers.read_dead_letters(spark, str(tmp_path / "dead.jsonl"))
+    assert [r.attempt for r in good.collect()] == [1]
+    assert bad.count() == 1
+    (tmp_path / "words.txt").write_text("# note\n\n가나\n가나\nabc\n다라 \n")
+    assert sorted(r.word for r in readers.read_word_list(spark, str(tmp_path / "words.txt")).collect()) == ["가나", "다라"]
+
+
 @pytest.mark.parametrize(("current", "previous", "growth", "score"), [(9, 0, 1.0, 83), (7, 5, 0.4, 54), (1, 10, -0.9, 0), (0, 0, 0.0, 0)])
 def test_growth_and_score(spark, current, previous, growth, score):
     g = tx.safe_growth(F.lit(current), F.lit(previous))

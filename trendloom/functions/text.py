@@ -14,11 +14,26 @@ _NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39
 MAX_PARTS = 6
 
 
+def composed_hangul(text: Column) -> Column:
+    """Canonical composition of Hangul, by its arithmetic; texts without such letters are left as they are."""
+    parts = F.regexp_extract_all(text, F.lit("(?s)[ᄀ-ᄒ][ᅡ-ᅵ][ᆨ-ᇂ]?|[가-힣][ᆨ-ᇂ]|."), F.lit(0))
+    code = lambda p, i: F.ascii(F.substring(p, i, 1))
+    last = lambda p, i: F.when(F.length(p) >= i, code(p, i) - 0x11A7).otherwise(0)
+    letter = lambda n: F.decode(F.unhex(F.hex(n)), "UTF-16BE")
+
+    def joined(p: Column) -> Column:
+        whole = F.when(code(p, 1) < 0xAC00, letter(0xAC00 + ((code(p, 1) - 0x1100) * 21 + code(p, 2) - 0x1161) * 28 + last(p, 3)))
+        open_ = (code(p, 1) - 0xAC00) % 28 == 0  # a syllable that has no last letter yet
+        return F.when(F.length(p) < 2, p).otherwise(F.coalesce(whole, F.when(open_, letter(code(p, 1) + last(p, 2))).otherwise(p)))
+
+    return F.when(text.rlike("[ᄀ-ᄒ][ᅡ-ᅵ]|[가-힣][ᆨ-ᇂ]"), F.array_join(F.transform(parts, joined), "")).otherwise(text)
+
+
 def clean_text(text: Column) -> Column:
-    """Lower case letters a-z and Hangul with single blanks; links, tags and [+N chars] marks go.  Composed characters are assumed, see `composed`."""
-    text = F.regexp_replace(text, r"(?U)http\S+", " ")
+    """Lower case letters a-z and Hangul with single blanks; links, tags and [+N chars] marks go.  Hangul is composed first; for other composed letters see `composed`."""
+    text = F.regexp_replace(composed_hangul(text), r"(?U)http\S+", " ")
     text = F.regexp_replace(text, r"<[^>]+>", " ")
-    text = F.regexp_replace(text, r"\[\+\d+\s*chars\]", " ")
+    text = F.regexp_replace(text, r"\[\+\d+\s+chars\]", " ")
     text = F.regexp_replace(F.lower(text), r"[^a-z가-힣\s]", " ")
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
@@ -78,16 +93,33 @@ def tokens(text: Column, stopwords: Column | None = None, min_len: int = 2) -> C
     return F.filter(F.split(text, " "), lambda t: keep(t) & ~F.array_contains(stop, t) if stop is not None else keep(t))
 
 
-def merge_compounds(words: Column, known: Column, max_window: int = MAX_PARTS) -> Column:
-    """Greedy longest match: runs of 2 to max_window tokens that join to a known word become that word."""
+def compound_window(known: Column) -> Column:
+    """Most tokens of a compound: the characters of the longest known word, from 2 to MAX_PARTS."""
+    return F.least(F.lit(MAX_PARTS), F.greatest(F.lit(2), F.coalesce(F.array_max(F.transform(known, F.length)), F.lit(2))))
+
+
+def touching(spans: Column, text: Column) -> Column:
+    """For each token but the last, whether only white space, or nothing, stands between it and the next; spans: array of (start, end) from 0."""
+    gap = lambda a, b: F.substring(text, a["end"] + 1, b["start"] - a["end"])
+    free = lambda a, i: F.when(i + 1 < F.size(spans), F.coalesce(~gap(a, F.get(spans, i + 1)).rlike(r"\S"), F.lit(False))).otherwise(False)
+    return F.transform(spans, free)
+
+
+def merge_compounds(words: Column, known: Column, max_window: int = MAX_PARTS, spans: Column | None = None, text: Column | None = None) -> Column:
+    """Greedy longest match: runs of 2 to max_window tokens that join to a known word become that word.
+
+    No more tokens are joined than the longest known word has characters; with spans, only tokens that touch in the text.
+    """
     if not 2 <= max_window <= MAX_PARTS:
         raise ValueError(f"max_window must lie between 2 and {MAX_PARTS}")
+    free = None if spans is None else touching(spans, F.lit("") if text is None else text)
 
     def longest(i: Column) -> Column:
         size = F.lit(1)
         for n in range(2, max_window + 1):
             joined = F.array_join(F.slice(words, i + 1, n), "")
-            size = F.when((i + n <= F.size(words)) & F.array_contains(known, joined), n).otherwise(size)
+            fits = (i + n <= F.size(words)) & (F.lit(n) <= compound_window(known)) & F.array_contains(known, joined)
+            size = F.when(fits if free is None else fits & F.forall(F.slice(free, i + 1, n - 1), lambda x: x), n).otherwise(size)
         return size
 
     start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<string>").alias("out"))

@@ -25,10 +25,10 @@ def partners(keyword_set: DataFrame, relations: DataFrame) -> DataFrame:
     return both.join(keyword_set.select("keyword").distinct(), "keyword", "left_semi")
 
 
-def stopword_signals(trends: DataFrame, keywords: DataFrame, relations: DataFrame, n_domains: int, as_of) -> DataFrame:
+def stopword_signals(trends: DataFrame, keywords: DataFrame, relations: DataFrame, n_domains: int, as_of, days: int = 7) -> DataFrame:
     """Signals of keywords mentioned often enough: breadth, repetition, stability, partners, shortness."""
-    base = eligible_keywords(trends, as_of).groupBy("keyword").agg(F.least(F.lit(1.0), F.countDistinct("domain") / n_domains).alias("domain_breadth"), F.sum("n").alias("frequency"))
-    recent = trends.where((F.col("window_start") >= F.lit(as_of) - F.make_dt_interval(days=F.lit(7))) & (F.col("window_start") < as_of))
+    base = eligible_keywords(trends, as_of, days).groupBy("keyword").agg(F.least(F.lit(1.0), F.countDistinct("domain") / n_domains).alias("domain_breadth"), F.sum("n").alias("frequency"))
+    recent = trends.where((F.col("window_start") >= F.lit(as_of) - F.make_dt_interval(days=F.lit(days))) & (F.col("window_start") < as_of))
     repeated = keywords.groupBy("keyword").agg(F.least(F.lit(1.0), F.avg("keyword_count") / 5).alias("repetition"))
     steady = recent.groupBy("keyword").agg(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.stddev_samp("keyword_count") / F.avg("keyword_count"))).alias("stability"))
     near = partners(base, relations).groupBy("keyword").agg(F.least(F.lit(1.0), F.countDistinct("partner") / 50).alias("cooccurrence_breadth"))
@@ -81,6 +81,23 @@ def review_candidates(candidates: DataFrame, evidence: DataFrame, generic: DataF
     return rows.withColumn("status", status)
 
 
+def excluded_words(stopwords: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Words that are not recommended again: stopwords, and candidates that were decided."""
+    return stopwords.select("word").union(candidates.where(F.col("status").isin("approved", "rejected")).select("word")).distinct()
+
+
+def review_decisions(candidates: DataFrame, decisions: DataFrame, dictionary: DataFrame, reviewed_at, source: str = "auto-approved") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(candidates, dictionary, audit rows) after a reviewer's decisions: word, domain, action approved or rejected, actor; approved words enter the dictionary once."""
+    made = decisions.select("word", "domain", F.col("action").alias("_action"), F.col("actor").alias("_actor"))
+    rows = candidates.join(made, ["word", "domain"], "left")
+    now = F.when(F.col("_action").isNotNull(), F.lit(reviewed_at)).otherwise(F.col("reviewed_at")).alias("reviewed_at")
+    changed = {"status": F.coalesce("_action", "status").alias("status"), "reviewed_at": now, "reviewed_by": F.coalesce("_actor", "reviewed_by").alias("reviewed_by")}
+    after = rows.select(*(changed.get(c, F.col(c)) for c in candidates.columns))
+    approved = rows.where("_action = 'approved'").select("word", "domain", F.lit("approved").alias("status"))
+    audit = rows.where("_action is not null").select("word", "domain", F.col("_action").alias("action"), F.col("status").alias("before_status"), F.col("_action").alias("after_status"), F.col("_actor").alias("actor"), F.lit(reviewed_at).alias("acted_at"))
+    return after, approved_words(dictionary, approved, source), audit
+
+
 def approved_words(dictionary: DataFrame, reviewed: DataFrame, source: str) -> DataFrame:
     new = reviewed.where("status = 'approved'").select("word", "domain", F.lit(source).alias("source")).distinct()
     return dictionary.unionByName(new.join(dictionary, ["word", "domain"], "left_anti").select(*dictionary.columns))
@@ -109,15 +126,12 @@ def purge_words(tables: dict[str, DataFrame], words: DataFrame) -> tuple[dict[st
     """Tables without rows of the words, on either side of a pair, and the rows removed per table."""
     out, counts = {}, None
     for name, df in tables.items():
-        kept, columns = df, [c for c in ("keyword", "keyword_a", "keyword_b") if c in df.columns]
-        for c in columns:
-            kept = kept.join(words.select(F.col("word").alias(c)), c, "left_anti")
-        out[name] = kept
-        gone = None
+        marked, columns = df, [c for c in ("keyword", "keyword_a", "keyword_b") if c in df.columns]
         for c in columns:
-            part = df.join(words.select(F.col("word").alias(c)), c, "left_semi").select(*df.columns)
-            gone = part if gone is None else gone.union(part)
-        n = gone.distinct().agg(F.count("*").alias("removed")).select(F.lit(name).alias("name"), "removed")
+            marked = marked.join(words.select(F.col("word").alias(c), F.lit(True).alias(f"_{c}_gone")).distinct(), c, "left")
+        gone = F.coalesce(*(F.col(f"_{c}_gone") for c in columns), F.lit(False))
+        out[name] = marked.where(~gone).select(*df.columns)
+        n = marked.agg(F.count_if(gone).alias("removed")).select(F.lit(name).alias("name"), "removed")
         counts = n if counts is None else counts.union(n)
     return out, counts
 

@@ -46,7 +46,7 @@ def spike_table(events: DataFrame, by: str = "event_score", k: int = 12) -> Data
 def heatmap_events(series: DataFrame, spine: DataFrame, min_mentions: int = 5, min_growth: float = 0.15) -> DataFrame:
     """Events over dense buckets: series (keyword, bucket, mentions), spine (bucket) of all buckets from 0."""
     keywords = series.groupBy("keyword").agg(F.lit(1).alias("_one"))
-    dense = keywords.join(spine.select("bucket", F.lit(1).alias("_one")), "_one").drop("_one")
+    dense = keywords.join(F.broadcast(spine.select("bucket", F.lit(1).alias("_one"))), "_one").drop("_one")  # a bounded list of buckets
     dense = dense.join(series, ["keyword", "bucket"], "left").withColumn("current_mentions", F.coalesce("mentions", F.lit(0)))
     w = W.partitionBy("keyword").orderBy("bucket")
     dense = dense.withColumn("prev_mentions", F.lag("current_mentions", 1, 0).over(w))

@@ -55,11 +55,16 @@ def normalize_search_items(items: DataFrame, query: str) -> DataFrame:
 def filter_incremental(df: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Rows newer than their key's checkpoint; an unknown key takes the latest checkpoint, rows without a date go."""
     latest = checkpoints.groupBy(F.lit(1).alias("_one")).agg(F.max("checkpoint").alias("_latest"))
-    rows = df.join(checkpoints, "key", "left").withColumn("_one", F.lit(1)).join(latest, "_one", "left")
+    rows = df.join(checkpoints, "key", "left").withColumn("_one", F.lit(1)).join(F.broadcast(latest), "_one", "left")  # one row
     limit = F.coalesce("checkpoint", "_latest")
     return rows.where(limit.isNull() | (F.col("published_at") > limit)).drop("checkpoint", "_one", "_latest")
 
 
+def articles_ingested_between(articles: DataFrame, since, until) -> DataFrame:
+    """Title, summary and domain of articles ingested in [since, until), for mining."""
+    return articles.where((F.col("ingested_at") >= since) & (F.col("ingested_at") < until))
+
+
 def advance_checkpoints(checkpoints: DataFrame, results: DataFrame, run_at) -> DataFrame:
     """Keys that ran well move to run_at, failed ones keep theirs, keys not run are removed."""
     rows = results.join(checkpoints, "key", "left")

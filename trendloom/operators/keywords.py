@@ -17,7 +17,7 @@ def scoped_words(words: DataFrame, domains: DataFrame) -> DataFrame:
     names = domains.select("domain").distinct()
     own = names.join(words, "domain").select("domain", "word")
     shared = words.where("domain = 'all'").groupBy(F.lit(1).alias("_one")).agg(F.collect_set("word").alias("shared"))  # one row
-    shared = names.withColumn("_one", F.lit(1)).join(shared, "_one").select("domain", F.explode("shared").alias("word"))
+    shared = names.withColumn("_one", F.lit(1)).join(F.broadcast(shared), "_one").select("domain", F.explode("shared").alias("word"))
     every = words.select(F.lit("all").alias("domain"), "word")
     return own.union(shared).union(every).groupBy("domain").agg(F.sort_array(F.collect_set("word")).alias("words"))
 
@@ -38,7 +38,8 @@ def tokenize(articles: DataFrame, text: str = "article_text", stopwords: DataFra
 
 def article_keywords(tokenized: DataFrame, min_len: int = 2) -> DataFrame:
     """keyword_count per article and keyword."""
-    words = tokenized.select(*ARTICLE, F.explode("tokens").alias("keyword"))
+    # explode would also be inferred as a filter on the size of tokens, for which every text were tokenised twice
+    words = tokenized.select(*ARTICLE, F.explode_outer("tokens").alias("keyword"))
     return words.where(F.length("keyword") >= min_len).groupBy(*ARTICLE, "keyword").agg(F.count("*").alias("keyword_count"))
 
 
@@ -82,24 +83,27 @@ def hourly_rollup(keywords: DataFrame, time: str = "processed_at") -> DataFrame:
     return out.withColumn("window_end", F.col("window_start") + F.expr("interval 1 hour"))
 
 
-def min_count_relations(keywords: DataFrame) -> DataFrame:
-    """All pairs of an article's keywords; weight is the sum of the smaller counts."""
-    a = keywords.select(*ARTICLE_KEY, F.col("keyword").alias("keyword_a"), F.col("keyword_count").alias("a"))
-    b = keywords.select(*ARTICLE_KEY, F.col("keyword").alias("keyword_b"), F.col("keyword_count").alias("b"))
-    pairs = a.join(b, ARTICLE_KEY).where("keyword_a < keyword_b")
-    return pairs.groupBy("provider", "domain", "keyword_a", "keyword_b").agg(F.sum(F.least("a", "b")).alias("cooccurrence_count"))
+def min_count_relations(keywords: DataFrame, most: int | None = None) -> DataFrame:
+    """All pairs of an article's keywords, from one list per article; weight is the sum of the smaller counts.
+
+    `most` bounds the keywords of an article that are paired, the most frequent first; None, the default, pairs all.
+    """
+    if most is not None:
+        keywords = representative_keywords(keywords.withColumn("event_time", F.lit(None).cast("timestamp_ntz")), most)
+    lists = keywords.groupBy(*ARTICLE_KEY).agg(F.array_sort(F.collect_list(F.struct("keyword", "keyword_count"))).alias("k"))
+    firsts = lists.select("provider", "domain", F.posexplode("k").alias("at", "a"), "k")
+    pairs = firsts.select("provider", "domain", F.col("a.keyword").alias("keyword_a"), F.col("a.keyword_count").alias("a"), F.explode(F.slice("k", F.col("at") + 2, F.size("k"))).alias("b"))
+    return pairs.groupBy("provider", "domain", "keyword_a", F.col("b.keyword").alias("keyword_b")).agg(F.sum(F.least("a", "b.keyword_count")).alias("cooccurrence_count"))
 
 
 def mine_compounds(spans: DataFrame, max_parts: int = 4, min_chars: int = 4, min_freq: int = 3, exclude: DataFrame | None = None) -> DataFrame:
     """Runs of 2 to max_parts touching tokens (doc_key, domain, pos, token, start, end), counted per domain and word."""
     w = W.partitionBy("doc_key").orderBy("pos")
-    out = spans.withColumn("word", F.col("token")).withColumn("_end", F.col("end")).withColumn("_alive", F.lit(True))
-    runs = None
+    out = spans
     for n in range(1, max_parts):
         touching = F.lead("start", n).over(w) == (F.col("end") if n == 1 else F.lead("end", n - 1).over(w))
         out = out.withColumn(f"_t{n}", F.coalesce(touching, F.lit(False)) & (F.lit(True) if n == 1 else F.col(f"_t{n - 1}"))).withColumn(f"_w{n}", F.lead("token", n).over(w))
-    for n in range(1, max_parts):
-        one = out.where(f"_t{n}").select("doc_key", "domain", F.concat("token", *(F.col(f"_w{i}") for i in range(1, n + 1))).alias("word"))
-        runs = one if runs is None else runs.union(one)
+    words = F.array(*(F.when(F.col(f"_t{n}"), F.concat("token", *(F.col(f"_w{i}") for i in range(1, n + 1)))) for n in range(1, max_parts)))
+    runs = out.select("doc_key", "domain", F.explode(words).alias("word"))
     counted = runs.where(F.length("word") >= min_chars).groupBy("domain", "word").agg(F.count("*").alias("frequency"), F.countDistinct("doc_key").alias("doc_count")).where(F.col("frequency") >= min_freq)
     return counted.join(exclude.select("word").distinct(), "word", "left_anti") if exclude is not None else counted

@@ -7,13 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, decide, normalize_summary, strip_html
+from ..functions.text import clean_text, decide, normalize_summary, safe_growth, strip_html
 from ..operators import dictionary, events, ingest, keywords, merge
 from ..sources.fixtures import articles_from_conversations, articles_from_documents, keyword_stream_from_events, table
 from ..schemas import METADATA
 from . import serving
 
-START, END = datetime(2024, 1, 1, 2), datetime(2024, 1, 1, 4)
+START, END = datetime(2024, 1, 16), datetime(2024, 1, 31)  # with the range before it, all 30 days of the articles
 DAY = "1 day"
 
 
@@ -69,11 +69,11 @@ def _pages(s: SparkSession, d: str) -> DataFrame:
 
 
 # --- SQL shared by several oracles
-_TS = "TIMESTAMP '2024-01-01' + to_minutes(CAST({0} % 43200 AS BIGINT))"
+_TS = "TIMESTAMP '2024-01-01' + to_minutes(CAST({0} * 7919 % 43200 AS BIGINT))"
 ART = f"""articles AS (
   SELECT source AS provider, lang AS domain, 'doc://' || doc_id AS url, string_split(text, chr(10))[1] AS title, text AS summary, {_TS.format("doc_id")} AS event_time, doc_id FROM documents),
 texts AS (SELECT *, CASE WHEN summary IS NULL OR trim(summary) = '' OR coalesce(trim(summary) = trim(title), false) THEN title ELSE concat_ws(' ', title, summary) END AS article_text FROM articles)"""
-_CLEAN = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace({0}, 'http\S+', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\[\+\d+\s*chars\]', ' ', 'g')), '[^a-z가-힣\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+_CLEAN = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace({0}, 'http\S+', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\[\+\d+\s+chars\]', ' ', 'g')), '[^a-z가-힣\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 _COUNTED = """ AS (SELECT provider, domain, url, event_time, keyword, count(*) AS keyword_count FROM (
   SELECT provider, domain, url, event_time, unnest(string_split({0}, ' ')) AS keyword FROM {1}) WHERE length(keyword) >= 2 AND regexp_full_match(keyword, '[가-힣]+|[a-z]+') GROUP BY ALL)"""
 KW = f"WITH {ART}, kw" + _COUNTED.format(_CLEAN.format("article_text"), "texts")
@@ -92,9 +92,9 @@ lagged AS (SELECT *, window_start + INTERVAL 1 DAY AS window_end, lag(current_me
 grown AS (SELECT *, {_GROWTH.format("current_mentions", "prev_mentions")} AS growth FROM lagged),
 scored AS (SELECT *, {_SCORED.format("current_mentions")} FROM grown),
 found AS (SELECT *, window_end AS event_time FROM scored WHERE current_mentions > 0 AND (is_spike OR current_mentions >= 5 OR growth >= 0.15))"""
-_RANGE = "{0} >= TIMESTAMP '2024-01-01 02:00:00' AND {0} < TIMESTAMP '2024-01-01 04:00:00'"
-_BEFORE = "{0} >= TIMESTAMP '2024-01-01 00:00:00' AND {0} < TIMESTAMP '2024-01-01 02:00:00'"
-_B30 = "time_bucket(INTERVAL 30 minutes, {0}, TIMESTAMP '2024-01-01 02:00:00')"
+_RANGE = "{0} >= TIMESTAMP '2024-01-16' AND {0} < TIMESTAMP '2024-01-31'"
+_BEFORE = "{0} >= TIMESTAMP '2024-01-01' AND {0} < TIMESTAMP '2024-01-16'"
+_B30 = "time_bucket(INTERVAL 30 minutes, {0}, TIMESTAMP '2024-01-16')"
 _EVENT_COLUMNS = f"provider, domain, keyword, {_F.format('window_start')} AS window_start, {_F.format('window_end')} AS window_end, current_mentions, prev_mentions, growth, is_spike, event_score, {_F.format('event_time')} AS event_time"
 TOTALS = TRENDS + f", totals AS (SELECT keyword, CAST(sum(CASE WHEN {_RANGE.format('window_start')} THEN keyword_count ELSE 0 END) AS BIGINT) AS mentions, CAST(sum(CASE WHEN {_BEFORE.format('window_start')} THEN keyword_count ELSE 0 END) AS BIGINT) AS previous_mentions FROM trends WHERE {_RANGE.format('window_start')} OR {_BEFORE.format('window_start')} GROUP BY keyword)"
 OVERVIEW = TOTALS + f""", candidates AS (SELECT keyword FROM totals WHERE mentions > 0 ORDER BY mentions DESC, keyword LIMIT 80),
@@ -102,7 +102,7 @@ buckets AS (SELECT keyword, {_B30.format("event_time")} AS b, sum(keyword_count)
 ow AS (SELECT keyword, CAST(sum(CASE WHEN {_RANGE.format("b")} THEN m ELSE 0 END) AS BIGINT) AS mentions, CAST(sum(CASE WHEN {_BEFORE.format("b")} THEN m ELSE 0 END) AS BIGINT) AS previous_mentions, CAST(sum(CASE WHEN {_RANGE.format("b")} THEN a ELSE 0 END) AS BIGINT) AS article_count FROM buckets GROUP BY keyword),
 og AS (SELECT *, {_GROWTH.format("mentions", "previous_mentions")} AS growth FROM ow WHERE mentions > 0),
 os AS (SELECT *, {_SCORED.format("mentions")} FROM og)"""
-SERIES = f"WITH RECURSIVE spine(b) AS (SELECT TIMESTAMP '2024-01-01 02:00:00' UNION ALL SELECT b + INTERVAL 30 minutes FROM spine WHERE b < TIMESTAMP '2024-01-01 03:30:00'), "
+SERIES = f"WITH RECURSIVE spine(b) AS (SELECT TIMESTAMP '2024-01-16' UNION ALL SELECT b + INTERVAL 30 minutes FROM spine WHERE b < TIMESTAMP '2024-01-30 23:30:00'), "
 
 
 def q_clean_text(s, d):
@@ -212,7 +212,7 @@ def q_dedup_articles(s, d):
 
 
 def q_stopword_signals(s, d):
-    return dictionary.stopword_signals(_trends(s, d), _chat(s, d).drop("event_time"), keywords.keyword_relations(keywords.keyword_pairs(keywords.representative_keywords(_kw(s, d)))), 4, datetime(2024, 1, 8))
+    return dictionary.stopword_signals(_trends(s, d), _kw(s, d), _relations(s, d), 4, datetime(2024, 1, 31), 30)
 
 
 def q_stopword_scores(s, d):
@@ -220,7 +220,7 @@ def q_stopword_scores(s, d):
 
 
 def q_compound_candidates(s, d):
-    return keywords.mine_compounds(dictionary.whitespace_spans(_docs(s, d)), min_freq=5)
+    return keywords.mine_compounds(dictionary.whitespace_spans(_docs(s, d)))
 
 
 def q_backfill_windows(s, d):
@@ -354,7 +354,7 @@ def _candidates(s, d):
 
 
 def q_review_queue(s, d):
-    return dictionary.review_queue(_candidates(s, d), F.lit(END.replace(day=10)).cast("timestamp_ntz"), 100).select("word", "domain", "frequency", "doc_count")
+    return dictionary.review_queue(_candidates(s, d), F.lit(datetime(2024, 1, 10, 4)).cast("timestamp_ntz"), 100).select("word", "domain", "frequency", "doc_count")
 
 
 def q_candidate_decision(s, d):
@@ -363,6 +363,65 @@ def q_candidate_decision(s, d):
     return rows.select("word", "domain", decide(found, total, hit, F.concat(F.col("word"), F.when(F.col("frequency") % 2 == 0, "가").otherwise("")), F.lit(False), F.col("doc_count"), F.col("frequency")).alias("decision"))
 
 
+def q_keywords_by_growth(s, d):
+    totals = serving.mention_totals(_trends(s, d), START, END)
+    totals = totals.withColumn("growth", safe_growth(F.col("mentions"), F.col("previous_mentions")))
+    return serving.rank_keywords(totals, "growth").limit(50)
+
+
+def q_ordered_catalog(s, d):
+    n, r = table(s, d, "nation"), table(s, d, "region")
+    out = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_name").alias("domain_id"), F.col("r_name").alias("group_label"), F.col("r_regionkey").alias("group_sort_order"), F.col("n_nationkey").alias("sort_order"), (F.col("n_nationkey") % 5 > 0).alias("is_active"))
+    return serving.ordered_catalog(out).limit(12)
+
+
+def q_theme_order(s, d):
+    return serving.order_themes(q_theme_distribution(s, d)).limit(3)
+
+
+def q_attach_keywords(s, d):
+    out = serving.attach_keywords(_docs(s, d), keywords.keyword_arrays(_kw(s, d)), "for")
+    return out.select("url", "keyword_match", F.size("keywords").cast("long").alias("n_keywords"), F.get("keywords", F.lit(0)).alias("primary_keyword"))
+
+
+def _queries(s, d):
+    c = table(s, d, "customer").join(table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return c.select(F.when(F.col("c_custkey") % 2 == 0, "even").otherwise("odd").alias("provider"), F.col("n_name").alias("domain_id"), F.col("c_name").alias("query"), F.col("c_custkey").alias("sort_order"))
+
+
+def q_query_keywords_labelled(s, d):
+    return serving.query_keywords_labelled(_queries(s, d), _catalog(s, d).withColumns({"label": F.lower("label"), "sort_order": F.lit(1)}), "even").select("domain_id", "domain_label", "query")
+
+
+def q_dictionary_lookup(s, d):
+    rows = table(s, d, "customer").select(F.col("c_name").alias("word"), F.col("c_mktsegment").alias("domain"), F.when(F.col("c_custkey") % 3 == 0, "approved").otherwise("needs_review").alias("status"), (F.col("c_custkey") % 2 == 0).alias("is_active"))
+    return serving.lookup(rows, "CUSTOMER#", "BUILDING", "needs_review", True)
+
+
+def q_articles_ingested_between(s, d):
+    return ingest.articles_ingested_between(_docs(s, d), START, END).select("title", "domain")
+
+
+def q_excluded_words(s, d):
+    n = table(s, d, "nation").select(F.col("n_name").alias("word"), F.when(F.col("n_nationkey") % 3 == 0, "approved").when(F.col("n_nationkey") % 3 == 1, "rejected").otherwise("needs_review").alias("status"))
+    return dictionary.excluded_words(table(s, d, "customer").select(F.col("c_mktsegment").alias("word")), n)
+
+
+def _decided(s, d):
+    c = _candidates(s, d).select("word", "domain", "status", F.lit(None).cast("timestamp_ntz").alias("reviewed_at"), F.lit(None).cast("string").alias("reviewed_by"), "frequency")
+    made = c.where("frequency % 3 = 0").select("word", "domain", F.when(F.col("frequency") % 2 == 0, "approved").otherwise("rejected").alias("action"), F.lit("me").alias("actor"))
+    known = c.where("frequency % 12 = 0").select("word", "domain", F.lit("file").alias("source"))
+    return dictionary.review_decisions(c, made, known, datetime(2024, 1, 10))
+
+
+def q_review_decisions(s, d):
+    return _decided(s, d)[0].select("word", "domain", "status", "reviewed_by")
+
+
+def q_review_dictionary(s, d):
+    return _decided(s, d)[1]
+
+
 def q_dead_letter_routing(s, d):
     rows = _pages(s, d).select("page_id", "provider", "domain", "url", F.when(F.col("page_id") % 9 > 0, F.lit("t")).alias("title"), F.lit("2024").alias("ingested_at"), F.lit(None).cast(METADATA).alias("metadata"))
     payload = F.struct(*(F.col(c) for c in ("provider", "domain", "url", "title", "ingested_at", "metadata")))
@@ -382,10 +441,9 @@ before AS (SELECT *, lag(current_mentions, 1, 0) OVER (PARTITION BY keyword ORDE
 rising AS (SELECT *, {_GROWTH.format("current_mentions", "prev_mentions")} AS growth FROM before),
 hot AS (SELECT *, {_SCORED.format("current_mentions")} FROM rising),
 heat AS (SELECT * FROM hot WHERE current_mentions > 0 AND (is_spike OR current_mentions >= 5 OR growth >= 0.15))"""
-SIGNALS = RELATIONS + f""", trends AS (SELECT provider, domain, {_W.format("10 minutes")} AS window_start, keyword, CAST(sum(keyword_count) AS BIGINT) AS n FROM kw WHERE {_W.format("10 minutes")} >= TIMESTAMP '2024-01-01' AND {_W.format("10 minutes")} < TIMESTAMP '2024-01-08' GROUP BY ALL),
+SIGNALS = RELATIONS + f""", trends AS (SELECT provider, domain, {_W.format("10 minutes")} AS window_start, keyword, CAST(sum(keyword_count) AS BIGINT) AS n FROM kw WHERE {_W.format("10 minutes")} >= TIMESTAMP '2024-01-01' AND {_W.format("10 minutes")} < TIMESTAMP '2024-01-31' GROUP BY ALL),
 base AS (SELECT keyword, least(1.0, count(DISTINCT domain) / 4) AS domain_breadth, CAST(sum(n) AS BIGINT) AS frequency FROM (SELECT keyword, domain, sum(n) AS n FROM trends GROUP BY ALL HAVING sum(n) >= 10) GROUP BY keyword),
-chat AS (SELECT role, conv_id, turn, unnest(string_split({_CLEAN.format("text")}, ' ')) AS keyword FROM conversations),
-spoken AS (SELECT keyword, least(1.0, avg(n) / 5) AS repetition FROM (SELECT role, conv_id, turn, keyword, count(*) AS n FROM chat WHERE length(keyword) >= 2 AND regexp_full_match(keyword, '[가-힣]+|[a-z]+') GROUP BY ALL) GROUP BY keyword),
+spoken AS (SELECT keyword, least(1.0, avg(keyword_count) / 5) AS repetition FROM kw GROUP BY keyword),
 steady AS (SELECT keyword, coalesce(greatest(0.0, least(1.0, 1 - stddev_samp(n) / avg(n))), 0.0) AS stability FROM trends GROUP BY keyword),
 near AS (SELECT keyword, least(1.0, count(DISTINCT partner) / 50) AS cooccurrence_breadth FROM (SELECT keyword_a AS keyword, keyword_b AS partner FROM relations UNION SELECT keyword_b, keyword_a FROM relations) GROUP BY keyword),
 signals AS (SELECT base.keyword, domain_breadth, frequency, coalesce(repetition, 0.0) AS repetition, coalesce(stability, 0.0) AS stability, coalesce(cooccurrence_breadth, 0.0) AS cooccurrence_breadth, length(base.keyword) <= 2 AS short_word
@@ -452,6 +510,16 @@ SQL = {
     "heatmap_matrix": f"{HEAT} SELECT keyword, bucket + d AS bucket, max(least(1.0, greatest(0.12, growth)) * CASE WHEN d = 0 THEN 1.0 ELSE 0.45 END) AS value FROM heat, (VALUES (-1), (0), (1)) v(d) WHERE bucket + d BETWEEN 0 AND 29 GROUP BY keyword, bucket + d",
     "stopword_signals": f"{SIGNALS} SELECT * FROM signals",
     "stopword_scores": f"{SIGNALS} SELECT keyword, frequency, round(domain_breadth * 0.30 + repetition * 0.20 + stability * 0.25 + cooccurrence_breadth * 0.15 + CAST(short_word AS INTEGER) * 0.10, 4) AS score FROM (SELECT * FROM signals ORDER BY domain_breadth DESC, frequency DESC, keyword LIMIT 500) WHERE round(domain_breadth * 0.30 + repetition * 0.20 + stability * 0.25 + cooccurrence_breadth * 0.15 + CAST(short_word AS INTEGER) * 0.10, 4) >= 0.45",
-    "compound_candidates": f"{MINED} SELECT domain, word, count(*) AS frequency, count(DISTINCT url) AS doc_count FROM runs WHERE length(word) >= 4 GROUP BY ALL HAVING count(*) >= 5",
+    "keywords_by_growth": f"{TOTALS} SELECT keyword, mentions, previous_mentions, {_GROWTH.format('mentions', 'previous_mentions')} AS growth FROM totals WHERE mentions > 0 ORDER BY growth DESC, mentions DESC, keyword LIMIT 50",
+    "ordered_catalog": "SELECT n_name AS domain_id, r_name AS group_label, r_regionkey AS group_sort_order, n_nationkey AS sort_order, true AS is_active FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 > 0 ORDER BY r_regionkey, n_nationkey, n_name LIMIT 12",
+    "attach_keywords": f"{KW}, own AS (SELECT url, max(CASE WHEN keyword = 'for' THEN 1 ELSE 0 END) AS hit, count(*) AS n, arg_min(keyword, struct_pack(n := -keyword_count, k := keyword)) AS primary_keyword FROM kw GROUP BY url) SELECT a.url, coalesce(hit, 0) AS keyword_match, coalesce(n, 0) AS n_keywords, primary_keyword FROM articles a LEFT JOIN own ON a.url = own.url",
+    "query_keywords_labelled": "SELECT n_name AS domain_id, lower(n_name) AS domain_label, c_name AS query FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0",
+    "dictionary_lookup": "SELECT c_name AS word, c_mktsegment AS domain, 'needs_review' AS status, true AS is_active FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 3 <> 0 AND c_custkey % 2 = 0 AND c_name ILIKE '%CUSTOMER#%'",
+    "articles_ingested_between": f"WITH {ART} SELECT title, domain FROM articles WHERE {_RANGE.format('event_time + INTERVAL 1 minute')}",
+    "excluded_words": "SELECT c_mktsegment AS word FROM customer UNION SELECT n_name FROM nation WHERE n_nationkey % 3 < 2",
+    "review_decisions": f"{CANDIDATES} SELECT word, domain, CASE WHEN frequency % 3 = 0 THEN CASE WHEN frequency % 2 = 0 THEN 'approved' ELSE 'rejected' END WHEN frequency % 2 = 0 THEN 'needs_review' ELSE 'rejected' END AS status, CASE WHEN frequency % 3 = 0 THEN 'me' END AS reviewed_by FROM cand",
+    "review_dictionary": f"{CANDIDATES} SELECT word, domain, CASE WHEN frequency % 12 = 0 THEN 'file' ELSE 'auto-approved' END AS source FROM cand WHERE frequency % 6 = 0",
+    "compound_candidates": f"{MINED} SELECT domain, word, count(*) AS frequency, count(DISTINCT url) AS doc_count FROM runs WHERE length(word) >= 4 GROUP BY ALL HAVING count(*) >= 3",
 }
+SQL["theme_order"] = f"SELECT * FROM ({SQL['theme_distribution']}) ORDER BY mentions DESC, label LIMIT 3"
 QUERIES = _ALL

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -10,6 +12,11 @@ from ..functions.text import event_score, is_spike, safe_growth
 from ..schemas import ARTICLE_KEY
 
 
+#: Bucket minutes and number of buckets of the ranges on offer; longest hours of a window and its bucket minutes.
+PRESETS = {"10m": (1, 10), "30m": (3, 10), "1h": (5, 12), "6h": (30, 12), "12h": (60, 12), "1d": (120, 12)}
+AUTO_BUCKETS = ((6, 5), (48, 15), (168, 60))
+
+
 def in_range(time: str | Column, start, end) -> Column:
     time = F.col(time) if isinstance(time, str) else time
     return (time >= start) & (time < end)
@@ -67,9 +74,55 @@ def top_keywords(trends: DataFrame, keywords: DataFrame, start, end, k: int = 20
     return out.withColumns({"is_spike": is_spike(F.col("mentions"), F.col("growth")), "event_score": event_score(F.col("mentions"), F.col("growth"))})
 
 
-def search_keywords(df: DataFrame, text: str) -> DataFrame:
+def search_keywords(df: DataFrame, text: str, column: str = "keyword") -> DataFrame:
     escaped = text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-    return df.where(F.col("keyword").ilike(f"%{escaped}%"))
+    return df.where(F.col(column).ilike(f"%{escaped}%"))
+
+
+def rank_keywords(df: DataFrame, by: str = "mentions") -> DataFrame:
+    """By mentions or growth, largest first; missing growth counts as 0, ties go by mentions, then keyword."""
+    first = F.coalesce("growth", F.lit(0.0)) if by == "growth" else F.col("mentions")
+    return df.orderBy(F.desc(first), F.desc("mentions"), "keyword")
+
+
+def ordered_catalog(catalog: DataFrame) -> DataFrame:
+    """Active domains by group, place and id."""
+    return catalog.where("is_active").orderBy("group_sort_order", "sort_order", "domain_id")
+
+
+def order_themes(themes: DataFrame) -> DataFrame:
+    return themes.orderBy(F.desc("mentions"), "label")
+
+
+def lookup(df: DataFrame, text: str = "", domain: str | None = None, status: str | None = None, active: bool | None = None) -> DataFrame:
+    """Dictionary or query rows by a part of the word, domain, status and activity; what is not asked for does not filter."""
+    df = search_keywords(df, text, "word") if text else df
+    for name, value in (("domain", domain if domain != "all" else None), ("status", status), ("is_active", active)):
+        df = df.where(F.col(name) == value) if value is not None and value != "" else df
+    return df
+
+
+def query_keywords_labelled(queries: DataFrame, catalog: DataFrame, provider: str) -> DataFrame:
+    """All queries of a provider with the label of their domain, in catalog order."""
+    labels = catalog.select("domain_id", F.col("label").alias("domain_label"), F.col("sort_order").alias("_place"))
+    return queries.where(F.col("provider") == provider).join(labels, "domain_id").orderBy("_place", "sort_order", "query").drop("_place")
+
+
+def attach_keywords(articles: DataFrame, arrays: DataFrame, word: str | None = None) -> DataFrame:
+    """Articles with their keywords, most frequent first, and whether `word` is one of them; articles without keywords have an empty list."""
+    out = articles.join(arrays, ARTICLE_KEY, "left").withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))
+    return out.withColumn("keyword_match", F.array_contains("keywords", word).cast("int") if word else F.lit(0))
+
+
+def preset_range(as_of, preset: str) -> tuple:
+    """(start, end, bucket minutes) of a range on offer, which ends at as_of."""
+    width, buckets = PRESETS[preset]
+    return as_of - timedelta(minutes=width * buckets), as_of, width
+
+
+def auto_bucket(start, end) -> int:
+    """Bucket minutes of any other range, by its length."""
+    return next((width for hours, width in AUTO_BUCKETS if end - start <= timedelta(hours=hours)), 240)
 
 
 def both_directions(relations: DataFrame, word: str) -> DataFrame:
@@ -92,7 +145,7 @@ def theme_distribution(trends: DataFrame, catalog: DataFrame, word: str, start,
     """Mentions of a keyword per catalog domain and the share of mentions in all domains."""
     found = trends.where(in_range("window_start", start, end) & (F.col("keyword") == word)).groupBy("domain").agg(F.sum("keyword_count").alias("mentions"))
     total = found.groupBy(F.lit(1).alias("_one")).agg(F.sum("mentions").alias("total"))
-    items = catalog.select(F.col("domain_id").alias("domain"), "label", F.lit(1).alias("_one")).join(found, "domain", "left").join(total, "_one", "left").drop("_one")
+    items = catalog.select(F.col("domain_id").alias("domain"), "label", F.lit(1).alias("_one")).join(found, "domain", "left").join(F.broadcast(total), "_one", "left").drop("_one")
     share = F.when(F.col("total") > 0, F.coalesce("mentions", F.lit(0)) / F.col("total")).otherwise(0.0)
     return items.select("domain", "label", F.coalesce("mentions", F.lit(0)).alias("mentions"), share.alias("share"))
 
@@ -162,7 +215,7 @@ def overview_kpis(articles: DataFrame, trends: DataFrame, keywords: DataFrame, s
     now = in_range("bucket_start", F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"))
     counts = buckets.groupBy(F.lit(1).alias("_one")).agg(F.sum(F.when(now, F.col("articles")).otherwise(0)).alias("current_articles"), F.sum(F.when(~now, F.col("articles")).otherwise(0)).alias("previous_articles"), F.max(F.when(now, F.col("last_update"))).alias("last_update"))
     words = overview_keywords(trends, keywords, start, end, width_minutes, max(4 * limit, 80)).groupBy(F.lit(1).alias("_one")).agg(F.count("*").alias("unique_keywords"), F.count_if("is_spike").alias("spike_keywords"))
-    return counts.join(words, "_one", "left").drop("_one").fillna(0, ["unique_keywords", "spike_keywords"])
+    return counts.join(F.broadcast(words), "_one", "left").drop("_one").fillna(0, ["unique_keywords", "spike_keywords"])
 
 
 def articles_with_keyword(articles: DataFrame, keywords: DataFrame, word: str) -> DataFrame:
