@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import hash_ranges, slices, small_batches, stored, text_buffers
 
-HEAD, LONG, BUCKETS = 1 << 21, 256, 1 << 16
+HEAD, LONG, BUCKETS, CLASSES = 1 << 21, 256, 1 << 16, 16
 _COUNTED, _TEXTS = 300_000, 1 << 21
 _OFFSET, _SURROGATES, _END, _DONE, _NONE = 0x100, 0xD800, "!", ".", "\U0010ffff"
 
@@ -242,24 +242,7 @@ class Known:
         if len(self.ids) and self.ids.max() < 1 << 16:
             self.ids = self.ids.astype(np.uint16)
 
-    @classmethod
-    def of(cls, parts: list[Known]) -> Known:
-        """One table of the words of several."""
-        self = cls.__new__(cls)
-        self.bytes, self.ids = b"".join(k.bytes for k in parts), np.concatenate([k.ids for k in parts] or [np.zeros(0, np.int32)])
-        hashes = np.concatenate([k.hash for k in parts] or [np.zeros(0, np.uint64)])
-        order = np.argsort(hashes)
-        self.hash = hashes[order]
-        for at, size, of in (("word_at", "word_size", "bytes"), ("ids_at", "ids_size", "ids")):
-            begin = np.cumsum([0, *(len(getattr(k, of)) for k in parts)])
-            setattr(self, at, np.concatenate([getattr(k, at) + np.uint32(b) for k, b in zip(parts, begin[:-1], strict=True)] or [np.zeros(0, np.uint32)])[order])
-            setattr(self, size, np.concatenate([getattr(k, size) for k in parts] or [np.zeros(0, np.uint16)])[order])
-        return self
-
     def find(self, words: list[bytes]) -> list[bytes | None]:
-        """Packed 32-bit ids of each word, None for unknown ones."""
-        if not len(self.hash) or not words:
-            return [None] * len(words)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         hashes = hash_ranges(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], ends[:-1])), ends)
         place = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
@@ -271,23 +254,30 @@ class Known:
         return [ids[f:t] if hit and self.bytes[a:b] == w else None for w, hit, a, b, f, t in rows]
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The known words of a partition as one table."""
-    columns = list(zip(*(b.columns for b in batches if b.num_rows), strict=True))
-    if columns:
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Known(*(pa.concat_arrays(c) for c in columns)))], pa.binary())], ["part"])
+def _pack(group: pa.Table) -> pa.Table:
+    """The known words of one class of lengths as one table."""
+    known = Known(group.column("word"), group.column("pieces"))
+    return pa.table({"class": pa.array([group.column("class")[0].as_py()], pa.int32()), "part": pa.array([pickle.dumps(known)], pa.binary())})
 
 
 class KnownParts:
-    """Tables as executors packed them; a task's process unpacks and joins them once."""
+    """Tables of words by their length modulo CLASSES, as executors packed them; a task's process unpacks each once."""
 
-    def __init__(self, parts: list[bytes]):
-        self.parts, self.known = parts, None
+    def __init__(self, parts: dict[int, bytes]):
+        self.parts, self.tables = parts, {}
 
-    def joined(self) -> Known:
-        if self.known is None:
-            self.known, self.parts = Known.of([pickle.loads(p) for p in self.parts]), []
-        return self.known
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """Packed 32-bit ids of each word, None for unknown ones."""
+        out: list[bytes | None] = [None] * len(words)
+        classes = np.fromiter(map(len, words), np.int64, len(words)) % CLASSES
+        for c in np.unique(classes).tolist():
+            if c in self.parts:
+                self.tables[c] = pickle.loads(self.parts.pop(c))
+            if c in self.tables:
+                places = np.flatnonzero(classes == c).tolist()
+                for i, ids in zip(places, self.tables[c].find([words[i] for i in places]), strict=True):
+                    out[i] = ids
+        return out
 
 
 def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -298,7 +288,7 @@ def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 class Coder:
     """Ids of texts; a word that is not known has the number of a rare word, negative."""
 
-    def __init__(self, pattern: str, known: Known, ranks: dict[bytes, int]):
+    def __init__(self, pattern: str, known: KnownParts, ranks: dict[bytes, int]):
         self.splitter, self.known, self.ranks = Splitter(pattern), known, ranks
         self.rare: list[str] = []
         self.words: dict[str, bytes] = {}
@@ -345,7 +335,7 @@ def _encode_known(pattern: str, known, ranks):
     """(doc_id, packed ids, rare words); a negative id is the number, from -1, of one of the rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(pattern, known.value.joined(), ranks.value)
+        coder = Coder(pattern, known.value, ranks.value)
         for batch in batches:
             for low, high in text_slices(batch.column(1)):
                 codes, at = coder.code(batch.column(1)[low:high])
@@ -422,8 +412,9 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = rank_literal(ranks)
     words = head_words(texts, pattern, most)[1].where((F.octet_length("word") <= LONG) & (F.col("n") > 1))
-    folded = words.select("word", fold_merges(F.col("word"), table, ranks).alias("pieces")).mapInArrow(_pack, "part binary")  # at most `most` words
-    known = spark.sparkContext.broadcast(KnownParts([bytes(r.part) for r in folded.collect()]))
+    folded = words.select("word", fold_merges(F.col("word"), table, ranks).alias("pieces"), (F.octet_length("word") % CLASSES).alias("class"))
+    packed = folded.groupBy("class").applyInArrow(_pack, "class int, part binary").collect()  # at most `most` words in all
+    known = spark.sparkContext.broadcast(KnownParts({r["class"]: bytes(r.part) for r in packed}))
     coded = texts.mapInArrow(_encode_known(pattern, known, spark.sparkContext.broadcast(ranks)), "doc_id long, packed binary, rare array<string>")
     return coded.select("doc_id", "packed", F.transform("rare", lambda w: fold_merges(w, table, ranks)).alias("rare"))
 
