@@ -53,15 +53,35 @@ def _char(rank: int) -> str:
     return chr(rank + _OFFSET if rank + _OFFSET < _SURROGATES else rank + _OFFSET + 0x800)
 
 
+def last_pairs(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes, int]] | None:
+    """The pair that each piece is merged from, by the pieces before it; None if the merges do not lead to some piece."""
+    out = []
+    for piece, rank in ranks.items():
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while len(parts) > 1:
+            least, i = min((r if (r := ranks.get(a + b)) is not None else len(ranks), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if least >= rank:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        if len(parts) > 2 or max(ranks[x] for x in parts) > rank:
+            return None
+        if len(parts) == 2:
+            out.append((*parts, rank))
+    return out
+
+
+def _all_pairs(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes, int]]:
+    cuts = ((piece[:i], piece[i:], rank) for piece, rank in ranks.items() for i in range(1, len(piece)))
+    return [(a, b, rank) for a, b, rank in cuts if a in ranks and b in ranks]
+
+
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """Hash buckets of pairs: each bucket has "no piece", then for each pair the pair, the joined piece and the pair's parts between marks."""
+    """Hash buckets of the pairs that can meet: each bucket has "no piece", then for each pair the pair, the joined piece and the pair's parts between marks."""
     buckets = [[_END + _NONE + _END] for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        for cut in range(1, len(piece)):
-            a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
-            if a is not None and b is not None:
-                a, b = _char(a), _char(b)
-                buckets[zlib.crc32((a + b).encode()) % BUCKETS].append(_END.join((a + b, _char(rank), a, b, "")))
+    pairs = last_pairs(ranks)
+    for a, b, rank in _all_pairs(ranks) if pairs is None else pairs:
+        a, b = _char(ranks[a]), _char(ranks[b])
+        buckets[zlib.crc32((a + b).encode()) % BUCKETS].append(_END.join((a + b, _char(rank), a, b, "")))
     return F.split(F.lit("\n".join(map("".join, buckets))), "\n")
 
 
@@ -242,6 +262,22 @@ class Known:
         if len(self.ids) and self.ids.max() < 1 << 16:
             self.ids = self.ids.astype(np.uint16)
 
+    @classmethod
+    def of(cls, parts: list[Known]) -> Known:
+        """One table of the words of several."""
+        if len(parts) == 1:
+            return parts[0]
+        self = cls.__new__(cls)
+        self.bytes, self.ids = b"".join(k.bytes for k in parts), np.concatenate([k.ids for k in parts])
+        hashes = np.concatenate([k.hash for k in parts])
+        order = np.argsort(hashes)
+        self.hash = hashes[order]
+        for at, size, of in (("word_at", "word_size", "bytes"), ("ids_at", "ids_size", "ids")):
+            begin = np.cumsum([0, *(len(getattr(k, of)) for k in parts)])
+            setattr(self, at, np.concatenate([getattr(k, at) + np.uint32(b) for k, b in zip(parts, begin[:-1], strict=True)])[order])
+            setattr(self, size, np.concatenate([getattr(k, size) for k in parts])[order])
+        return self
+
     def find(self, words: list[bytes]) -> list[bytes | None]:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         hashes = hash_ranges(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], ends[:-1])), ends)
@@ -254,16 +290,21 @@ class Known:
         return [ids[f:t] if hit and self.bytes[a:b] == w else None for w, hit, a, b, f, t in rows]
 
 
-def _pack(group: pa.Table) -> pa.Table:
-    """The known words of one class of lengths as one table."""
-    known = Known(group.column("word"), group.column("pieces"))
-    return pa.table({"class": pa.array([group.column("class")[0].as_py()], pa.int32()), "part": pa.array([pickle.dumps(known)], pa.binary())})
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The known words of a partition as one table for each length modulo CLASSES."""
+    columns = list(zip(*(b.columns for b in batches if b.num_rows), strict=True))
+    if columns:
+        words, pieces = map(pa.concat_arrays, columns)
+        classes = pc.binary_length(words.cast(pa.binary())).to_numpy() % CLASSES
+        for c in np.unique(classes):
+            some = pa.array(classes == c)
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([pickle.dumps(Known(words.filter(some), pieces.filter(some)))], pa.binary())], ["class", "part"])
 
 
 class KnownParts:
-    """Tables of words by their length modulo CLASSES, as executors packed them; a task's process unpacks each once."""
+    """Tables of words by their length modulo CLASSES, as executors packed them; a task's process unpacks each class once."""
 
-    def __init__(self, parts: dict[int, bytes]):
+    def __init__(self, parts: dict[int, list[bytes]]):
         self.parts, self.tables = parts, {}
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
@@ -272,7 +313,7 @@ class KnownParts:
         classes = np.fromiter(map(len, words), np.int64, len(words)) % CLASSES
         for c in np.unique(classes).tolist():
             if c in self.parts:
-                self.tables[c] = pickle.loads(self.parts.pop(c))
+                self.tables[c] = Known.of(list(map(pickle.loads, self.parts.pop(c))))
             if c in self.tables:
                 places = np.flatnonzero(classes == c).tolist()
                 for i, ids in zip(places, self.tables[c].find([words[i] for i in places]), strict=True):
@@ -412,9 +453,11 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = rank_literal(ranks)
     words = head_words(texts, pattern, most)[1].where((F.octet_length("word") <= LONG) & (F.col("n") > 1))
-    folded = words.select("word", fold_merges(F.col("word"), table, ranks).alias("pieces"), (F.octet_length("word") % CLASSES).alias("class"))
-    packed = folded.groupBy("class").applyInArrow(_pack, "class int, part binary").collect()  # at most `most` words in all
-    known = spark.sparkContext.broadcast(KnownParts({r["class"]: bytes(r.part) for r in packed}))
+    folded = words.select("word", fold_merges(F.col("word"), table, ranks).alias("pieces"))
+    parts: dict[int, list[bytes]] = {}
+    for r in folded.mapInArrow(_pack, "class int, part binary").collect():  # at most `most` words in all
+        parts.setdefault(r["class"], []).append(bytes(r.part))
+    known = spark.sparkContext.broadcast(KnownParts(parts))
     coded = texts.mapInArrow(_encode_known(pattern, known, spark.sparkContext.broadcast(ranks)), "doc_id long, packed binary, rare array<string>")
     return coded.select("doc_id", "packed", F.transform("rare", lambda w: fold_merges(w, table, ranks)).alias("rare"))
 
