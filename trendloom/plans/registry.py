@@ -488,7 +488,7 @@ SQL = {
     "collection_metrics_summary": "SELECT 'events' AS provider, event_type AS domain, event_type AS query, count(*) AS request_count, count(*) FILTER (WHERE value >= 50) AS success_count, count(*) FILTER (WHERE value >= 50 AND event_id % 7 <> 0) AS article_count, count(*) FILTER (WHERE value >= 50 AND event_id % 7 = 0) AS duplicate_count, count(*) FILTER (WHERE value >= 50 AND event_id % 7 <> 0) AS publish_count, count(*) FILTER (WHERE NOT value >= 50) AS error_count FROM events GROUP BY event_type",
     "insert_if_absent": f"WITH {ART} SELECT url, CASE WHEN doc_id % 3 = 0 THEN title ELSE 'new' END AS title FROM articles",
     "incremental_filter": f"WITH {ART} SELECT url, domain FROM articles WHERE event_time > CASE domain WHEN 'de' THEN TIMESTAMP '2024-01-01 03:00:00' ELSE TIMESTAMP '2024-01-01 06:00:00' END",
-    "merge_articles_latest": f"WITH {ART} SELECT provider, domain, 'u' || (doc_id % 100) AS url, max(doc_id) AS doc_id FROM (SELECT *, doc_id >= 100 AS staged FROM articles) GROUP BY 1, 2, 3",
+    "merge_articles_latest": f"WITH {ART} SELECT provider, domain, 'u' || (doc_id % 100) AS url, doc_id FROM articles QUALIFY row_number() OVER (PARTITION BY provider, domain, doc_id % 100 ORDER BY doc_id >= 100 DESC, event_time DESC, title DESC NULLS LAST) = 1",
     "domain_group_filter": "SELECT c_custkey, n_name AS domain FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' OR n_name = 'ASIA'",
     "exclude_known_words": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)",
     "to_messages": f"WITH {ART} SELECT url AS key, 'v1' AS version, title, true AS null_kept FROM articles",
