@@ -189,6 +189,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to a new folder below the shared one and read back: cuts lineage, survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    df.sparkSession._jvm.System.gc()  # Spark removes the shuffle files of plans that the driver has collected, and only then
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
