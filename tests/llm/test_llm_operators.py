@@ -213,13 +213,32 @@ def test_media_resynchronises_and_finds_errors():
     assert mpeg_audio.seek(clean["offsets"], 48000, 99.0) is None
     at = clean["offsets"][1]
     dirty = mpeg_audio.read_stream(data[:at] + b"\xff\xfbjunk\xff" + data[at:])
-    assert dirty["payload"] == payload[: len(dirty["payload"])] or dirty["foreign_bytes"] == 7
+    assert (dirty["payload"], dirty["foreign_bytes"], dirty["bad_checksums"]) == (payload, 7, 0)
     broken = bytearray(data)
     broken[at + 8] ^= 1
     assert mpeg_audio.read_stream(bytes(broken))["bad_checksums"] == 1
     assert mpeg_audio.read_stream(b"")["offsets"] == []
 
 
+def test_media_tags_tables_and_layers():
+    data = mpeg_audio.write_stream(mpeg_audio.padded(b"x" * 900))
+    frames = data[10 + mpeg_audio._number(data[6:10], 7) :]
+    old = b"TAG" + b"Title".ljust(30, b"\0") + b"Artist".ljust(30, b" ") + bytes(64) + b"\xff"
+    read = mpeg_audio.read_stream(frames + old)
+    assert (read["tags"], read["foreign_bytes"], read["table"]["frames"]) == ({"TIT2": "Title", "TPE1": "Artist"}, 0, len(read["offsets"]))
+    text = b"\1" + ("é" * 149).encode("utf-16")  # 300 bytes and more: sizes of 2.3 are plain numbers
+    body = b"TIT2" + len(text).to_bytes(4, "big") + b"\0\0" + text + b"TALB" + (4).to_bytes(4, "big") + b"\0\0" + b"\0abc"
+    read = mpeg_audio.read_stream(b"ID3\3\0\0" + mpeg_audio._syncsafe(len(body)) + body + frames)
+    assert (read["tags"], read["foreign_bytes"]) == ({"TIT2": "é" * 149, "TALB": "abc"}, 0)
+    assert mpeg_audio._read_table(b"Xing" + (5).to_bytes(4, "big") + (9).to_bytes(4, "big") + bytes(range(100)), 0) == {"frames": 9, "bytes": None, "seek": bytes(range(100))}
+    # MPEG-1 Layer I 32 kbit/s 48 kHz; MPEG-2 Layer III 64 kbit/s 24 kHz; MPEG-1 Layer II 128 kbit/s 44.1 kHz
+    for head, length, samples, hz in ((b"\xff\xff\x14\xc0", 32, 384, 48000), (b"\xff\xf3\x84\xc0", 192, 576, 24000), (b"\xff\xfd\x80\xc0", 417, 1152, 44100)):
+        got = mpeg_audio.read_stream(b"??" + (head + bytes(length - 4)) * 3)
+        assert (len(got["offsets"]), got["samples"], got["hz"], got["foreign_bytes"]) == (3, 3 * samples, hz, 2)
+    other = frames + b"\xff\xf3\x84\xc0" + bytes(40)
+    assert mpeg_audio.read_stream(other)["foreign_bytes"] > 0  # the header of another stream's version does not count
+
+
 def test_chat_layouts_and_escapes(spark):
     import json
 

@@ -7,7 +7,7 @@ bit rate is the least of the standard table that holds what is left, so streams
 are truly of variable bit rate.  `read_stream` takes any bytes: MPEG-1, 2 and 2.5,
 Layers I to III.  It parses ID3v2.2 to 2.4 tags and a trailing ID3v1 tag, finds
 frame headers again after foreign bytes (a header counts if another of its version,
-layer and rate, a tag or the end stands where its length says), parses Xing, Info and VBRI
+layer and rate, a tag or the end stands where its length says, or such a frame ends before it), parses Xing, Info and VBRI
 tables by their flags, verifies checksums (those of Layer II, which need its
 allocation tables, are counted as unverified) and gives exact durations and the
 byte offset of every frame.
@@ -144,7 +144,7 @@ def read_stream(data: bytes) -> dict:
         _read_tag(data[at + 3], data[at + 5], data[at + 10 : at + 10 + size], out["tags"])
         at += 10 + size + (10 if data[at + 3] == 4 and data[at + 5] & 0x10 else 0)
     at = min(at, len(data))
-    parts, last = [], max(0, len(data) - 128)  # where an ID3v1 tag would stand
+    parts, last, kind = [], max(0, len(data) - 128), None  # where an ID3v1 tag would stand; what the frame that ends here shares with its stream
     while at < len(data):
         if at == last and data[at : at + 3] == b"TAG":
             _read_old_tag(data[at:], out["tags"])
@@ -153,13 +153,13 @@ def read_stream(data: bytes) -> dict:
         head = header_fields(data[at : at + 4])
         end = at + head.length if head else at
         follows = header_fields(data[end : end + 4])
-        if not head or end > len(data) or len(data) - end >= 4 and not (follows and follows.kind == head.kind) and not (end == last and data[end : end + 3] == b"TAG"):
+        if not head or end > len(data) or len(data) - end >= 4 and head.kind != kind and not (follows and follows.kind == head.kind) and not (end == last and data[end : end + 3] == b"TAG"):
             step = data.find(b"\xff", at + 1)
             step = len(data) if step < 0 else step
             if at < last < step and data[last : last + 3] == b"TAG":
                 step = last
             out["foreign_bytes"] += step - at
-            at = step
+            at, kind = step, None
             continue
         begin = at + 4
         if head.protected:
@@ -177,7 +177,7 @@ def read_stream(data: bytes) -> dict:
             out["bitrates"].append(head.kbits)
             out["samples"] += head.samples
             parts.append(data[begin:end])
-        out["hz"], at = head.hz, end
+        out["hz"], at, kind = head.hz, end, head.kind
     carried = b"".join(parts)
     size = out["tags"].get("payload_bytes")
     out["payload"] = carried[: int(size)] if size and size.isdigit() else carried
