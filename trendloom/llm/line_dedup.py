@@ -10,7 +10,10 @@ Equal lines are found first, by a 128-bit hash.  Two lines within one edit agree
 in the first or the last half of the shorter one, so lines whose halves no other
 line has cannot have a neighbour.  The rest emit the deletion variants outside the
 shared half as hashed keys: lines within a substitution share a variant and its position, lines within an
-insertion share a variant of one with the other as a whole.  Minima of the first
+insertion share a variant of one with the other as a whole.  Lines of more than `LONG` characters
+are halved again and again: of what is left of two such lines a half is shared too, so hashes of
+the shared halves and variants of a last short piece are their keys, in work that grows
+with the length times its logarithm.  Minima of the first
 places per key, never pairs, find for each line the earliest neighbour; the edit
 distance to it is then verified on the texts.
 
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import columns_free, stored
 
 MIN_CHARS = 16
+#: Characters up to which a line is varied as a whole; those of a last piece.
+LONG, PIECE = 512, 32
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -60,8 +65,38 @@ def _variants(line: Column, n: Column, head: Column, tail: Column) -> Column:
     return F.concat(F.array(F.struct(F.xxhash64(F.lit(0), line).alias("key"), F.lit("whole").alias("kind"))), F.flatten(F.transform(places, keys)))
 
 
-def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, gone): numbers of the lines to remove, from 0, of each document that loses some."""
+def _pieces(line: Column, n: Column, longer: bool, head: Column, tail: Column) -> Column:
+    """(longer, key, rest): what is left of a line after each way to halve it down to PIECE characters, and a hash of the halves that a neighbour must share; as the longer of a pair, or as the shorter or one of equals."""
+    less = int(longer)
+
+    def halved(x: Column) -> Column:
+        r = F.char_length(x["rest"])
+        h = F.floor((r - less) / 2).cast("int")
+        after_head = F.struct(F.xxhash64(x["key"], F.lit(0), F.substring(x["rest"], F.lit(1), h)).alias("key"), F.substring(x["rest"], h + 1, r).alias("rest"))
+        before_tail = F.struct(F.xxhash64(x["key"], F.lit(1), F.substring(x["rest"], r - h + 1, h)).alias("key"), F.substring(x["rest"], F.lit(1), r - h).alias("rest"))
+        return F.array(after_head, before_tail)
+
+    whole = F.struct(F.xxhash64(n - less).alias("key"), line.alias("rest"))
+    out = F.filter(halved(whole), lambda x, i: F.when(i == 0, head).otherwise(tail))
+    times = F.greatest(F.lit(1), F.ceil(F.log2(n / PIECE)).cast("int"))
+    out = F.aggregate(F.sequence(F.lit(1), times), out, lambda all, _: F.flatten(F.transform(all, lambda x: F.when(F.char_length(x["rest"]) - less > PIECE, halved(x)).otherwise(F.array(x)))))
+    return F.transform(out, lambda x: F.struct(F.lit(longer).alias("longer"), x["key"].alias("key"), x["rest"].alias("rest")))
+
+
+def _piece_variants(longer: Column, key: Column, rest: Column) -> Column:
+    """(key, kind) of a last piece: as _variants, under the hash of the shared halves."""
+    n = F.char_length(rest)
+
+    def without(i: Column) -> Column:
+        return F.concat(F.substring(rest, F.lit(1), i - 1), F.substring(rest, i + 1, n))
+
+    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.xxhash64(F.lit(2), key, without(i)).alias("key"), F.lit("part").alias("kind")))
+    same = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.xxhash64(F.lit(3), key, i, without(i)).alias("key"), F.lit("same place").alias("kind")))
+    return F.when(longer, parts).otherwise(F.concat(F.array(F.struct(F.xxhash64(F.lit(2), key, rest).alias("key"), F.lit("whole").alias("kind"))), same))
+
+
+def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS, long: int = LONG) -> DataFrame:
+    """(doc_id, gone): numbers of the lines to remove, from 0, of each document that loses some; `long` must be over 2 * PIECE."""
     lines = _lines(docs, text)
     n = F.char_length("line")
     halves = F.when(n >= min_chars, _halves(F.col("line"), n)).otherwise(F.array().cast("array<bigint>"))
@@ -77,7 +112,10 @@ def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHA
     texts = docs.where(F.col(text).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(near.hint("shuffle_hash"), "doc_id")
     texts = texts.select("doc_id", "places", F.split("text", "\n").alias("parts")).select("doc_id", F.explode(F.transform("places", lambda p: F.struct(p["at"].alias("at"), p["head"].alias("head"), p["tail"].alias("tail"), _stripped(F.get("parts", p["at"])).alias("line")))).alias("x"))
     texts = stored(texts.select(F.struct("doc_id", F.col("x.at").alias("at")).alias("first"), "x.line", "x.head", "x.tail").where(F.char_length("line") >= min_chars).distinct(), "texts")
-    found = texts.select("first", F.explode(_variants(F.col("line"), F.char_length("line"), F.col("head"), F.col("tail"))).alias("v")).select("first", "v.key", "v.kind")
+    line, n, head, tail = F.col("line"), F.char_length("line"), F.col("head"), F.col("tail")
+    found = texts.where(n <= long + 1).select("first", F.explode(_variants(line, n, head, tail)).alias("v"))  # both ways take lines of long + 1: their neighbours may be shorter or longer
+    pieces = texts.where(n > long).select("first", F.explode(F.concat(_pieces(line, n, False, head, tail), _pieces(line, n, True, head, tail))).alias("x"))
+    found = found.union(pieces.select("first", F.explode(_piece_variants(F.col("x.longer"), F.col("x.key"), F.col("x.rest"))).alias("v"))).select("first", "v.key", "v.kind")
     groups = found.groupBy("key").agg(
         F.min(F.when(F.col("kind") == "whole", F.col("first"))).alias("whole"), F.min(F.when(F.col("kind") == "part", F.col("first"))).alias("part"), F.min(F.when(F.col("kind") == "same place", F.col("first"))).alias("same")
     )
