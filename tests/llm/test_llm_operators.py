@@ -153,30 +153,6 @@ def test_line_dedup(docs, empty, rows):
     assert line_dedup.remove_repeated_lines(empty).count() == 0
 
 
-def test_line_dedup_of_long_lines(spark):
-    """Halved lines against brute force, with lengths on both sides of the border between the two ways."""
-    rng, lines = random.Random(1), []
-
-    def edited(t):
-        i, k = rng.randrange(len(t)), rng.randrange(3)
-        return t[:i] + t[i + 1 :] if k == 0 else t[:i] + rng.choice("xyé") + t[i + (k == 1) :]
-
-    for _ in range(40):
-        base = "".join(rng.choice("abcdé") for _ in range(rng.choice([66, 69, 70, 71, 72, 135, 140, 300, 700])))
-        lines += [base, edited(base), edited(edited(base)), edited(base)]
-    rng.shuffle(lines)
-
-    def close(a, b):
-        a, b = sorted((a, b), key=len)
-        i = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
-        return len(b) - len(a) <= 1 and (a[i:] == b[i + 1 :] if len(a) < len(b) else a[i + 1 :] == b[i + 1 :])
-
-    want = [i for i, x in enumerate(lines) if any(close(lines[j], x) for j in range(i))]
-    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    assert sorted(r.doc_id for r in line_dedup.repeated_lines(docs, long=70).collect()) == want
-    assert want
-
-
 def test_byte_bpe_is_tiktoken(docs, empty, rows):
     import tiktoken
 
