@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, chat_format, decontaminate, line_dedup, mpeg_audio, near_duplicates, quality, repeated_spans, token_counts, toxicity
+from . import byte_bpe, chat_format, decontaminate, line_dedup, mpeg_audio, near_duplicates, prefix_trie, quality, repeated_spans, token_counts, toxicity, turn_repair, word_bpe
 from .common import table
 
 
@@ -76,6 +76,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.encode_digests(table(spark, sf_dir, "documents"), word_bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
@@ -87,7 +99,12 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_word_bpe": op11_word_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_turn_repair": op13_turn_repair,
 }
+
+
 def _escaped(text: str) -> str:
     out = f"replace({text}, '\\', '\\\\')"
     for c in chat_format.CONTROL:
