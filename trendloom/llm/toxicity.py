@@ -312,7 +312,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, most: int = 1000, most_chars: int = 8_000_000) -> Network:
     """Fit on at most `most` labelled documents, of at most `most_chars` characters in all, per class that are not held out."""
     sample = labelled_sample(docs, labels, "toxic", most, most_chars)
-    return pickle.loads(sample.repartition(1).mapInArrow(_fit, "net binary").first()["net"])
+    fitted = sample.repartition(1).mapInArrow(_fit, "net binary").first()
+    return pickle.loads(fitted["net"]) if fitted else fit([], np.zeros(0))  # without rows there may be no partition
 
 
 def score_toxicity(docs: DataFrame, net: Network) -> DataFrame:
