@@ -7,7 +7,7 @@ possible, so that words share beginnings and, once nothing more is to be emitted
 endings.  It is one file of arrays in the shared folder, which Spark hands to every
 executor, later ones too; tasks map it into memory and follow all distinct words of a
 slice of texts at once, a byte a step.  Words outside the lexicon are merged exactly,
-by a heap of ranked pairs, and remembered in a cache bounded by bytes.
+all those of a slice at once, very long ones by a heap of ranked pairs.
 
 Special tokens are found in the raw text, as the vocabulary says; what lies between is
 composed (NFC), lower-cased letter by letter and split.  Text with characters that
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import ragged
 from .common import shared_folder, small_batches, stored
 
-LEXICON, MAX_BYTES, CUT_CHARS, CACHE_BYTES, COUNTED = 1 << 17, 64, 1 << 18, 1 << 24, 1 << 17
+LEXICON, MAX_BYTES, CUT_CHARS, GROUP_CHARS, COUNTED = 1 << 17, 64, 1 << 18, 1 << 20, 1 << 17
 _SPACE = regex.compile(r"[ \t\n\r]")
 
 
@@ -295,9 +295,10 @@ def frequent_words(docs: DataFrame, shipped, most: int = LEXICON) -> DataFrame:
 
 def _merged(shipped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merger = Merger(shipped.value)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array([merge(w.encode(), shipped.value) for w in words], pa.list_(pa.int32()))], ["word", "ids"])
+            ids = merger.merged([w.encode() for w in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))], ["word", "ids"])
 
     return run
 
@@ -324,24 +325,77 @@ def ship_lexicon(docs: DataFrame, shipped, most: int = LEXICON) -> str:
     return name
 
 
+class Merger:
+    """`merge` for many words at once: each round joins, in every word, the pair of least rank, the leftmost of equals."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.inner, self.final = vocabulary, np.array(vocabulary.inner), np.array(vocabulary.final)
+        self.base = len(vocabulary.tokens) + 1
+        pairs = sorted((a * self.base + b, rank, joined) for (a, b), (rank, joined) in vocabulary.pairs.items())
+        self.key, self.rank, joined = np.array(pairs, np.int64).reshape(-1, 3).T.copy()
+        self.none = int(self.rank.max(initial=0)) + 1
+        self.joined = np.zeros(self.none, np.int64)
+        self.joined[self.rank] = joined
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a * self.base + b
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where((self.key[at] == key) & (a >= 0), self.rank[at], self.none)
+
+    def _same_width(self, words: list[bytes], width: int) -> np.ndarray:
+        """A row of ids for each word of at most `width` bytes, -1 after its end."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        within = np.arange(width) < size[:, None]
+        out = np.full((len(words), width + 1), -1)
+        out[:, :-1][within] = self.inner[data]
+        out[np.arange(len(words)), size - 1] = self.final[data[np.cumsum(size) - 1]]
+        who, ids = np.arange(len(words)), out.copy()
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+        columns = np.arange(width)
+        while True:
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(who)), at]
+            live = best < self.none
+            if not live.all():
+                out[who[~live]] = ids[~live]
+                who, ids, ranks, at, best = who[live], ids[live], ranks[live], at[live], best[live]
+            if not len(who):
+                return out
+            row = np.arange(len(who))
+            ids[row, at] = self.joined[best]
+            later = columns > at[:, None]
+            ids[:, :-1] = np.where(later, ids[:, 1:], ids[:, :-1])
+            ids[:, -1] = -1
+            ranks[:, :-1] = np.where(later[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = self.none
+            ranks[row, at] = self._ranks(ids[row, at], ids[row, at + 1])
+            inside = np.flatnonzero(at > 0)
+            ranks[inside, at[inside] - 1] = self._ranks(ids[inside, at[inside] - 1], ids[inside, at[inside]])
+
+    def merged(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word; words are merged in classes of like width, very long ones by the heap."""
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        low = 0
+        for width in (8, 12, 16, 24, 40, MAX_BYTES):
+            some = np.flatnonzero((size > low) & (size <= width)).tolist()
+            if some:
+                ids = self._same_width([words[i] for i in some], width)
+                counts = (ids >= 0).sum(1)
+                for i, x in zip(some, np.split(ids[ids >= 0], np.cumsum(counts)[:-1]), strict=True):
+                    out[i] = x
+            low = width
+        for i in np.flatnonzero(size > MAX_BYTES).tolist():
+            out[i] = np.array(merge(words[i], self.vocabulary))
+        return out
+
+
 class Coder:
-    """Ids of words: those of the lexicon at once, others by merges and a bounded cache."""
+    """Ids of words: those of the lexicon at once, others by merges."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
-        self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.cache: dict[bytes, tuple[int, ...]] = {}
-        self.cached = 0
-
-    def _merge(self, word: bytes) -> tuple[int, ...]:
-        ids = self.cache.get(word)
-        if ids is None:
-            ids = merge(word, self.vocabulary)
-            if self.cached > CACHE_BYTES:
-                self.cache, self.cached = {}, 0
-            if len(word) <= MAX_BYTES:
-                self.cache[word] = ids
-                self.cached += 100 + len(word) + 8 * len(ids)
-        return ids
+        self.vocabulary, self.lexicon, self.merger = vocabulary, lexicon, Merger(vocabulary)
 
     def code(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, one word after another; number of ids of each word)."""
@@ -349,16 +403,16 @@ class Coder:
         known, counts, ids = self.lexicon.find(raw)
         if known.all():
             return ids, counts
-        own = [self._merge(raw[i]) for i in np.flatnonzero(~known).tolist()]
-        counts[~known] = [len(x) for x in own]
+        own = self.merger.merged([raw[i] for i in np.flatnonzero(~known).tolist()])
+        counts[~known] = list(map(len, own))
         out = np.empty(counts.sum(), np.int64)
         mine = np.repeat(known, counts)
-        out[mine], out[~mine] = ids, [i for x in own for i in x]
+        out[mine], out[~mine] = ids, np.concatenate(own)
         return out, counts
 
 
 def _groups(column: pa.Array, splitter: Splitter) -> Iterator[tuple[list[int], list[list[str]]]]:
-    """Runs of several texts, about CUT_CHARS characters at a time: the text's place, and its words or its one special token led by None."""
+    """Runs of several texts, about GROUP_CHARS characters at a time: the text's place, and its words or its one special token led by None."""
     places, found, size = [], [], 0
     for place, text in enumerate(column):
         places.append(place)
@@ -367,7 +421,7 @@ def _groups(column: pa.Array, splitter: Splitter) -> Iterator[tuple[list[int], l
             places.append(place)
             found.append([None, part] if special else splitter.words(part))
             size += len(part)
-            if size > CUT_CHARS:
+            if size > GROUP_CHARS:
                 yield places, found
                 places, found, size = [], [], 0
     if places:
