@@ -1,15 +1,16 @@
-"""Text and scalar expressions.  All are native but two for rare characters, which read only the rows that need them."""
+"""Text and scalar expressions, all native.  Tables of characters are derived from the standard library's."""
 
 from __future__ import annotations
 
-import html
+import html.entities
+import sys
 import unicodedata
+from collections import defaultdict
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_COMBINING = "[̀-ͯᄀ-ᇿ]"
 _NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 MAX_PARTS = 6
 
@@ -29,42 +30,104 @@ def composed_hangul(text: Column) -> Column:
     return F.when(text.rlike("[ᄀ-ᄒ][ᅡ-ᅵ]|[가-힣][ᆨ-ᇂ]"), F.array_join(F.transform(parts, joined), "")).otherwise(text)
 
 
+@cache
+def _marks() -> tuple[str, str]:
+    """(a class of all combining marks, a pattern of Latin letters that canonical composition joins with a mark).
+
+    A mark joins its letter unless a mark of the same combining class stands between
+    them; marks of other classes may.  I with a dot above is left out, as its lower
+    case is i again.
+    """
+    by_class, letters = defaultdict(list), defaultdict(str)
+    for code in range(sys.maxunicode + 1):
+        char = chr(code)
+        if unicodedata.combining(char):
+            by_class[unicodedata.combining(char)].append(code)
+        parts = unicodedata.decomposition(char).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            letter, mark = (chr(int(x, 16)) for x in parts)
+            if letter.isascii() and letter.isalpha() and letter + mark != "I\u0307" and unicodedata.normalize("NFC", letter + mark) == char:
+                letters[mark] += letter
+
+    def chars(codes: list[int]) -> str:
+        runs: list[list[int]] = []
+        for c in sorted(codes):
+            if runs and runs[-1][1] == c - 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+        return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
+
+    every = chars([c for codes in by_class.values() for c in codes])
+    by_kind = defaultdict(list)
+    for mark, some in letters.items():
+        by_kind[unicodedata.combining(mark)].append((mark, some))
+    joins = []
+    for kind, pairs in by_kind.items():
+        others = chars([c for k, codes in by_class.items() if k != kind for c in codes])
+        joins += [f"[{some}](?=[{others}]*\\x{{{ord(mark):x}}})" for mark, some in pairs]
+    return f"[{every}]", "|".join(joins)
+
+
+def without_composed(text: Column) -> Column:
+    """Latin letters that composition (NFC) would join with a mark, and thus take out of a-z, become blanks.  Texts without marks are left as they are."""
+    marks, joins = _marks()
+    return F.when(text.rlike(marks), F.regexp_replace(F.translate(text, "\u212a", "K"), joins, " ")).otherwise(text)  # the Kelvin sign is a K
+
+
 def clean_text(text: Column) -> Column:
-    """Lower case letters a-z and Hangul with single blanks; links, tags and [+N chars] marks go.  Hangul is composed first; for other composed letters see `composed`."""
-    text = F.regexp_replace(composed_hangul(text), r"(?U)http\S+", " ")
+    """Lower case letters a-z and Hangul with single blanks; links, tags and [+N chars] marks go.  Hangul is composed first; letters that would be composed with marks go."""
+    text = F.regexp_replace(without_composed(composed_hangul(text)), r"(?U)http\S+", " ")
     text = F.regexp_replace(text, r"<[^>]+>", " ")
     text = F.regexp_replace(text, r"\[\+\d+\s+chars\]", " ")
     text = F.regexp_replace(F.lower(text), r"[^a-z가-힣\s]", " ")
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def composed(df: DataFrame, column: str) -> DataFrame:
-    """Canonical composition; only rows with combining characters meet Python."""
-
-    @F.pandas_udf("string")
-    def nfc(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: unicodedata.normalize("NFC", t))
-
-    odd = F.coalesce(F.col(column).rlike(_COMBINING), F.lit(False))
-    return df.where(~odd).unionByName(df.where(odd).withColumn(column, nfc(column)))
-
-
-def strip_html(text: Column) -> Column:
-    """Named entities resolved, then tags dropped, then trimmed.  Other entities: see `unescaped`."""
+def _character(code: Column) -> Column:
+    """The character of a code point, by its UTF-16 units."""
+    above = code - 0x10000
+    units = F.when(code < 0x10000, F.lpad(F.hex(code), 4, "0")).otherwise(F.concat(F.hex(0xD800 + F.shiftright(above, 10)), F.hex(0xDC00 + above.bitwiseAND(0x3FF))))
+    return F.decode(F.unhex(units), "UTF-16BE")
+
+
+@cache
+def _references() -> tuple[dict[str, str], dict[int, str]]:
+    """(characters of named references, with their semicolon if it is needed; characters of numbers that do not stand for themselves), as HTML defines them."""
+    odd = {n: html.unescape(f"&#{n};") for n in (*range(0xA0), *range(0xFDD0, 0xFDF0), *(p << 16 | x for p in range(17) for x in (0xFFFE, 0xFFFF)))}
+    return dict(html.entities.html5), {n: c for n, c in odd.items() if c != chr(n)}
+
+
+def _resolved(piece: Column) -> Column:
+    """What a piece that begins with & stands for; other pieces stay."""
+    names, odd = _references()
+    # one literal each, which is read once when the plan is made
+    table = lambda d: F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in d.items())), F.lit("\x01"), F.lit("\x02"))
+    named, odd = table(names), table(odd)
+    body = F.regexp_extract(piece, "^&#[xX]?([0-9a-fA-F]+);?$", 1)
+    base = F.when(piece.rlike("^&#[xX]"), 16).otherwise(10)
+    digits = F.regexp_replace(body, "^0+(?=.)", "")
+    code = F.when(F.length(digits) > 8, 0x110000).otherwise(F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).cast("long"))
+    number = F.coalesce(F.try_element_at(odd, code.cast("string")), F.when(((code >= 0xD800) & (code <= 0xDFFF)) | (code > 0x10FFFF), "\ufffd").otherwise(_character(code)))
+    name = F.substring(piece, 2, 33)
+    begins = [F.when(F.try_element_at(named, F.left(name, F.lit(n))).isNotNull() & (F.length(name) >= n), F.concat(F.try_element_at(named, F.left(name, F.lit(n))), F.substring(piece, n + 2, 40))) for n in range(6, 1, -1)]
+    word = F.coalesce(F.try_element_at(named, name), *begins, piece)
+    return F.when(piece.rlike("^&#([0-9]+|[xX][0-9a-fA-F]+);?$"), number).when(piece.rlike("^&[^#]"), word).otherwise(piece)
+
+
+def unescaped(text: Column) -> Column:
+    """All character references of HTML resolved, each once: common names by replacement, others, where a text has them, piece by piece."""
+    common = text
     for name, char in _NAMED:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.btrim(F.regexp_replace(text, r"<[^>]+>", ""), F.lit(" \t\r\n\x0b\x0c "))
+        common = F.replace(common, F.lit(name), F.lit(char))
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s)&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"), F.lit(0))
+    others = text.rlike(r"&(?!(lt|gt|quot|apos|amp|nbsp|#39);)(#[0-9xX]|[^\t\n\f <&#;])")
+    return F.when(others, F.array_join(F.transform(pieces, _resolved), "")).otherwise(common)
 
 
-def unescaped(df: DataFrame, column: str) -> DataFrame:
-    """All character references resolved; only rows with other than the common names meet Python."""
-
-    @F.pandas_udf("string")
-    def resolve(s: pd.Series) -> pd.Series:
-        return s.map(html.unescape)
-
-    odd = F.coalesce(F.col(column).rlike(r"&(?!lt;|gt;|quot;|apos;|amp;|nbsp;|#39;)[#\w]+;"), F.lit(False))
-    return df.where(~odd).unionByName(df.where(odd).withColumn(column, resolve(column)))
+def strip_html(text: Column) -> Column:
+    """Character references resolved, then tags dropped, then trimmed."""
+    return F.btrim(F.regexp_replace(unescaped(text), r"<[^>]+>", ""), F.lit(" \t\r\n\x0b\x0c\u00a0"))
 
 
 def normalize_summary(text: Column) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, compact, decide
 from ..schemas import ARTICLE_KEY
+from ..sources.months import MONTH, MonthTable
 from .keywords import _windowed, keyword_pairs, keyword_relations, keyword_trends, representative_keywords
 
 WEIGHTS = {"domain_breadth": 0.30, "repetition": 0.20, "stability": 0.25, "cooccurrence_breadth": 0.15, "short_word": 0.10}
@@ -47,14 +48,45 @@ def stopword_scores(signals: DataFrame, threshold: float = 0.45, most: int = 500
     return top.select("keyword", "frequency", F.round(total, 4).alias("score")).where(F.col("score") >= threshold)
 
 
-def merge_candidates(current: DataFrame, found: DataFrame, now) -> DataFrame:
-    """New words enter for review, words under review add up their counts, decided ones stay."""
-    found = found.select("word", "domain", F.col("frequency").alias("_f"), F.col("doc_count").alias("_d"))
-    both = current.join(found, ["word", "domain"], "full_outer")
-    open_ = (F.col("status") == "needs_review") & F.col("_f").isNotNull()
-    new = F.col("status").isNull()
-    added = lambda c, x: F.when(new, F.col(x)).when(open_, F.col(c) + F.col(x)).otherwise(F.col(c)).alias(c)
-    return both.select("word", "domain", added("frequency", "_f"), added("doc_count", "_d"), F.when(new, F.lit(now)).otherwise(F.col("first_seen_at")).alias("first_seen_at"), F.when(new | open_, F.lit(now)).otherwise(F.col("last_seen_at")).alias("last_seen_at"), F.coalesce("status", F.lit("needs_review")).alias("status"))
+def merge_found(current: DataFrame, found: DataFrame, keys: list[str], now, add: tuple[str, ...] = (), replace: tuple[str, ...] = (), open_status: str = "needs_review") -> DataFrame:
+    """Candidates after a run that found some, by stored status x found, with `change`: new, updated or null.
+
+    New words enter with the open status and both times `now`; words whose status is
+    open add the columns in `add` to theirs, take those in `replace` and are seen `now`;
+    decided words stay as they are.  Both sides have one row a key.
+    """
+    values = (*add, *replace)
+    both = current.join(found.select(*keys, *(F.col(c).alias(f"_{c}") for c in values), F.lit(True).alias("_found")), keys, "full_outer")
+    new = F.col("status").isNull() & F.col("_found")
+    hit = (F.col("status") == open_status) & F.col("_found")
+    updated = {c: F.when(new, F.col(f"_{c}")).when(hit, F.col(c) + F.col(f"_{c}") if c in add else F.col(f"_{c}")).otherwise(F.col(c)) for c in values}
+    updated |= {"first_seen_at": F.when(new, F.lit(now)).otherwise(F.col("first_seen_at")), "last_seen_at": F.when(new | hit, F.lit(now)).otherwise(F.col("last_seen_at")), "status": F.when(new, F.lit(open_status)).otherwise(F.col("status"))}
+    change = F.when(new, "new").when(hit, "updated")
+    return both.select(*(updated.get(c, F.col(c)).alias(c) for c in current.columns), change.alias("change"))
+
+
+def merge_mined(current: DataFrame, mined: DataFrame, now) -> DataFrame:
+    """Compound candidates by word and domain: frequency and doc_count add up."""
+    return merge_found(current, mined, ["word", "domain"], now, add=("frequency", "doc_count"))
+
+
+def merge_recommended(current: DataFrame, scored: DataFrame, now) -> DataFrame:
+    """Stopword candidates of domain 'all', language 'ko': score, signals and frequency are those of the last run."""
+    signals = ("score", "domain_breadth", "repetition", "stability", "cooccurrence_breadth", "short_word", "frequency")
+    found = scored.withColumnRenamed("keyword", "word").withColumns({"domain": F.lit("all"), "language": F.lit("ko")})
+    return merge_found(current, found, ["word", "domain", "language"], now, replace=signals)
+
+
+def merge_outcome(merged: DataFrame) -> DataFrame:
+    """One row: new and updated candidates of a merge."""
+    return merged.agg(F.count_if(F.col("change") == "new").alias("new"), F.count_if(F.col("change") == "updated").alias("updated"))
+
+
+def recommend_stopwords(signals: DataFrame, candidates: DataFrame, stopwords: DataFrame, now, threshold: float = 0.45, most: int = 500) -> DataFrame:
+    """Candidates after a run of the recommender: `most` broadest keywords, those known left out, scored, merged by status.  signals: of `stopword_signals`."""
+    scored = stopword_scores(signals, threshold, most, excluded_words(stopwords, candidates))
+    rounded = {c: F.round(c, 4) for c in ("domain_breadth", "repetition", "stability", "cooccurrence_breadth")}
+    return merge_recommended(candidates, signals.withColumns(rounded).drop("frequency").join(scored, "keyword"), now)
 
 
 def review_queue(candidates: DataFrame, as_of, limit: int = 2000) -> DataFrame:
@@ -67,7 +99,7 @@ def exact_match(candidates: DataFrame, evidence: DataFrame) -> DataFrame:
     rows = candidates.select("word").distinct().join(evidence, "word", "left")
     squeeze = lambda c: F.lower(compact(c))
     in_title, in_text = (F.coalesce(F.contains(squeeze(F.col(c)), squeeze(F.col("word"))), F.lit(False)) for c in ("title", "description"))
-    hit = F.when(in_title, F.struct(F.lit(0).alias("side"), F.col("position"), F.col("title").alias("text"), "link")).when(in_text, F.struct(F.lit(1), F.col("position"), F.col("description"), "link"))
+    hit = F.when(in_title | in_text, F.struct(F.when(in_title, 0).otherwise(1).alias("side"), "position", F.when(in_title, F.col("title")).otherwise(F.col("description")).alias("text"), "link"))
     first = F.min_by(hit, F.when(hit.isNotNull(), F.struct(F.col("position"), F.when(in_title, 0).otherwise(1))))
     return rows.groupBy("word").agg(F.max("ok").alias("ok"), F.max("total").alias("total"), first.alias("match"))
 
@@ -81,6 +113,36 @@ def review_candidates(candidates: DataFrame, evidence: DataFrame, generic: DataF
     return rows.withColumn("status", status)
 
 
+def review_outcome(reviewed: DataFrame) -> DataFrame:
+    """Candidates per decision of a review, and how many of them were approved or rejected by it."""
+    return reviewed.groupBy("auto_decision").agg(F.count("*").alias("candidates"), F.count_if(F.col("status") == "approved").alias("approved"), F.count_if(F.col("status") == "rejected").alias("rejected"))
+
+
+def simple_review(candidates: DataFrame, evidence: DataFrame, reviewed_at, limit: int = 200, by: str = "auto-approver") -> DataFrame:
+    """Candidates after the simple review, with `outcome`: auto_approved, needs_review, or null for those not reviewed.
+
+    The `limit` most frequent open or pending ones are looked up; evidence: word, total.
+    Any found are approved, other pending ones go to review.
+    """
+    keys = ["word", "domain"]
+    open_ = candidates.where(F.col("status").isin("needs_review", "pending")).orderBy(F.desc("frequency"), *keys).limit(limit)
+    found = evidence.groupBy("word").agg(F.max("total").alias("_total"))
+    looked = open_.select(*keys).join(found, "word", "left").select(*keys, (F.coalesce("_total", F.lit(0)) > 0).alias("_ok"))
+    rows = candidates.join(looked, keys, "left")
+    changed = {
+        "status": F.when(F.col("_ok"), "approved").when(F.col("_ok").isNotNull() & (F.col("status") == "pending"), "needs_review").otherwise(F.col("status")),
+        "reviewed_at": F.when(F.col("_ok"), F.lit(reviewed_at)).otherwise(F.col("reviewed_at")),
+        "reviewed_by": F.when(F.col("_ok"), by).otherwise(F.col("reviewed_by")),
+    }
+    outcome = F.when(F.col("_ok"), "auto_approved").when(~F.col("_ok"), "needs_review").alias("outcome")
+    return rows.select(*(changed.get(c, F.col(c)).alias(c) for c in candidates.columns), outcome)
+
+
+def simple_review_counts(reviewed: DataFrame) -> DataFrame:
+    """One row: total, auto_approved, needs_review."""
+    return reviewed.agg(F.count("outcome").alias("total"), *(F.count_if(F.col("outcome") == o).alias(o) for o in ("auto_approved", "needs_review")))
+
+
 def excluded_words(stopwords: DataFrame, candidates: DataFrame) -> DataFrame:
     """Words that are not recommended again: stopwords, and candidates that were decided."""
     return stopwords.select("word").union(candidates.where(F.col("status").isin("approved", "rejected")).select("word")).distinct()
@@ -122,20 +184,45 @@ def next_versions(versions: DataFrame, audit: DataFrame, name: str) -> DataFrame
     return versions.join(n, "dict_name", "left").select("dict_name", (F.col("version") + F.coalesce("_n", F.lit(0))).alias("version"))
 
 
+def _purged(name: str, df: DataFrame, words: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows marked by the words on either side, and the test of those that go; staging tables, named stg_*, count for any domain."""
+    scopes = words.groupBy("word").agg(F.collect_set(F.coalesce("domain", F.lit("all")) if "domain" in words.columns else F.lit("all")).alias("_in"))
+    columns = [c for c in ("keyword", "keyword_a", "keyword_b") if c in df.columns]
+    for c in columns:
+        df = df.join(scopes.withColumnsRenamed({"word": c, "_in": f"_{c}_in"}), c, "left")
+    anywhere = F.lit(name.startswith("stg_") or "domain" not in df.columns)
+    hit = lambda c: F.col(f"_{c}_in").isNotNull() & (anywhere | F.array_contains(f"_{c}_in", "all") | (F.array_contains(f"_{c}_in", F.col("domain")) if "domain" in df.columns else F.lit(False)))
+    gone = F.lit(False)
+    for c in columns:
+        gone = gone | F.coalesce(hit(c), F.lit(False))
+    return df, gone
+
+
 def purge_words(tables: dict[str, DataFrame], words: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Tables without rows of the words, on either side of a pair, and the rows removed per table."""
+    """Tables without rows of the words (word, and domain: one, or 'all'), on either side of a pair, and the rows removed per table."""
     out, counts = {}, None
     for name, df in tables.items():
-        marked, columns = df, [c for c in ("keyword", "keyword_a", "keyword_b") if c in df.columns]
-        for c in columns:
-            marked = marked.join(words.select(F.col("word").alias(c), F.lit(True).alias(f"_{c}_gone")).distinct(), c, "left")
-        gone = F.coalesce(*(F.col(f"_{c}_gone") for c in columns), F.lit(False))
+        marked, gone = _purged(name, df, words)
         out[name] = marked.where(~gone).select(*df.columns)
         n = marked.agg(F.count_if(gone).alias("removed")).select(F.lit(name).alias("name"), "removed")
         counts = n if counts is None else counts.union(n)
     return out, counts
 
 
+def purge_months(tables: dict[str, MonthTable], words: DataFrame) -> dict[str, int]:
+    """Rows of the words removed from stored tables, per table.  One scan of keys counts them by month; only months that hold some are rewritten."""
+    removed = {}
+    for name, table in tables.items():
+        rows = table.spark.read.parquet(table.path).withColumn(MONTH, F.col(MONTH).cast("string"))
+        marked, gone = _purged(name, rows, words)
+        found = {r[MONTH]: r["n"] for r in marked.where(gone).groupBy(MONTH).agg(F.count("*").alias("n")).collect()}  # a row a month
+        if found:
+            kept, gone = _purged(name, table.of_months(found), words)
+            table.replace(kept.where(~gone).select(*(c for c in rows.columns if c != MONTH)), found)
+        removed[name] = sum(found.values())
+    return removed
+
+
 def whitespace_spans(articles: DataFrame) -> DataFrame:
     """Token spans of cleaned texts in which a blank counts as touching."""
     words = articles.select(F.col("url").alias("doc_key"), "domain", F.posexplode(F.split(clean_text(F.col("article_text")), " ")).alias("pos", "token"))
@@ -154,15 +241,6 @@ def recompute_windows(keywords: DataFrame, affected: DataFrame, width: str = "10
     return keyword_trends(log, width), keyword_relations(keyword_pairs(representative_keywords(log)), width)
 
 
-def backfill(articles: DataFrame, keywords: DataFrame, word: str, tokenizer, domain: str | None = None, width: str = "10 minutes") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(keywords, trends, relations): articles that hold the word are tokenised anew, their windows recomputed."""
-    from .keywords import article_keywords
-
-    hit = articles_containing(articles, word, domain)
-    new = keywords.join(hit, ARTICLE_KEY, "left_anti").unionByName(article_keywords(tokenizer(hit)))
-    return (new, *recompute_windows(new, hit, width))
-
-
 def backfill_counts(keywords: DataFrame, hit: DataFrame, width: str = "10 minutes") -> DataFrame:
     parts = {
         "articles": hit.select(*ARTICLE_KEY),

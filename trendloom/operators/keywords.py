@@ -22,18 +22,27 @@ def scoped_words(words: DataFrame, domains: DataFrame) -> DataFrame:
     return own.union(shared).union(every).groupBy("domain").agg(F.sort_array(F.collect_set("word")).alias("words"))
 
 
-def tokenize(articles: DataFrame, text: str = "article_text", stopwords: DataFrame | None = None, compounds: DataFrame | None = None) -> DataFrame:
-    """Adds tokens: cleaned words of one script without stopwords, compounds merged, filtered again."""
+def tokenize(articles: DataFrame, text: str = "article_text", stopwords: DataFrame | None = None, compounds: DataFrame | None = None, spans: bool = False) -> DataFrame:
+    """Adds tokens: cleaned words of one script without stopwords, compounds merged, filtered again.
+
+    With spans, articles come from `analysis.analyse_articles`: the analyser's tokens are
+    used, compounds are merged of tokens that touch, and stopwords and single letters go
+    once after that; an article of which nothing is left takes the words as above.
+    """
     out = articles
     for name, words in (("stop", stopwords), ("compound", compounds)):
         # dictionaries are curated word lists, one row per domain after grouping
         out = out.withColumn(f"_{name}", F.array().cast("array<string>")) if words is None else out.join(words.select("domain", F.col("words").alias(f"_{name}")), "domain", "left").withColumn(f"_{name}", F.coalesce(f"_{name}", F.array().cast("array<string>")))
-    first = tokens(clean_text(F.coalesce(F.col(text), F.lit(""))), F.col("_stop"))
-    out = out.withColumn("tokens", first)
+    kept = lambda words: F.filter(words, lambda t: (F.length(t) > 1) & ~F.array_contains("_stop", t))
+    out = out.withColumn("tokens", tokens(F.col("cleaned") if spans else clean_text(F.coalesce(F.col(text), F.lit(""))), F.col("_stop")))
     if compounds is not None:
-        merged = F.filter(merge_compounds(F.col("tokens"), F.col("_compound")), lambda t: (F.length(t) > 1) & ~F.array_contains("_stop", t))
-        out = out.withColumn("tokens", merged)
-    return out.drop("_stop", "_compound")
+        out = out.withColumn("tokens", kept(merge_compounds(F.col("tokens"), F.col("_compound"))))
+    if spans:
+        found = F.transform("spans", lambda s: s["token"])
+        if compounds is not None:
+            found = merge_compounds(found, F.col("_compound"), spans=F.col("spans"), text=F.col("cleaned"))
+        out = out.withColumn("_found", kept(found)).withColumn("tokens", F.when(F.size("_found") > 0, F.col("_found")).otherwise(F.col("tokens")))
+    return out.drop("_stop", "_compound", "_found")
 
 
 def article_keywords(tokenized: DataFrame, min_len: int = 2) -> DataFrame:

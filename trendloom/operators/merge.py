@@ -28,25 +28,30 @@ def merge_keywords(current: DataFrame, staged: DataFrame, keys: list[str] | None
     return _replace(current, staged.groupBy(*keys).agg(F.max("keyword_count").alias("keyword_count"), F.max("processed_at").alias("processed_at")), keys)
 
 
-def merge_sums(current: DataFrame, staged: DataFrame, keys: list[str], value: str, mode: str = "replace") -> DataFrame:
-    """Staged sums replace the stored value; in mode 'recompute' staged holds all rows of its windows, so stored rows of those windows go too."""
+def merge_sums(current: DataFrame, staged: DataFrame, keys: list[str], value: str, mode: str = "replace", windows: DataFrame | None = None) -> DataFrame:
+    """Staged sums replace the stored value; in mode 'recompute' staged holds all rows of its windows, so stored rows of those windows go too.
+
+    `windows` names the recomputed ones, also those of which nothing is left.
+    """
     sums = staged.groupBy(*keys).agg(F.sum(value).alias(value), F.max("processed_at").alias("processed_at"))
     if mode == "recompute":
-        windows = staged.select("provider", "domain", "window_start", "window_end").distinct()
-        current = current.join(windows, windows.columns, "left_anti")
+        window = ["provider", "domain", "window_start", "window_end"]
+        current = current.join((staged if windows is None else windows).select(*window).distinct(), window, "left_anti")
     return _replace(current, sums, keys)
 
 
-def merge_trends(current: DataFrame, staged: DataFrame, mode: str = "recompute") -> DataFrame:
-    return merge_sums(current, staged, TREND_KEY, "keyword_count", mode)
+def merge_trends(current: DataFrame, staged: DataFrame, mode: str = "recompute", windows: DataFrame | None = None) -> DataFrame:
+    return merge_sums(current, staged, TREND_KEY, "keyword_count", mode, windows)
 
 
-def merge_relations(current: DataFrame, staged: DataFrame, mode: str = "recompute") -> DataFrame:
-    return merge_sums(current, staged, PAIR_KEY, "cooccurrence_count", mode)
+def merge_relations(current: DataFrame, staged: DataFrame, mode: str = "recompute", windows: DataFrame | None = None) -> DataFrame:
+    return merge_sums(current, staged, PAIR_KEY, "cooccurrence_count", mode, windows)
 
 
 def insert_if_absent(current: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    ready = new.where(" and ".join(f"{k} is not null" for k in keys)).dropDuplicates(keys)
+    """New rows of keys that are not stored; of several rows of a key that with the least values of the other columns."""
+    rest = [c for c in current.columns if c not in keys]
+    ready = new.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rest")).select(*keys, "_rest.*") if rest else new.select(*keys).dropna().distinct()
     return current.unionByName(ready.join(current, keys, "left_anti").select(*current.columns))
 
 
@@ -57,12 +62,13 @@ def replace_event_range(events: DataFrame, new: DataFrame, since, until, provide
     return _replace(events.where(~F.coalesce(gone, F.lit(False))), new, EVENT_KEY)
 
 
-def apply_retention(df: DataFrame, time: str, cutoff) -> DataFrame:
-    return df.where(F.col(time) >= cutoff)
+def exclude(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are not among the known ones; rows with a null key stay."""
+    return df.join(known.select(*keys).distinct(), keys, "left_anti")
 
 
-def delete_keys(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(keys_df, keys, "left_anti")
+def apply_retention(df: DataFrame, time: str, cutoff) -> DataFrame:
+    return df.where(F.col(time) >= cutoff)
 
 
 def dedup_articles(df: DataFrame, keys: list[str], order: list) -> DataFrame:

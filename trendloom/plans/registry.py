@@ -6,12 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions.text import clean_text, decide, normalize_summary, safe_growth, strip_html
 from ..operators import dictionary, events, ingest, keywords, merge
 from ..sources.fixtures import articles_from_conversations, articles_from_documents, keyword_stream_from_events, table
 from ..schemas import METADATA
-from . import serving
+from ..sources.shared import stored
+from . import serving, stored_queries
 
 START, END = datetime(2024, 1, 16), datetime(2024, 1, 31)  # with the range before it, all 30 days of the articles
 DAY = "1 day"
@@ -29,6 +31,11 @@ def _chat(s: SparkSession, d: str) -> DataFrame:
     return keywords.article_keywords(keywords.tokenize(articles_from_conversations(table(s, d, "conversations"))))
 
 
+def _kw_once(s: SparkSession, d: str) -> DataFrame:
+    """Keywords for queries that read them more than once: texts are tokenised once."""
+    return stored(_kw(s, d))
+
+
 def _trends(s: SparkSession, d: str) -> DataFrame:
     return keywords.keyword_trends(_kw(s, d))
 
@@ -41,8 +48,12 @@ def _events(s: SparkSession, d: str) -> DataFrame:
     return events.detect_events(_event_trends(s, d))
 
 
+def _relations_of(kw: DataFrame) -> DataFrame:
+    return keywords.keyword_relations(keywords.keyword_pairs(keywords.representative_keywords(kw)))
+
+
 def _relations(s: SparkSession, d: str) -> DataFrame:
-    return keywords.keyword_relations(keywords.keyword_pairs(keywords.representative_keywords(_kw(s, d))))
+    return _relations_of(_kw(s, d))
 
 
 def _text_times(df: DataFrame) -> DataFrame:
@@ -142,7 +153,8 @@ def q_hourly_trend_rollup(s, d):
 
 
 def q_top_keywords(s, d):
-    return serving.top_keywords(_trends(s, d), _kw(s, d), START, END, 50)
+    kw = _kw_once(s, d)
+    return serving.top_keywords(keywords.keyword_trends(kw), kw, START, END, 50)
 
 
 def q_related_keywords(s, d):
@@ -179,11 +191,13 @@ def q_trend_window_series(s, d):
 
 
 def q_overview_keywords(s, d):
-    return serving.overview_keywords(_trends(s, d), _kw(s, d), START, END, 30, 20)
+    kw = _kw_once(s, d)
+    return serving.overview_keywords(keywords.keyword_trends(kw), kw, START, END, 30, 20)
 
 
 def q_overview_kpis(s, d):
-    return _text_times(serving.overview_kpis(_docs(s, d), _trends(s, d), _kw(s, d), START, END, 30, 20))
+    kw = _kw_once(s, d)
+    return _text_times(serving.overview_kpis(_docs(s, d), keywords.keyword_trends(kw), kw, START, END, 30, 20))
 
 
 def q_articles_listing(s, d):
@@ -212,7 +226,8 @@ def q_dedup_articles(s, d):
 
 
 def q_stopword_signals(s, d):
-    return dictionary.stopword_signals(_trends(s, d), _kw(s, d), _relations(s, d), 4, datetime(2024, 1, 31), 30)
+    kw = _kw_once(s, d)
+    return dictionary.stopword_signals(keywords.keyword_trends(kw), kw, _relations_of(kw), 4, datetime(2024, 1, 31), 30)
 
 
 def q_stopword_scores(s, d):
@@ -233,7 +248,8 @@ def q_backfill_counts(s, d):
 
 
 def q_purge_stopword(s, d):
-    return dictionary.purge_words({"keywords": _kw(s, d), "trends": _trends(s, d), "relations": _relations(s, d)}, s.createDataFrame([("the",)], "word string"))[1]
+    kw = _kw_once(s, d)
+    return dictionary.purge_words({"keywords": kw, "trends": keywords.keyword_trends(kw), "relations": _relations_of(kw)}, s.createDataFrame([("the",)], "word string"))[1]
 
 
 def q_keyword_events(s, d):
@@ -284,7 +300,8 @@ def q_merge_relations_sum(s, d):
 
 def q_merge_keywords_max(s, d):
     k = _staged_events(s, d).select("provider", "domain", F.lit("u").alias("url"), "keyword", "keyword_count", "processed_at")
-    return _text_times(merge.merge_keywords(k.limit(0), k.withColumn("keyword_count", F.length("domain").cast("long"))))
+    old = merge.merge_keywords(k.limit(0), k).unionByName(k.select("provider", "domain", F.lit("old").alias("url"), "keyword", "keyword_count", "processed_at").distinct())
+    return _text_times(merge.merge_keywords(old, k.withColumn("keyword_count", F.length("domain").cast("long"))))
 
 
 def q_collection_metrics_summary(s, d):
@@ -330,7 +347,7 @@ def q_domain_group_filter(s, d):
 
 
 def q_exclude_known_words(s, d):
-    return table(s, d, "documents").select("doc_id", "lang").join(table(s, d, "labels").where("quality = 0").select("doc_id"), "doc_id", "left_anti")
+    return merge.exclude(table(s, d, "documents").select("doc_id", "lang"), table(s, d, "labels").where("quality = 0"), ["doc_id"])
 
 
 def q_parse_defaults(s, d):
@@ -372,11 +389,11 @@ def q_keywords_by_growth(s, d):
 def q_ordered_catalog(s, d):
     n, r = table(s, d, "nation"), table(s, d, "region")
     out = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_name").alias("domain_id"), F.col("r_name").alias("group_label"), F.col("r_regionkey").alias("group_sort_order"), F.col("n_nationkey").alias("sort_order"), (F.col("n_nationkey") % 5 > 0).alias("is_active"))
-    return serving.ordered_catalog(out).limit(12)
+    return serving.ordered_catalog(out).select(*out.columns, F.row_number().over(W.orderBy("group_sort_order", "sort_order", "domain_id")).cast("long").alias("place"))
 
 
 def q_theme_order(s, d):
-    return serving.order_themes(q_theme_distribution(s, d)).limit(3)
+    return serving.order_themes(q_theme_distribution(s, d))
 
 
 def q_attach_keywords(s, d):
@@ -484,7 +501,7 @@ SQL = {
     "retention_filter": f"{DETECTED} SELECT provider, domain, {_F.format('window_start')} AS window_start, keyword, current_mentions AS keyword_count FROM trends WHERE window_start + INTERVAL 1 DAY >= TIMESTAMP '2024-01-10'",
     "merge_trends_sum": f"{DETECTED} SELECT provider, domain, {_F.format('window_start')} AS window_start, keyword, CASE WHEN domain = 'click' THEN 2 ELSE 1 END * current_mentions AS keyword_count, {_F.format('window_start + INTERVAL 1 DAY')} AS processed_at FROM trends",
     "merge_relations_sum": f"{RELATIONS} SELECT provider, domain, {_F.format('window_start')} AS window_start, keyword_a, keyword_b, CASE WHEN domain = 'en' THEN 2 ELSE 1 END * cooccurrence_count AS cooccurrence_count FROM relations",
-    "merge_keywords_max": f"WITH {STREAM} SELECT provider, domain, 'u' AS url, keyword, max(length(domain)) AS keyword_count, {_F.format('max(event_time)')} AS processed_at FROM stream GROUP BY provider, domain, keyword",
+    "merge_keywords_max": f"WITH {STREAM} SELECT provider, domain, 'u' AS url, keyword, max(length(domain)) AS keyword_count, {_F.format('max(event_time)')} AS processed_at FROM stream GROUP BY provider, domain, keyword UNION ALL SELECT DISTINCT provider, domain, 'old', keyword, keyword_count, {_F.format('event_time')} FROM (SELECT DISTINCT provider, domain, keyword, keyword_count, event_time FROM stream)",
     "collection_metrics_summary": "SELECT 'events' AS provider, event_type AS domain, event_type AS query, count(*) AS request_count, count(*) FILTER (WHERE value >= 50) AS success_count, count(*) FILTER (WHERE value >= 50 AND event_id % 7 <> 0) AS article_count, count(*) FILTER (WHERE value >= 50 AND event_id % 7 = 0) AS duplicate_count, count(*) FILTER (WHERE value >= 50 AND event_id % 7 <> 0) AS publish_count, count(*) FILTER (WHERE NOT value >= 50) AS error_count FROM events GROUP BY event_type",
     "insert_if_absent": f"WITH {ART} SELECT url, CASE WHEN doc_id % 3 = 0 THEN title ELSE 'new' END AS title FROM articles",
     "incremental_filter": f"WITH {ART} SELECT url, domain FROM articles WHERE event_time > CASE domain WHEN 'de' THEN TIMESTAMP '2024-01-01 03:00:00' ELSE TIMESTAMP '2024-01-01 06:00:00' END",
@@ -511,7 +528,7 @@ SQL = {
     "stopword_signals": f"{SIGNALS} SELECT * FROM signals",
     "stopword_scores": f"{SIGNALS} SELECT keyword, frequency, round(domain_breadth * 0.30 + repetition * 0.20 + stability * 0.25 + cooccurrence_breadth * 0.15 + CAST(short_word AS INTEGER) * 0.10, 4) AS score FROM (SELECT * FROM signals ORDER BY domain_breadth DESC, frequency DESC, keyword LIMIT 500) WHERE round(domain_breadth * 0.30 + repetition * 0.20 + stability * 0.25 + cooccurrence_breadth * 0.15 + CAST(short_word AS INTEGER) * 0.10, 4) >= 0.45",
     "keywords_by_growth": f"{TOTALS} SELECT keyword, mentions, previous_mentions, {_GROWTH.format('mentions', 'previous_mentions')} AS growth FROM totals WHERE mentions > 0 ORDER BY growth DESC, mentions DESC, keyword LIMIT 50",
-    "ordered_catalog": "SELECT n_name AS domain_id, r_name AS group_label, r_regionkey AS group_sort_order, n_nationkey AS sort_order, true AS is_active FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 > 0 ORDER BY r_regionkey, n_nationkey, n_name LIMIT 12",
+    "ordered_catalog": "SELECT n_name AS domain_id, r_name AS group_label, r_regionkey AS group_sort_order, n_nationkey AS sort_order, true AS is_active, row_number() OVER (ORDER BY r_regionkey, n_nationkey, n_name) AS place FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 > 0",
     "attach_keywords": f"{KW}, own AS (SELECT url, max(CASE WHEN keyword = 'for' THEN 1 ELSE 0 END) AS hit, count(*) AS n, arg_min(keyword, struct_pack(n := -keyword_count, k := keyword)) AS primary_keyword FROM kw GROUP BY url) SELECT a.url, coalesce(hit, 0) AS keyword_match, coalesce(n, 0) AS n_keywords, primary_keyword FROM articles a LEFT JOIN own ON a.url = own.url",
     "query_keywords_labelled": "SELECT n_name AS domain_id, lower(n_name) AS domain_label, c_name AS query FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0",
     "dictionary_lookup": "SELECT c_name AS word, c_mktsegment AS domain, 'needs_review' AS status, true AS is_active FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 3 <> 0 AND c_custkey % 2 = 0 AND c_name ILIKE '%CUSTOMER#%'",
@@ -521,5 +538,6 @@ SQL = {
     "review_dictionary": f"{CANDIDATES} SELECT word, domain, CASE WHEN frequency % 12 = 0 THEN 'file' ELSE 'auto-approved' END AS source FROM cand WHERE frequency % 6 = 0",
     "compound_candidates": f"{MINED} SELECT domain, word, count(*) AS frequency, count(DISTINCT url) AS doc_count FROM runs WHERE length(word) >= 4 GROUP BY ALL HAVING count(*) >= 3",
 }
-SQL["theme_order"] = f"SELECT * FROM ({SQL['theme_distribution']}) ORDER BY mentions DESC, label LIMIT 3"
-QUERIES = _ALL
+SQL["theme_order"] = f"SELECT * FROM ({SQL['theme_distribution']}) ORDER BY mentions DESC, label"
+QUERIES = _ALL | stored_queries.QUERIES
+SQL |= stored_queries.SQL
