@@ -1,6 +1,12 @@
 """The corpus pipeline: toxicity, line dedup, near-dedup, decontamination, tokens.
 
 Each stage takes (spark, docs, sf_dir) and reads all that its predecessor kept.
+
+Defined cases, for all stages: a document without doc_id cannot be judged by id and is
+kept; rows that share a doc_id are one document, which goes if one of its rows is toxic
+or contaminated, and stays among near duplicates if one of its rows does; null texts
+stay null but for line dedup, which makes them empty; ties go to the least doc_id; an
+empty table gives empty stages; extra columns stay.
 """
 
 from __future__ import annotations
@@ -27,8 +33,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that of least doc_id."""
-    kept = near_duplicates.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    judged = near_duplicates.near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    return docs.join(judged.where("not kept").select("doc_id"), "doc_id", "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
