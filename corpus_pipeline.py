@@ -5,7 +5,7 @@ Each stage takes (spark, docs, sf_dir) and reads all that its predecessor kept.
 Defined cases, for all stages: a document without doc_id cannot be judged by id and is
 kept; rows that share a doc_id are one document, which goes if one of its rows is toxic
 or contaminated, and stays among near duplicates if one of its rows does; null texts
-stay null but for line dedup, which makes them empty; ties go to the least doc_id; an
+stay null; of near duplicates and repeated lines the least doc_id keeps its text; an
 empty table gives empty stages; extra columns stay.
 """
 
