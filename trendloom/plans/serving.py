@@ -232,8 +232,9 @@ def sort_articles(articles: DataFrame, by: str = "latest", k: int = 50, match: C
     return articles.orderBy(*([F.desc(match)] if by == "relevance" and match is not None else []), *order).limit(k)
 
 
-def page(df: DataFrame, order: list, page: int, limit: int) -> tuple[DataFrame, int]:
-    return df.orderBy(*order).offset((page - 1) * limit).limit(limit), df.count()
+def page(df: DataFrame, order: list, page: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of a page from 1, one row with the total of all pages); neither runs before it is asked for."""
+    return df.orderBy(*order).offset((page - 1) * limit).limit(limit), df.agg(F.count("*").alias("total"))
 
 
 def source_options(articles: DataFrame, default: str = "all") -> DataFrame:
