@@ -101,17 +101,22 @@ def _references() -> tuple[dict[str, str], dict[int, str]]:
 def _resolved(piece: Column) -> Column:
     """What a piece that begins with & stands for; other pieces stay."""
     names, odd = _references()
-    # one literal each, which is read once when the plan is made
-    table = lambda d: F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in d.items())), F.lit("\x01"), F.lit("\x02"))
-    named, odd = table(names), table(odd)
+    begin, end = "\x01", "\x02"
+
+    def found(table: dict, key: Column) -> Column:
+        """The value of a key in a literal of all pairs, null where it is none: for so rare a look-up cheaper to plan than a map."""
+        pairs = "".join(f"{begin}{k}{end}={v}" for k, v in table.items()) + begin
+        value = F.call_function("substring_index", F.lit(pairs), F.concat(F.lit(begin), key, F.lit(end)), F.lit(-1))
+        return F.when(value.startswith("="), F.substring(F.call_function("substring_index", value, F.lit(begin), F.lit(1)), 2, 99))
+
     body = F.regexp_extract(piece, "^&#[xX]?([0-9a-fA-F]+);?$", 1)
     base = F.when(piece.rlike("^&#[xX]"), 16).otherwise(10)
     digits = F.regexp_replace(body, "^0+(?=.)", "")
     code = F.when(F.length(digits) > 8, 0x110000).otherwise(F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).cast("long"))
-    number = F.coalesce(F.try_element_at(odd, code.cast("string")), F.when(((code >= 0xD800) & (code <= 0xDFFF)) | (code > 0x10FFFF), "\ufffd").otherwise(_character(code)))
+    number = F.coalesce(found(odd, code.cast("string")), F.when(((code >= 0xD800) & (code <= 0xDFFF)) | (code > 0x10FFFF), "\ufffd").otherwise(_character(code)))
     name = F.substring(piece, 2, 33)
-    begins = [F.when(F.try_element_at(named, F.left(name, F.lit(n))).isNotNull() & (F.length(name) >= n), F.concat(F.try_element_at(named, F.left(name, F.lit(n))), F.substring(piece, n + 2, 40))) for n in range(6, 1, -1)]
-    word = F.coalesce(F.try_element_at(named, name), *begins, piece)
+    begins = [F.concat(found({k: v for k, v in names.items() if len(k) == n and k[-1] != ";"}, F.substring(name, 1, n)), F.substring(piece, n + 2, 40)) for n in range(6, 1, -1)]
+    word = F.coalesce(found(names, name), *begins, piece)
     return F.when(piece.rlike("^&#([0-9]+|[xX][0-9a-fA-F]+);?$"), number).when(piece.rlike("^&[^#]"), word).otherwise(piece)
 
 

@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import ARTICLE_KEY
+from ..schemas import ARTICLE_KEY, METADATA
+from ..sources.feeds import feed_articles
 from ..sources.shared import Folder, stored
 from .ingest import advance_checkpoints, reject_reason, to_messages
 
@@ -20,7 +21,7 @@ def mark_fetched(fetched: DataFrame, published: DataFrame) -> DataFrame:
 
     The first valid row of a key is published.  Rows after it, rows of keys that were
     published before and rows without url are duplicates; others are not valid.
-    fetched: article columns, _query, and seq, the place in which rows were fetched.
+    fetched: article columns, _query, and seq, the place in which rows were fetched, of any type that has an order.
     """
     rows = fetched.withColumn("reason", reject_reason())
     firsts = rows.where("url is not null").groupBy(*ARTICLE_KEY).agg(F.min(F.when(F.col("reason").isNull(), F.col("seq"))).alias("_first"))
@@ -127,3 +128,17 @@ def run_cycle(log: RunLog, run: int, fetched: DataFrame, results: DataFrame, sta
     if checkpoints is None:
         checkpoints = fetched.sparkSession.createDataFrame([], "key string, checkpoint timestamp_ntz")
     return log.commit(run, ingest_cycle(fetched, results, published, checkpoints, started, ended, store=f"{log.path}/marked/run={run}"))
+
+
+def run_feeds(log: RunLog, run: int, documents: DataFrame, catalog: DataFrame, started: datetime, ended: datetime | None = None) -> bool:
+    """One run over fetched feed documents: articles after each feed's checkpoint of the run before, as `run_cycle` takes them."""
+    if run in log.runs():
+        return False
+    articles, results = feed_articles(documents, catalog, log.last("checkpoints"))
+    articles, results = stored(articles, f"{log.path}/fetched/run={run}"), stored(results, f"{log.path}/results/run={run}")
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    fetched = articles.select(
+        "key", F.struct("key", "position").alias("seq"), "provider", "domain", "source", "title", "summary", "url", iso("published_at").alias("published_at"),
+        F.lit(started.strftime("%Y-%m-%dT%H:%M:%SZ")).alias("ingested_at"), F.lit(None).cast(METADATA).alias("metadata"), "_query",
+    )
+    return run_cycle(log, run, fetched, results, started, ended)

@@ -447,9 +447,10 @@ def q_dead_letter_routing(s, d):
     return ingest.route_dead_letters(records, seen).select("page_id", "outcome", "next_attempt")
 
 
-_RESOLVED = "{0}"
-for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
+_RESOLVED = "{0}"  # the references that pages hold; an ampersand's is last, and needs no semicolon
+for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7")):
     _RESOLVED = f"replace({_RESOLVED}, '{_name}', '{_char}')"
+_RESOLVED = f"regexp_replace({_RESOLVED}, '&amp;?', '&', 'g')"
 _STRIP = f"trim(regexp_replace({_RESOLVED}, '<[^>]+>', '', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))"
 _TITLE = _STRIP.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
 HEAT = f"""{DETECTED}, cells AS (SELECT keyword, datediff('day', DATE '2024-01-01', CAST(window_start AS DATE)) AS bucket, CAST(sum(current_mentions) AS BIGINT) AS mentions FROM trends WHERE datediff('day', DATE '2024-01-01', CAST(window_start AS DATE)) BETWEEN 0 AND 29 GROUP BY ALL),

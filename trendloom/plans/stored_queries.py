@@ -256,7 +256,19 @@ def q_feed_results(s, d):
     return feeds.feed_articles(documents, catalog)[1].select("key", "query", "ok")
 
 
+def q_feed_runs(s, d):
+    """Two runs over the feeds, before and after the orders of 1998; each publishes what its checkpoints have not seen."""
+    log, new_year = cycle.RunLog(s, new_folder(s, "feeds")), datetime(1998, 1, 1)
+    for run, orders in ((1, table(s, d, "orders").where(F.col("o_orderdate") < new_year)), (2, table(s, d, "orders"))):
+        cycle.run_feeds(log, run, *feeds_from_orders(table(s, d, "customer"), orders), new_year if run == 1 else STARTED)
+    value = lambda path: F.get_json_object("value", path)
+    return log.read("messages").select(F.col("run").cast("long").alias("run"), "key", value("$.domain").alias("domain"), value("$.published_at").alias("published_at"))
+
+
 SQL |= {
+    "feed_runs": """WITH rows AS (SELECT *, min(o_orderdate) OVER (PARTITION BY o_custkey) < TIMESTAMP '1998-01-01' AS known FROM orders JOIN customer ON o_custkey = c_custkey)
+      SELECT CAST(CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 1 ELSE 2 END AS BIGINT) AS run, 'http://order/' || o_orderkey AS key, lower(c_mktsegment) AS domain, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published_at
+      FROM rows WHERE o_orderdate < TIMESTAMP '1998-01-01' OR o_orderdate > TIMESTAMP '1998-01-01' OR NOT known""",
     "feed_articles": """SELECT c_name || '::' || lower(c_mktsegment) || '::orders' AS key, place AS position, c_name AS provider, lower(c_mktsegment) AS domain, o_orderpriority AS title, CASE WHEN c_mktsegment <> 'BUILDING' THEN 'order ' || o_orderkey END AS summary,
       'http://order/' || o_orderkey AS url, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS published_at
       FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS place FROM orders JOIN customer ON o_custkey = c_custkey) WHERE c_mktsegment <> 'MACHINERY' OR o_orderdate > TIMESTAMP '1998-01-01'""",
