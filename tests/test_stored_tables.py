@@ -230,6 +230,17 @@ def test_dictionaries_are_read_when_a_version_changes(spark, tmp_path):
     assert (row.stopword_dict_version, row.compound_noun_dict_version) == (2, 0)
 
 
+def test_batches_note_dictionary_versions(spark, tmp_path):
+    words, path = str(tmp_path / "words"), str(tmp_path / "logs")
+    lists = dictionaries.VersionedDictionaries(spark, words, 0)
+    articles = spark.createDataFrame([("p", "d", "u", "stop alpha beta", T(2024, 1, 1), T(2024, 1, 1), T(2024, 1, 1), "stop alpha beta")], "provider string, domain string, url string, title string, event_time timestamp_ntz, published_at timestamp_ntz, ingested_at timestamp_ntz, article_text string")
+    for batch, (name, word) in enumerate((("stopword_dict", "stop"), ("compound_noun_dict", "alphabeta"))):
+        dictionaries.publish_dictionary(spark.createDataFrame([(word, "all")], "word string, domain string"), words, name)
+        job.process_batch(articles, batch, path, lists)
+    log = spark.read.parquet(f"{path}/keywords").orderBy("batch_id", "keyword").collect()
+    assert [(r.batch_id, r.keyword, r.stopword_dict_version, r.compound_noun_dict_version) for r in log] == [(0, "alpha", 1, 0), (0, "beta", 1, 0), (1, "alphabeta", 1, 1)]
+
+
 # --- analysers and backfills
 
 
