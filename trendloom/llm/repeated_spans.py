@@ -1,21 +1,26 @@
-"""Substring deduplication over a compacted De Bruijn graph of token k-mers.
+"""Substring deduplication by token k-mers: windows of words dealt by minimisers.
 
-The graph's edges are the windows of `window` words, between nodes of one word less.
-As in BCALM 2 (Chikhi, Limasset and Medvedev) they are dealt by minimisers: of the
-k-mers in a window the one with the least hash.  Consecutive windows of a text with
-one minimiser are a path, stored as one row: minimiser, hash of the path's words,
-document and the range of windows.  Equal windows have equal minimisers, so
+A window of `window` words is dealt by its minimiser, of the k-mers in it the one with
+the least hash.  Consecutive windows of a text with one minimiser are a path; it is cut
+out of its text by the task that reads the text and stored as one row: minimiser, hash
+of the path's words, document and the range of windows.  Equal windows have equal
+minimisers, so
 
 * a minimiser met in one document only holds no repeat: dropped;
-* where all paths of a minimiser are equal, its nodes have one way in and one way
-  out: all windows of the path compact to the least document of it (one join);
-* only where paths branch are windows told apart, once per distinct path and
-  never per copy, from the source coordinates of the path's first occurrence.
+* where all paths of a minimiser are equal, all windows of the path compact to the
+  least document of it (one join);
+* only where paths of a minimiser differ are windows told apart, once per distinct path
+  and never per copy, from the source coordinates of the path's first occurrence.
+
+This is less than a compacted De Bruijn graph: there are no rows of nodes and degrees,
+and paths of different minimisers are not glued into longer ones.  A row for every
+k-mer of every text would be some five times the input in shuffled bytes.
 
 Whether a window repeats in an earlier document is thus known for every window, on
-the input as given.  Before words are cut, the path is read again at its coordinates
-in the text and compared.  Paths have at most 2 * window - k words and meet only under
-equal minimisers; hashes are of 64 bits each and have no sequence that cancels out.
+the input as given.  Equality rests on 64-bit hashes of words, which have no sequence
+that cancels out, under equal minimisers; the words of the earlier document are not
+compared.  Before words are cut, the path's hash is computed again from its own text,
+which tells rows that share a doc_id apart.
 
 Defined cases: null or empty texts have no words; texts shorter than the window
 lose nothing; repeats within one document are not removed; rows that repeat a
