@@ -32,7 +32,7 @@ def composed_hangul(text: Column) -> Column:
 
 @cache
 def _marks() -> tuple[str, str]:
-    """(a class of all combining marks, a pattern of Latin letters that canonical composition joins with a mark).
+    """(a class of the marks that Latin letters are composed with, a pattern of the letters that composition joins with one).
 
     A mark joins its letter unless a mark of the same combining class stands between
     them; marks of other classes may.  I with a dot above is left out, as its lower
@@ -58,7 +58,6 @@ def _marks() -> tuple[str, str]:
                 runs.append([c, c])
         return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
 
-    every = chars([c for codes in by_class.values() for c in codes])
     by_kind = defaultdict(list)
     for mark, some in letters.items():
         by_kind[unicodedata.combining(mark)].append((mark, some))
@@ -66,7 +65,7 @@ def _marks() -> tuple[str, str]:
     for kind, pairs in by_kind.items():
         others = chars([c for k, codes in by_class.items() if k != kind for c in codes])
         joins += [f"[{some}](?=[{others}]*\\x{{{ord(mark):x}}})" for mark, some in pairs]
-    return f"[{every}]", "|".join(joins)
+    return f"[{chars(list(map(ord, letters)))}]", "|".join(joins)
 
 
 def without_composed(text: Column) -> Column:
@@ -80,8 +79,7 @@ def clean_text(text: Column) -> Column:
     text = F.regexp_replace(without_composed(composed_hangul(text)), r"(?U)http\S+", " ")
     text = F.regexp_replace(text, r"<[^>]+>", " ")
     text = F.regexp_replace(text, r"\[\+\d+\s+chars\]", " ")
-    text = F.regexp_replace(F.lower(text), r"[^a-z가-힣\s]", " ")
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z가-힣]+", " "))  # white space and all else between letters at once
 
 
 def _character(code: Column) -> Column:
