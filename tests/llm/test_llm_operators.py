@@ -397,3 +397,47 @@ def test_repeated_ids_with_other_texts(spark):
     docs = spark.createDataFrame([(1, long), (2, "short"), (2, long), (2, "other " + long), (3, None)], "doc_id long, text string")
     got = sorted((r.doc_id, r.n_words, r.n_removed) for r in repeated_spans.remove_repeated_spans(docs).collect())
     assert got == [(1, 80, 0), (2, 1, 0), (2, 80, 80), (2, 81, 80), (3, 0, 0)]
+
+
+def test_nodes_and_degrees_of_the_word_graph(spark):
+    window, k = 6, 3
+    rng = random.Random(3)
+    stem, left, right = (_words(rng, 40) for _ in range(3))
+    texts = [left + stem, right + stem, stem + left, stem + right, left + stem + right, ["x", "y"] * 20]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    paths, distinct = repeated_spans.distinct_paths(docs, window, k)
+    assert paths.selectExpr("sum(n_nodes)").first()[0] == sum(len(t) - window + 2 for t in texts)
+    asks = distinct.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct(*distinct.columns)).alias("asks"))
+    visits = docs.join(asks, "doc_id").select("text", "asks").mapInArrow(repeated_spans._visit_nodes(window), repeated_spans._VISITS)
+    after, before, where = {}, {}, {}
+    for i, t in enumerate(texts):
+        for p in range(len(t) - window + 2):
+            node = tuple(t[p : p + window - 1])
+            where[i, p] = node
+            after.setdefault(node, set()).update(t[p + window - 1 : p + window])
+            before.setdefault(node, set()).update(t[p - 1 : p] if p else [])
+    got = {where[r.source.doc, r.source.pos]: r.fork for r in repeated_spans.graph_edges(visits.where("nth >= 0")).collect()}
+    assert got
+    for node, fork in got.items():
+        assert fork == (len(after[node]) > 1 or len(before[node]) > 1)
+    forks = {n for n in after if len(after[n]) > 1 or len(before[n]) > 1}
+    met = {tuple(texts[i]) for i in range(5)}
+    assert len(met) == 5 and {n for n, f in got.items() if f} == {n for n in forks if after[n]} and forks
+
+
+def test_spans_are_glued_and_cut_at_branching_nodes(spark):
+    rng = random.Random(4)
+    base, other = _words(rng, 300), _words(rng, 100)
+    texts = [base, ["lead"] + base[:200] + other, other[:30] + base, base]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for window, k in ((50, 25), (20, 7)):
+        got = {r.doc_id: r for r in repeated_spans.remove_repeated_spans(docs, window, k).collect()}
+        n = 300 - window + 1
+        fork = 200 - window + 1  # the node after which documents 0 and 1 part
+        # the first node of base has the words "lead" and other[29] before it, so the span of document 2 begins at it anyway
+        whole = [(0, fork, 0, 0), (fork, n - fork, 0, fork)]
+        assert [tuple(s) for s in got[0].spans] == []
+        assert [tuple(s) for s in got[1].spans] == [(1, fork, 0, 0)]
+        assert [tuple(s) for s in got[2].spans if s.source_id == 0] == [(30 + f, m, s, p) for f, m, s, p in whole]
+        assert [tuple(s) for s in got[3].spans] == whole
+        assert [got[i].n_removed for i in range(4)] == [0, 200, 330 if window == 20 else 300, 300]

@@ -1,26 +1,30 @@
-"""Substring deduplication by token k-mers: windows of words dealt by minimisers.
-
-A window of `window` words is dealt by its minimiser, of the k-mers in it the one with
-the least hash.  Consecutive windows of a text with one minimiser are a path; it is cut
-out of its text by the task that reads the text and stored as one row: minimiser, hash
-of the path's words, document and the range of windows.  Equal windows have equal
-minimisers, so
-
-* a minimiser met in one document only holds no repeat: dropped;
-* where all paths of a minimiser are equal, all windows of the path compact to the
-  least document of it (one join);
-* only where paths of a minimiser differ are windows told apart, once per distinct path
-  and never per copy, from the source coordinates of the path's first occurrence.
-
-This is less than a compacted De Bruijn graph: there are no rows of nodes and degrees,
-and paths of different minimisers are not glued into longer ones.  A row for every
-k-mer of every text would be some five times the input in shuffled bytes.
+"""Substring deduplication on a De Bruijn graph of words, compacted by minimisers.
+
+Windows of `window` words are the edges of the graph, the runs of `window - 1` words
+that they lead from and to its nodes.  A node is dealt by its minimiser, of the k-mers
+in it the one with the least hash, so all visits of all texts to a node meet under one
+key.  Consecutive nodes of a text with one minimiser are a path, which is one row: its
+hash covers its words and the word before and after, hence all edges at its nodes.
+
+* A minimiser met in one document only has no repeated edge: dropped.
+* Where all paths of a minimiser are equal, every node on them has one edge in and one
+  out, so they compact to one nonbranching path without a row for each node.
+* Where they differ, each distinct path (never each copy) is read at its source
+  coordinates, the least document and the place there, and gives a row for each node
+  with the words before and after.  Aggregates of these rows give each edge its least
+  source and tell the nodes with several edges in or out; joins bring both back to the
+  paths, which are cut at branching nodes and where the source changes.
+
+Pieces of a document's paths that follow each other in the document and in the source,
+over a node that does not branch, are glued to long spans.  They are glued in the row
+of the document, by coordinates; there is no table of the whole graph's unitigs.
+
+Before words are cut, the words of each path are compared, as 128-bit digests, with
+those read at the path's source coordinates.  That edges of differing paths are equal
+rests on 64-bit hashes of a node and of the next word under equal minimisers.
 
 Whether a window repeats in an earlier document is thus known for every window, on
-the input as given.  Equality rests on 64-bit hashes of words, which have no sequence
-that cancels out, under equal minimisers; the words of the earlier document are not
-compared.  Before words are cut, the path's hash is computed again from its own text,
-which tells rows that share a doc_id apart.
+the input as given.
 
 Defined cases: null or empty texts have no words; texts shorter than the window
 lose nothing; repeats within one document are not removed; rows that repeat a
@@ -30,6 +34,7 @@ earlier document; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +44,9 @@ from pyspark.sql import functions as F
 
 from .common import SLICE_BYTES, Words, as_long, slices, stored
 
-PATHS = "kmer long, path long, doc_id long, first_window long, n_windows int, at int"
+PATHS = "kmer long, path long, doc_id long, first_window long, n_nodes int, ends boolean"
+_VISITS = "path long, kmer long, nth int, node long, prev long, next long, doc long, pos long"
+_SPAN = "first_word:long,n_windows:long,source_id:long,source_first:long"
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -55,18 +62,26 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _paths_of(words: Words, doc: int, k: int, window: int) -> tuple[np.ndarray, ...] | None:
-    """Paths of text number `doc`: chosen k-mer index, first window, number of windows (word indices of `words`)."""
+    """Paths of text number `doc`: chosen k-mer index, first node, number of nodes (word indices of `words`), whether the text ends with it."""
     low, high = words.first[doc], words.first[doc + 1]
     if high - low < window:
         return None
-    chosen = low + _least(words.kmers[low : high - k + 1], window - k + 1)
+    chosen = low + _least(words.kmers[low : high - k + 1], window - k)
     start = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
-    return chosen[start], low + start, np.diff(np.append(start, len(chosen)))
+    ends = np.zeros(len(start), bool)
+    ends[-1] = True
+    return chosen[start], low + start, np.diff(np.append(start, len(chosen))), ends
+
+
+def _reach(first, n_nodes, ends, begin, window: int):
+    """First and end word of a path with the words before and after it, where the text has such."""
+    return first - (first > begin), first + n_nodes + window - 1 - ends
 
 
-def _content(words: Words, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hash of a path: its words and where the k-mer stands in them."""
-    return words.spans(start, end) ^ (at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def _content(words: Words, first, n_nodes, ends, begin, window: int) -> np.ndarray:
+    """Hash of paths: their words, those before and after, and which of these there are."""
+    place = (2 * (first > begin) + ends).astype(np.uint64)
+    return words.spans(*_reach(first, n_nodes, ends, begin, window)) ^ (place * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _find_paths(k: int, window: int):
@@ -79,99 +94,147 @@ def _find_paths(k: int, window: int):
                 found = [(i, p) for i in range(high - low) if (p := _paths_of(words, i, k, window))]
                 if not found:
                     continue
-                chosen, first, n = (np.concatenate([p[j] for _, p in found]) for j in range(3))
+                chosen, first, n, ends = (np.concatenate([p[j] for _, p in found]) for j in range(4))
                 doc = np.repeat([i for i, _ in found], [len(p[0]) for _, p in found])
                 begin = words.first[doc]
-                content = _content(words, first, first + n + window - 1, chosen - first)
-                columns = as_long(words.kmers[chosen]), as_long(content), ids[low + doc], first - begin, n.astype(np.int32), (chosen - first).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kmer", "path", "doc_id", "first_window", "n_windows", "at"])
+                content = _content(words, first, n, ends, begin, window)
+                columns = as_long(words.kmers[chosen]), as_long(content), ids[low + doc], first - begin, n.astype(np.int32), ends
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kmer", "path", "doc_id", "first_window", "n_nodes", "ends"])
 
     return run
 
 
-def _window_hashes(window: int):
-    """Windows of the asked paths: one row a window, with its number in the path."""
+def _proof(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def _visit_nodes(window: int):
+    """Asked paths at their source coordinates: a row with the digest of the path's words (nth -1), and a row a node where paths of the minimiser differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             asks = batch.column(1)
             for low, high, data, at in slices(batch.column(0)):
-                words = Words(data, at)
-                out = []
+                words, out = Words(data, at), []
+                hashes = as_long(words.hash)
                 for i in range(high - low):
+                    begin, stop = words.first[i], words.first[i + 1]
                     for a in asks[low + i].as_py():
-                        first = words.first[i] + a["first_window"]
-                        end = first + a["n_windows"] + window - 1
-                        if end > words.first[i + 1] or as_long(_content(words, *np.array([[first], [end], [a["at"]]])))[0] != a["path"]:
+                        first, n = begin + a["first_window"], a["n_nodes"]
+                        left, right = _reach(first, n, a["ends"], begin, window)
+                        if right > stop or as_long(_content(words, *map(np.atleast_1d, (first, n, a["ends"], begin)), window))[0] != a["path"]:
                             continue  # another row of the same doc_id
-                        start = first + np.arange(a["n_windows"])
-                        out.append((np.full(len(start), a["path"]), np.full(len(start), a["kmer"]), np.arange(len(start), dtype=np.int32), as_long(words.spans(start, start + window)), np.full(len(start), a["least"])))
+                        proof = _proof(data[words.start[left] : words.end[right - 1]].tobytes().split())
+                        nth, (node, prev) = np.array([-1], np.int32), np.frombuffer(proof, np.int64).reshape(2, 1)
+                        after, known = np.zeros(1, np.int64), np.ones((2, 1), bool)
+                        if a["branches"]:
+                            start = first + np.arange(n)
+                            known = np.concatenate((known, np.array([start > begin, start + window - 1 < stop])), 1)
+                            nth = np.arange(-1, n, dtype=np.int32)
+                            node = np.concatenate((node, as_long(words.spans(start, start + window - 1))))
+                            prev = np.concatenate((prev, hashes[np.maximum(start - 1, begin)]))
+                            after = np.concatenate((after, hashes[np.minimum(start + window - 1, stop - 1)]))
+                        same = [np.full(len(nth), a[c]) for c in ("path", "kmer", "doc")]
+                        out.append((same[0], same[1], nth, node, prev, after, same[2], a["first_window"] + nth.astype(np.int64), ~known[0], ~known[1]))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["path", "kmer", "nth", "content", "least"])
+                    *columns, no_prev, no_next = (np.concatenate(c) for c in zip(*out, strict=True))
+                    arrays = [pa.array(c) for c in columns]
+                    arrays[4], arrays[5] = pa.array(columns[4], mask=no_prev), pa.array(columns[5], mask=no_next)
+                    yield pa.RecordBatch.from_arrays(arrays, ["path", "kmer", "nth", "node", "prev", "next", "doc", "pos"])
 
     return run
 
 
+def _glued(pieces: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, int, int]]:
+    """(first window, number of windows, source, first window there) of pieces that follow each other in both texts over a node that does not branch."""
+    out: list[tuple[int, int, int, int]] = []
+    for first, n, source, pos, fork in sorted(pieces):
+        if out and not fork:
+            f, m, s, p = out[-1]
+            if s == source and f + m == first and p + m == pos:
+                out[-1] = f, m + n, s, p
+                continue
+        out.append((first, n, source, pos))
+    return out
+
+
 def _cut(window: int):
-    """Remove words covered by repeated windows; asks: paths, where they stand, and the runs of their windows that repeat."""
+    """Remove words covered by repeated windows, where the words of a path are those at its source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, at in slices(batch.column(1), 4 * SLICE_BYTES):
                 asked = batch.column(2)[low:high]
-                words = Words(data, at) if asked.null_count < len(asked) else None
-                out: tuple[list, list, list] = [], [], []
+                out: tuple[list, list, list, list] = [], [], [], []
                 for i in range(high - low):
-                    text, gone = data[at[i] : at[i + 1]].tobytes().split(), None
+                    kept = text = data[at[i] : at[i + 1]].tobytes().split()
+                    spans: list[tuple[int, int, int, int]] = []
                     if asked[i].is_valid:
-                        gone = np.zeros(len(text) + 1, np.int32)
+                        pieces = []
                         for a in asked[i].as_py():
-                            first, end = words.first[i] + a["first_window"], words.first[i] + a["first_window"] + a["n_windows"] + window - 1
-                            if end > words.first[i + 1] or as_long(_content(words, *np.array([[first], [end], [a["at"]]])))[0] != a["path"]:
-                                continue  # another row of the same doc_id
-                            for run in a["runs"]:
-                                gone[a["first_window"] + run["low"]] += 1
-                                gone[a["first_window"] + run["high"] + window] -= 1
-                        gone = np.cumsum(gone)[: len(text)] > 0
-                    kept = text if gone is None else [w for w, g in zip(text, gone, strict=True) if not g]
-                    for c, v in zip(out, (len(text), len(text) - len(kept), b" ".join(kept).decode("utf-8", "replace")), strict=True):
+                            left, right = _reach(a["first_window"], a["n_nodes"], a["ends"], 0, window)
+                            if right > len(text) or _proof(text[left:right]) != np.array([a["p0"], a["p1"]]).tobytes():
+                                continue  # another row of the same doc_id, or other words under equal hashes
+                            pieces += [(a["first_window"] + p["low"], p["high"] - p["low"] + 1, p["doc"], p["pos"], p["fork"]) for p in a["pieces"]]
+                        spans, gone = _glued(pieces), np.zeros(len(text) + 1, np.int32)
+                        for first, n, _, _ in spans:
+                            gone[first] += 1
+                            gone[first + n - 1 + window] -= 1
+                        kept = [w for w, g in zip(text, (np.cumsum(gone)[: len(text)] > 0).tolist(), strict=True) if not g]
+                    for c, v in zip(out, (len(text), len(text) - len(kept), b" ".join(kept).decode("utf-8", "replace"), [dict(zip(_SPAN_NAMES, x, strict=True)) for x in spans]), strict=True):
                         c.append(v)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], *(pa.array(c, f.type) for c, f in zip(out, list(_KEPT)[1:], strict=True))], schema=_KEPT)
 
     return run
 
 
-_KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
+_SPAN_NAMES = ["first_word", "n_windows", "source_id", "source_first"]
+_KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string()), ("spans", pa.list_(pa.struct([(n, pa.int64()) for n in _SPAN_NAMES])))])
 
 
-def repeated_spans(docs: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
-    """(doc_id, asks): paths with runs of windows that also start in a document of smaller doc_id."""
-    if not 1 <= k <= window:
-        raise ValueError("k must lie between 1 and the window")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+def distinct_paths(texts: DataFrame, window: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """All paths, and the distinct ones under minimisers of several documents: least place, and whether others of the minimiser differ."""
     paths = stored(texts.mapInArrow(_find_paths(k, window), PATHS), "paths")
     kmers = paths.groupBy("kmer").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("path").alias("p0"), F.max("path").alias("p1")).where("low < high")
     kmers = kmers.select("kmer", (F.col("p0") != F.col("p1")).alias("branches"))
-    edges = paths.groupBy("kmer", "path", "n_windows", "at").agg(F.min(F.struct("doc_id", "first_window")).alias("least"), F.max("doc_id").alias("last"))
-    edges = stored(edges.join(kmers, "kmer"), "edges")
-    plain = edges.where("not branches and least.doc_id < last").select("kmer", "path", F.array_repeat(F.col("least.doc_id"), F.col("n_windows")).alias("sources"))
-    asks = edges.where("branches").select(F.col("least.doc_id").alias("doc_id"), F.struct("kmer", "path", F.col("least.first_window").alias("first_window"), "n_windows", "at", F.col("least.doc_id").alias("least")).alias("ask"))
-    asks = asks.groupBy("doc_id").agg(F.collect_list("ask").alias("asks"))
-    windows = texts.join(asks.hint("shuffle_hash"), "doc_id").select("text", "asks").mapInArrow(_window_hashes(window), "path long, kmer long, nth int, content long, least long")
-    windows = stored(windows, "windows")
-    first = windows.groupBy("kmer", "content").agg(F.min("least").alias("source"))
-    forked = windows.join(first, ["kmer", "content"]).groupBy("kmer", "path").agg(F.array_sort(F.collect_set(F.struct("nth", "source"))).getField("source").alias("sources"))
-    sources = plain.unionByName(forked)
-    runs = F.expr(  # runs of consecutive windows that stand in an earlier document, both ends included
-        "aggregate(filter(transform(sources, (s, i) -> if(s < doc_id, i, -1)), i -> i >= 0), cast(array() as array<struct<low:int,high:int>>), (acc, i) -> if(size(acc) > 0 and "
-        "element_at(acc, -1).high = i - 1, concat(slice(acc, 1, size(acc) - 1), array(struct(element_at(acc, -1).low as low, i as high))), concat(acc, array(struct(i as low, i as high)))))"
+    distinct = paths.groupBy("kmer", "path", "n_nodes", "ends").agg(F.min(F.struct("doc_id", "first_window")).alias("least"))
+    return paths, stored(distinct.join(kmers, "kmer").select("kmer", "path", "n_nodes", "ends", "branches", F.col("least.doc_id").alias("doc"), "least.first_window"), "distinct")
+
+
+def graph_edges(visits: DataFrame) -> DataFrame:
+    """(kmer, node, next, source, fork): edges with their least source, and whether the node they leave has several edges in or out."""
+    edges = visits.groupBy("kmer", "node", "next").agg(F.min(F.struct("doc", "pos")).alias("source"), F.min("prev").alias("p0"), F.max("prev").alias("p1"))
+    several = (F.min("p0") != F.max("p1")) | (F.min("next") != F.max("next"))
+    nodes = edges.groupBy("kmer", "node").agg(F.coalesce(several, F.lit(False)).alias("fork"))
+    return edges.where("next is not null").join(nodes, ["kmer", "node"]).select("kmer", "node", "next", "source", "fork")
+
+
+def repeated_spans(texts: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
+    """(doc_id, asks): paths with their pieces that also start in a document of smaller doc_id, and the digest of the path's words at its source."""
+    if not 1 <= k < window:
+        raise ValueError("k must lie between 1 and window - 1")
+    texts = texts.where("doc_id is not null and text is not null")
+    paths, distinct = distinct_paths(texts, window, k)
+    asks = distinct.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("kmer", "path", "doc", "first_window", "n_nodes", "ends", "branches")).alias("asks"))
+    visits = stored(texts.join(asks.hint("shuffle_hash"), "doc_id").select("text", "asks").mapInArrow(_visit_nodes(window), _VISITS), "visits")
+    proofs = visits.where("nth < 0").groupBy("kmer", "path").agg(F.min(F.struct("node", "prev")).alias("proof"))
+    visits = visits.where("nth >= 0")
+    whole = F.struct(F.lit(0).alias("low"), (F.col("n_nodes") - 1 - F.col("ends").cast("int")).alias("high"), "doc", F.col("first_window").alias("pos"), F.lit(False).alias("fork"))
+    plain = distinct.where("not branches and n_nodes > int(ends)").select("kmer", "path", F.array(whole).alias("pieces"))
+    steps = F.array_sort(F.collect_set(F.struct(F.col("nth").alias("low"), F.col("nth").alias("high"), F.col("source.doc").alias("doc"), F.col("source.pos").alias("pos"), "fork")))
+    pieces = F.expr(  # a step extends the last piece if its source goes on there and its first node does not branch
+        "aggregate(steps, cast(array() as array<struct<low:int,high:int,doc:bigint,pos:bigint,fork:boolean>>), (acc, x) -> if(size(acc) > 0 and not x.fork and element_at(acc, -1).high = x.low - 1 "
+        "and element_at(acc, -1).doc = x.doc and element_at(acc, -1).pos + x.low - element_at(acc, -1).low = x.pos, concat(slice(acc, 1, size(acc) - 1), array(named_struct('low', element_at(acc, -1).low, "
+        "'high', x.high, 'doc', x.doc, 'pos', element_at(acc, -1).pos, 'fork', element_at(acc, -1).fork))), concat(acc, array(x))))"
     )
-    hits = paths.join(sources, ["kmer", "path"]).withColumn("runs", runs).where("size(runs) > 0")
-    return hits.groupBy("doc_id").agg(F.collect_list(F.struct("first_window", "n_windows", "at", "path", "runs")).alias("asks"))
+    forked = visits.join(graph_edges(visits), ["kmer", "node", "next"]).groupBy("kmer", "path").agg(steps.alias("steps")).select("kmer", "path", pieces.alias("pieces"))
+    compact = plain.unionByName(forked).join(proofs, ["kmer", "path"])
+    hits = paths.join(compact, ["kmer", "path"]).withColumn("pieces", F.expr("filter(pieces, p -> p.doc < doc_id)")).where("size(pieces) > 0")
+    return hits.groupBy("doc_id").agg(F.collect_list(F.struct("first_window", "n_nodes", "ends", F.col("proof.node").alias("p0"), F.col("proof.prev").alias("p1"), "pieces")).alias("asks"))
 
 
 def remove_repeated_spans(docs: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed and kept_text, kept words joined by one blank."""
-    spans = repeated_spans(docs, window, k)
+    """One row per input row: doc_id, n_words, n_removed, kept_text (kept words joined by one blank) and the removed spans (first word, windows, and where they stand in an earlier document)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "asks").mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
+    spans = repeated_spans(texts, window, k)
+    return texts.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "asks").mapInArrow(_cut(window), f"doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<{_SPAN}>>")
