@@ -21,7 +21,7 @@ of the document, by coordinates; there is no table of the whole graph's unitigs.
 
 Before words are cut, the words of each path are compared, as 128-bit digests, with
 those read at the path's source coordinates.  That edges of differing paths are equal
-rests on 64-bit hashes of a node and of the next word under equal minimisers.
+rests on 64-bit hashes of a node and of the next word.
 
 Whether a window repeats in an earlier document is thus known for every window, on
 the input as given.
@@ -39,9 +39,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .byte_bpe import ragged
 from .common import SLICE_BYTES, Words, as_long, slices, stored
 
 PATHS = "kmer long, path long, doc_id long, first_window long, n_nodes int, ends boolean"
@@ -113,34 +115,30 @@ def _visit_nodes(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asks = batch.column(1)
             for low, high, data, at in slices(batch.column(0)):
-                words, out = Words(data, at), []
-                hashes = as_long(words.hash)
-                for i in range(high - low):
-                    begin, stop = words.first[i], words.first[i + 1]
-                    for a in asks[low + i].as_py():
-                        first, n = begin + a["first_window"], a["n_nodes"]
-                        left, right = _reach(first, n, a["ends"], begin, window)
-                        if right > stop or as_long(_content(words, *map(np.atleast_1d, (first, n, a["ends"], begin)), window))[0] != a["path"]:
-                            continue  # another row of the same doc_id
-                        proof = _proof(data[words.start[left] : words.end[right - 1]].tobytes().split())
-                        nth, (node, prev) = np.array([-1], np.int32), np.frombuffer(proof, np.int64).reshape(2, 1)
-                        after, known = np.zeros(1, np.int64), np.ones((2, 1), bool)
-                        if a["branches"]:
-                            start = first + np.arange(n)
-                            known = np.concatenate((known, np.array([start > begin, start + window - 1 < stop])), 1)
-                            nth = np.arange(-1, n, dtype=np.int32)
-                            node = np.concatenate((node, as_long(words.spans(start, start + window - 1))))
-                            prev = np.concatenate((prev, hashes[np.maximum(start - 1, begin)]))
-                            after = np.concatenate((after, hashes[np.minimum(start + window - 1, stop - 1)]))
-                        same = [np.full(len(nth), a[c]) for c in ("path", "kmer", "doc")]
-                        out.append((same[0], same[1], nth, node, prev, after, same[2], a["first_window"] + nth.astype(np.int64), ~known[0], ~known[1]))
-                if out:
-                    *columns, no_prev, no_next = (np.concatenate(c) for c in zip(*out, strict=True))
-                    arrays = [pa.array(c) for c in columns]
-                    arrays[4], arrays[5] = pa.array(columns[4], mask=no_prev), pa.array(columns[5], mask=no_next)
-                    yield pa.RecordBatch.from_arrays(arrays, ["path", "kmer", "nth", "node", "prev", "next", "doc", "pos"])
+                words, asks = Words(data, at), batch.column(1)[low:high]
+                hashes, flat = as_long(words.hash), asks.flatten()
+                ask = {f.name: c.to_numpy(zero_copy_only=False) for f, c in zip(flat.type, flat.flatten(), strict=True)}
+                row = np.repeat(np.arange(high - low), pc.list_value_length(asks).to_numpy())
+                ask |= {"begin": words.first[row], "stop": words.first[row + 1], "first": words.first[row] + ask["first_window"]}
+                ask["left"], ask["right"] = _reach(ask["first"], ask["n_nodes"], ask["ends"], ask["begin"], window)
+                ask = {c: v[ask["right"] <= ask["stop"]] for c, v in ask.items()}
+                same = as_long(_content(words, ask["first"], ask["n_nodes"], ask["ends"], ask["begin"], window)) == ask["path"]
+                ask = {c: v[same] for c, v in ask.items()}  # others ask for another row of the same doc_id
+                if not len(ask["path"]):
+                    continue
+                ranges = zip(words.start[ask["left"]].tolist(), words.end[ask["right"] - 1].tolist(), strict=True)
+                proof = np.frombuffer(b"".join(_proof(data[x:y].tobytes().split()) for x, y in ranges), np.int64).reshape(-1, 2)
+                n = ask["n_nodes"].astype(np.int64) * ask["branches"]
+                start, which, none = ragged(ask["first"], n), np.repeat(np.arange(len(n)), n), np.zeros(len(n), np.int64)
+                begin, stop, after = ask["begin"][which], ask["stop"][which], start + window - 1
+                of = np.concatenate((np.arange(len(n)), which))
+                nth = np.concatenate((none - 1, start - ask["first"][which]))
+                node = np.concatenate((proof[:, 0], as_long(words.spans(start, after))))
+                prev = pa.array(np.concatenate((proof[:, 1], hashes[np.maximum(start - 1, begin)])), mask=np.concatenate((none > 0, start == begin)))
+                then = pa.array(np.concatenate((none, hashes[np.minimum(after, stop - 1)])), mask=np.concatenate((none == 0, after == stop)))
+                columns = ask["path"][of], ask["kmer"][of], nth.astype(np.int32), node, prev, then, ask["doc"][of], ask["first_window"][of] + nth
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["path", "kmer", "nth", "node", "prev", "next", "doc", "pos"])
 
     return run
 
@@ -202,11 +200,11 @@ def distinct_paths(texts: DataFrame, window: int, k: int) -> tuple[DataFrame, Da
 
 
 def graph_edges(visits: DataFrame) -> DataFrame:
-    """(kmer, node, next, source, fork): edges with their least source, and whether the node they leave has several edges in or out."""
-    edges = visits.groupBy("kmer", "node", "next").agg(F.min(F.struct("doc", "pos")).alias("source"), F.min("prev").alias("p0"), F.max("prev").alias("p1"))
+    """(node, next, source, fork): edges with their least source, and whether the node they leave has several edges in or out."""
+    edges = visits.groupBy("node", "next").agg(F.min(F.struct("doc", "pos")).alias("source"), F.min("prev").alias("p0"), F.max("prev").alias("p1"))
     several = (F.min("p0") != F.max("p1")) | (F.min("next") != F.max("next"))
-    nodes = edges.groupBy("kmer", "node").agg(F.coalesce(several, F.lit(False)).alias("fork"))
-    return edges.where("next is not null").join(nodes, ["kmer", "node"]).select("kmer", "node", "next", "source", "fork")
+    nodes = edges.groupBy("node").agg(F.coalesce(several, F.lit(False)).alias("fork"))
+    return edges.where("next is not null").join(nodes, "node").select("node", "next", "source", "fork")
 
 
 def repeated_spans(texts: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
@@ -227,7 +225,7 @@ def repeated_spans(texts: DataFrame, window: int = 50, k: int = 25) -> DataFrame
         "and element_at(acc, -1).doc = x.doc and element_at(acc, -1).pos + x.low - element_at(acc, -1).low = x.pos, concat(slice(acc, 1, size(acc) - 1), array(named_struct('low', element_at(acc, -1).low, "
         "'high', x.high, 'doc', x.doc, 'pos', element_at(acc, -1).pos, 'fork', element_at(acc, -1).fork))), concat(acc, array(x))))"
     )
-    forked = visits.join(graph_edges(visits), ["kmer", "node", "next"]).groupBy("kmer", "path").agg(steps.alias("steps")).select("kmer", "path", pieces.alias("pieces"))
+    forked = visits.join(graph_edges(visits), ["node", "next"]).groupBy("kmer", "path").agg(steps.alias("steps")).select("kmer", "path", pieces.alias("pieces"))
     compact = plain.unionByName(forked).join(proofs, ["kmer", "path"])
     hits = paths.join(compact, ["kmer", "path"]).withColumn("pieces", F.expr("filter(pieces, p -> p.doc < doc_id)")).where("size(pieces) > 0")
     return hits.groupBy("doc_id").agg(F.collect_list(F.struct("first_window", "n_nodes", "ends", F.col("proof.node").alias("p0"), F.col("proof.prev").alias("p1"), "pieces")).alias("asks"))
