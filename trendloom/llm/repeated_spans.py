@@ -226,7 +226,7 @@ def repeated_spans(texts: DataFrame, window: int = 50, k: int = 25) -> DataFrame
         "'high', x.high, 'doc', x.doc, 'pos', element_at(acc, -1).pos, 'fork', element_at(acc, -1).fork))), concat(acc, array(x))))"
     )
     forked = visits.join(graph_edges(visits), ["node", "next"]).groupBy("kmer", "path").agg(steps.alias("steps")).select("kmer", "path", pieces.alias("pieces"))
-    compact = plain.unionByName(forked).join(proofs, ["kmer", "path"])
+    compact = stored(plain.unionByName(forked).join(proofs, ["kmer", "path"]), "compact")  # apart from the aggregates, the next join can split a hot path
     hits = paths.join(compact, ["kmer", "path"]).withColumn("pieces", F.expr("filter(pieces, p -> p.doc < doc_id)")).where("size(pieces) > 0")
     return hits.groupBy("doc_id").agg(F.collect_list(F.struct("first_window", "n_nodes", "ends", F.col("proof.node").alias("p0"), F.col("proof.prev").alias("p1"), "pieces")).alias("asks"))
 
