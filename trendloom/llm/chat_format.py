@@ -11,10 +11,10 @@ Defined cases: null roles and texts count as empty; null, malformed and unknown
 records have layout null and no turns; ties of a turn number go by role, then
 text; repeated rows are repeated turns; extra columns are kept by
 `format_records` unless their names clash, then they give way.  One conversation
-is one row, as its digest needs all of it in order.  Records built from rows carry
-their field paths, as Spark parses no JSON of over 128 MiB, nor any text of over 20
-million characters, to tell its layout; other records of that length that it cannot
-parse raise an error.
+is one row, as its digest needs all of it in order.  Records built from rows are
+parsed for their field paths as any others; for those of over 20 million characters
+they carry their paths, as Spark parses no JSON of over 128 MiB, nor any text of over
+20 million characters; other records of that length that it cannot parse raise an error.
 """
 
 from __future__ import annotations
@@ -97,9 +97,12 @@ def _escape_role(role: Column) -> Column:
 def format_records(records: DataFrame, record: str = "record", paths: str | None = None) -> DataFrame:
     """Adds layout, formatted and loss_spans (start, end in code points of formatted).
 
-    `paths` names a column of known field paths, written as by `shape`; records without one are parsed for them.
+    Each record's own field paths tell its layout.  `paths` names a column of known field paths, written as by `shape`;
+    they hold only where a record is too long to be parsed.
     """
-    known = fingerprint(F.col(record)) if paths is None else F.xxhash64(paths)
+    known = fingerprint(F.col(record))
+    if paths is not None:
+        known = F.xxhash64(F.when(F.length(record) > PARSED, F.col(paths)).otherwise(shape(F.col(record))))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in MAPPINGS:
         hit = known == F.xxhash64(F.lit(m.shape))
