@@ -103,11 +103,13 @@ def format_records(records: DataFrame, record: str = "record", paths: str | None
     known = fingerprint(F.col(record))
     if paths is not None:
         known = F.xxhash64(F.when(F.length(record) > PARSED, F.col(paths)).otherwise(shape(F.col(record))))
+    # in a column, so that a record is parsed once for all mappings
+    records, columns = records.withColumn("_known", known), records.columns
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in MAPPINGS:
-        hit = known == F.xxhash64(F.lit(m.shape))
+        hit = F.col("_known") == F.xxhash64(F.lit(m.shape))
         layout, turns = F.when(hit, m.name).otherwise(layout), F.when(hit, m.read(F.col(record))).otherwise(turns)
-    kept = [c for c in records.columns if c == record or c.lower() not in ("layout", "formatted", "loss_spans", "_turns")]
+    kept = [c for c in columns if c == record or c.lower() not in ("layout", "formatted", "loss_spans", "_turns", "_known")]
     lost = shape(F.col(record)).isNull() & (F.length(record) > PARSED) if paths is None else F.col(record).isNotNull()
     none = F.when(lost, F.raise_error(F.lit("chat record too long to parse, or of no known layout")).cast(TURNS)).otherwise(F.array().cast(TURNS))
     out = records.select(*kept, layout.alias("layout"), F.coalesce(turns, none).alias("_turns"))
