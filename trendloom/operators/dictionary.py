@@ -189,7 +189,8 @@ def _purged(name: str, df: DataFrame, words: DataFrame) -> tuple[DataFrame, Colu
     scopes = words.groupBy("word").agg(F.collect_set(F.coalesce("domain", F.lit("all")) if "domain" in words.columns else F.lit("all")).alias("_in"))
     columns = [c for c in ("keyword", "keyword_a", "keyword_b") if c in df.columns]
     for c in columns:
-        df = df.join(scopes.withColumnsRenamed({"word": c, "_in": f"_{c}_in"}), c, "left")
+        # words are a curated list: tables are not dealt by word for it
+        df = df.join(F.broadcast(scopes.withColumnsRenamed({"word": c, "_in": f"_{c}_in"})), c, "left")
     anywhere = F.lit(name.startswith("stg_") or "domain" not in df.columns)
     hit = lambda c: F.col(f"_{c}_in").isNotNull() & (anywhere | F.array_contains(f"_{c}_in", "all") | (F.array_contains(f"_{c}_in", F.col("domain")) if "domain" in df.columns else F.lit(False)))
     gone = F.lit(False)
@@ -204,7 +205,9 @@ def purge_words(tables: dict[str, DataFrame], words: DataFrame) -> tuple[dict[st
     for name, df in tables.items():
         marked, gone = _purged(name, df, words)
         out[name] = marked.where(~gone).select(*df.columns)
-        n = marked.agg(F.count_if(gone).alias("removed")).select(F.lit(name).alias("name"), "removed")
+        # a table of one keyword column is counted from the rows of the words alone: the semi-join goes below the sums that made the table
+        some, gone = _purged(name, df.join(F.broadcast(words.select(F.col("word").alias("keyword")).distinct()), "keyword", "left_semi"), words) if "keyword" in df.columns else (marked, gone)
+        n = some.agg(F.count_if(gone).alias("removed")).select(F.lit(name).alias("name"), "removed")
         counts = n if counts is None else counts.union(n)
     return out, counts
 
