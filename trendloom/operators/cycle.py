@@ -134,7 +134,7 @@ def run_feeds(log: RunLog, run: int, documents: DataFrame, catalog: DataFrame, s
     """One run over fetched feed documents: articles after each feed's checkpoint of the run before, as `run_cycle` takes them."""
     if run in log.runs():
         return False
-    articles, results = feed_articles(documents, catalog, log.last("checkpoints"))
+    articles, results = feed_articles(documents, catalog, log.last("checkpoints"), f"{log.path}/parsed/run={run}")
     articles, results = stored(articles, f"{log.path}/fetched/run={run}"), stored(results, f"{log.path}/results/run={run}")
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     fetched = articles.select(

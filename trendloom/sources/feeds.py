@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import normalize_summary, parse_pub_date, strip_html
+from .shared import stored
 
 #: Feeds of this news wire take their title where a summary says nothing, and other names where the catalog has none.
 WIRE_PUBLISHERS, WIRE_HOST, WIRE = ("연합뉴스", "yna", "yonhap", "yonhapnews"), "yna.co.kr", ("연합뉴스", "politics", "yonhap_rss")
@@ -68,17 +69,19 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def feed_articles(documents: DataFrame, catalog: DataFrame, checkpoints: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def feed_articles(documents: DataFrame, catalog: DataFrame, checkpoints: DataFrame | None = None, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(articles, results) of fetched documents (url, content) of the catalog's feeds (publisher, feed_name, domain, url).
 
     A document that cannot be read, or an entry without link, fails its feed as a whole:
     results (key, provider, domain, query, ok, error) say so, and no article of it is given.
     Articles of a feed with a checkpoint (key, checkpoint) are those published after it;
     of several with one source, domain and address the first is given.
+    Parsed entries are stored in `store`, if given, so that articles and results parse documents once.
     """
     feeds = catalog.select(*(F.col(c) for c in FEED[:3]), F.trim("url").alias("url")).join(documents.select(F.trim("url").alias("url"), F.col("content").cast("binary").alias("content")), "url")
     kinds = ", ".join(f"{f.name} {'long' if f.name == 'position' else 'string'}" for f in _ENTRY)
     rows = feeds.select(*FEED, "content").mapInArrow(_parsed, kinds).withColumn("key", feed_key())
+    rows = rows if store is None else stored(rows, store)
     wire = F.lower(F.trim("publisher")).isin(*WIRE_PUBLISHERS) | F.coalesce(F.contains("url", F.lit(WIRE_HOST)), F.lit(False))
     given = lambda c, generic, other: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.when(wire, other).otherwise(generic))
     title = F.coalesce(F.nullif(strip_html(F.col("title")), F.lit("")), F.lit("(untitled)"))
