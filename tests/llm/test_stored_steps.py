@@ -6,7 +6,7 @@ import re
 import pytest
 
 pytest.importorskip("public_tokenizers")
-from trendloom.llm import common, line_dedup  # noqa: E402
+from trendloom.llm import common, line_dedup, repeated_spans  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +28,11 @@ def test_line_dedup_leaves_numbers_of_lines_alone(spark, texts):
     left = sorted(re.sub("-.*", "", f) for f in _folders(spark) - before)
     assert left == ["gone"]  # before, all lines, the distinct ones and their texts stood beside the last plan's shuffles
     assert out.where("n_gone > 0").count() > 0
+
+
+def test_repeated_spans_leave_asks_alone(spark, texts):
+    before = _folders(spark)
+    out = repeated_spans.remove_repeated_spans(texts)
+    left = sorted(re.sub("-.*", "", f) for f in _folders(spark) - before)
+    assert left == ["asks"]  # before, all paths and visits stood beside the last plan's shuffles
+    assert out.where("n_removed > 0").count() > 0

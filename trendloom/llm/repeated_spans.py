@@ -23,6 +23,9 @@ Before words are cut, the words of each path are compared, as 128-bit digests, w
 those read at the path's source coordinates.  That edges of differing paths are equal
 rests on 64-bit hashes of a node and of the next word.
 
+Each step is stored, and what it was made of removed once nothing reads it, so the disk
+holds the rows of one step, not of all.
+
 Whether a window repeats in an earlier document is thus known for every window, on
 the input as given.
 
@@ -44,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import ragged
-from .common import SLICE_BYTES, Words, as_long, slices, stored
+from .common import SLICE_BYTES, Words, as_long, discard, slices, stored
 
 PATHS = "kmer long, path long, doc_id long, first_window long, n_nodes int, ends boolean"
 _VISITS = "path long, kmer long, nth int, node long, prev long, next long, doc long, pos long"
@@ -225,10 +228,15 @@ def repeated_spans(texts: DataFrame, window: int = 50, k: int = 25) -> DataFrame
         "and element_at(acc, -1).doc = x.doc and element_at(acc, -1).pos + x.low - element_at(acc, -1).low = x.pos, concat(slice(acc, 1, size(acc) - 1), array(named_struct('low', element_at(acc, -1).low, "
         "'high', x.high, 'doc', x.doc, 'pos', element_at(acc, -1).pos, 'fork', element_at(acc, -1).fork))), concat(acc, array(x))))"
     )
-    forked = visits.join(graph_edges(visits), ["node", "next"]).groupBy("kmer", "path").agg(steps.alias("steps")).select("kmer", "path", pieces.alias("pieces"))
-    compact = plain.unionByName(forked).join(proofs, ["kmer", "path"])
+    edges = stored(graph_edges(visits), "edges")
+    forked = visits.join(edges, ["node", "next"]).groupBy("kmer", "path").agg(steps.alias("steps")).select("kmer", "path", pieces.alias("pieces"))
+    compact = stored(plain.unionByName(forked).join(proofs, ["kmer", "path"]), "compact")
+    discard(distinct, visits, edges)
     hits = paths.join(compact, ["kmer", "path"]).withColumn("pieces", F.expr("filter(pieces, p -> p.doc < doc_id)")).where("size(pieces) > 0")
-    return hits.groupBy("doc_id").agg(F.collect_list(F.struct("first_window", "n_nodes", "ends", F.col("proof.node").alias("p0"), F.col("proof.prev").alias("p1"), "pieces")).alias("asks"))
+    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("first_window", "n_nodes", "ends", F.col("proof.node").alias("p0"), F.col("proof.prev").alias("p1"), "pieces")).alias("asks"))
+    out = stored(hits, "asks")
+    discard(paths, compact)
+    return out
 
 
 def remove_repeated_spans(docs: DataFrame, window: int = 50, k: int = 25) -> DataFrame:
