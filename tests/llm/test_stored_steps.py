@@ -6,7 +6,7 @@ import re
 import pytest
 
 pytest.importorskip("public_tokenizers")
-from trendloom.llm import common, line_dedup, repeated_spans  # noqa: E402
+from trendloom.llm import common, line_dedup, near_duplicates, repeated_spans  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -36,3 +36,20 @@ def test_repeated_spans_leave_asks_alone(spark, texts):
     left = sorted(re.sub("-.*", "", f) for f in _folders(spark) - before)
     assert left == ["asks"]  # before, all paths and visits stood beside the last plan's shuffles
     assert out.where("n_removed > 0").count() > 0
+
+
+def test_plans_of_near_duplicates_do_not_grow_with_levels(texts, monkeypatch):
+    joins = {}
+
+    def spy(levels):
+        def store(df, label):
+            joins.setdefault(levels, []).append(len(re.findall(r"\bJoin\b", df._jdf.queryExecution().optimizedPlan().toString())))
+            return common.stored(df, label)
+
+        return store
+
+    for levels in (2, 4):
+        monkeypatch.setattr(near_duplicates, "stored", spy(levels))
+        got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(texts, 3, 85, levels=levels).collect()}
+        assert got[21] == 20
+    assert max(joins[4]) == max(joins[2])  # before, one plan held the pairs of all levels

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TO_LOWER, Words, as_long, discard, exact_grams, mix, slices, stored, word_numbers
+from .common import TO_LOWER, Words, as_long, discard, exact_grams, mix, slices, stored, together, word_numbers
 from .components import connected_components
 
 SKETCH, BLOCK, BLOCK_SHINGLES = 32, 256, 1 << 19
@@ -206,11 +206,16 @@ def _equal_tokens(x: str, y: str):
     return F.lit(SKETCH) - different
 
 
+_LOW = [f"b{j}" for j in range(SKETCH // 8)]
+_CLASSES = "id long, n long, d0 long, d1 long, sketch binary, " + ", ".join(f"{b} long" for b in _LOW)
+
+
 def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes with the low bytes of their sketches."""
     for batch in batches:
         if batch.num_rows:
-            low = np.ascontiguousarray(_sketches(batch.column(2)).astype(np.uint8)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(low[:, j])) for j in range(SKETCH // 8))], ["id", "n", *(f"b{j}" for j in range(SKETCH // 8))])
+            low = np.ascontiguousarray(_sketches(batch.column(4)).astype(np.uint8)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.ascontiguousarray(low[:, j])) for j in range(len(_LOW)))], [*batch.schema.names, *_LOW])
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees: int = 16, levels: int = 6, small: int = 8) -> DataFrame:
@@ -219,8 +224,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = stored(texts.mapInArrow(_describe(shingle), "doc_id long, n_shingles long, d0 long, d1 long, sketch binary"), "described")
     classes = described.where("n_shingles > 0 and doc_id is not null").groupBy("d0", "d1", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch"))
-    classes = stored(classes, "classes")
-    marks = classes.select("id", "n", "sketch").mapInArrow(_low_bytes, "id long, n long, b0 long, b1 long, b2 long, b3 long")
+    classes = stored(classes.select("id", "n", "d0", "d1", "sketch").mapInArrow(_low_bytes, _CLASSES), "classes")
+    marks = classes.select("id", "n", *_LOW)
 
     def within(x: str, y: str):
         sizes = F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * percent
@@ -229,27 +234,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
     def pair(x: str, y: str) -> list:
         return [F.least(f"{x}.id", f"{y}.id").alias("a"), F.greatest(f"{x}.id", f"{y}.id").alias("b"), _equal_tokens(x, y).alias("equal")]
 
-    level, found = classes.select("id", "sketch").mapInArrow(_roots(trees), "key long, id long"), None
-    met, scratch = None, []
+    # each level is a few small plans, the same for all levels, so Spark compiles them once and holds none of all levels
+    level, nodes, found = classes.select("id", "sketch").mapInArrow(_roots(trees), "key long, id long"), [], []
     for depth in range(levels):
         level = stored(level, "level")
         sizes = level.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
         shared = stored(level.join(sizes, "key"), "shared")
-        met = shared.select("id", "size") if met is None else met.union(shared.select("id", "size"))
+        discard(level)
+        nodes.append(shared)
         few = shared.where(F.col("size") <= small).join(marks, "id")
         pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
-        found = pairs if found is None else found.union(pairs)
+        found.append(stored(pairs, "near"))
         large = shared.where(F.col("size") > small).select("key", "id")
         if depth + 1 < levels:
             level = large.join(classes.select("id", "sketch"), "id").select("key", "id", "sketch").mapInArrow(_branches(similarity), "key long, id long")
-        scratch.append(shared)
+    met = together(nodes).select("id", "size")
     large = stored(large.join(marks, "id").join(met.groupBy("id").agg(F.sum("size").alias("met")), "id"), "large")
-    this = F.struct("id", "n", "b0", "b1", "b2", "b3")
+    discard(*nodes)
+    this = F.struct("id", "n", *_LOW)
     central, chance = F.max_by(this, F.struct("met", -F.col("id"))), F.min_by(this, F.xxhash64("key", "id"))
     hubs = large.groupBy("key").agg(F.array_distinct(F.array(central, chance)).alias("hubs")).select("key", F.explode("hubs").alias("hub")).select("key", "hub.*")
     star = large.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
-    candidates = stored(found.union(star).groupBy("a", "b").agg(F.max("equal").alias("equal")), "pairs")
-    discard(*scratch)
+    candidates = stored(together(found).union(star).groupBy("a", "b").agg(F.max("equal").alias("equal")), "pairs")
+    discard(*found)
 
     ids = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).union(large.select("id")).distinct()
     sets = texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_words_of, "id long, members binary")
