@@ -6,7 +6,7 @@ import re
 import pytest
 
 pytest.importorskip("public_tokenizers")
-from trendloom.llm import common, line_dedup, near_duplicates, repeated_spans  # noqa: E402
+from trendloom.llm import byte_bpe, common, line_dedup, near_duplicates, repeated_spans  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +53,14 @@ def test_plans_of_near_duplicates_do_not_grow_with_levels(texts, monkeypatch):
         got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(texts, 3, 85, levels=levels).collect()}
         assert got[21] == 20
     assert max(joins[4]) == max(joins[2])  # before, one plan held the pairs of all levels
+
+
+def test_packed_words_do_not_pass_the_driver(spark, texts, monkeypatch):
+    shipped = []
+    broadcast = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: shipped.append(x) or broadcast(x))
+    ranks = {bytes([i]): i for i in range(256)} | {b"wo": 256, b"rd": 257, b"word": 258}
+    got = {r.doc_id: r.ids for r in byte_bpe.encode(texts, ranks, r"\s?\S+|\s+").collect()}
+    assert got[20][:3] == [258, ord("0"), ord(" ")] and got[30] == []
+    known = next(x for x in shipped if isinstance(x, byte_bpe.KnownParts))
+    assert all(isinstance(f, str) for f in known.files) and not known.parts  # before, the packed tables themselves were collected and broadcast

@@ -7,8 +7,8 @@ an array of hash buckets, each a string of pairs and the piece that they join to
 adjacent pairs and replaces the pair of least rank, the leftmost of equals.
 
 Words (matches of the pattern) are counted over all documents.  Those that occur
-again, at most the `HEAD` most frequent, are folded once and shipped to the tasks
-that split texts, as sorted hashes with their bytes to compare.  Any other word of a
+again, at most the `HEAD` most frequent, are folded once and stored for the tasks
+that split texts, as sorted hashes with their bytes to compare; executors fetch them.  Any other word of a
 document is folded in the document's own row.  No text is shuffled.  Decoding joins
 the bytes of the ids' pieces.
 
@@ -31,7 +31,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -302,15 +304,26 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class KnownParts:
-    """Tables of words by their length modulo CLASSES, as executors packed them; a task's process unpacks each class once."""
+    """Tables of words by their length modulo CLASSES, in files that executors packed and fetch; a task's process reads them and unpacks each class once."""
 
-    def __init__(self, parts: dict[int, list[bytes]]):
-        self.parts, self.tables = parts, {}
+    def __init__(self, files: list[str]):
+        self.files, self.tables = files, {}
+        self.parts: dict[int, list[bytes]] | None = None
+
+    def _read(self) -> dict[int, list[bytes]]:
+        parts: dict[int, list[bytes]] = {}
+        for name in self.files:
+            rows = pq.ParquetFile(SparkFiles.get(name)).read()
+            for c, part in zip(rows.column("class").to_pylist(), rows.column("part").to_pylist(), strict=True):
+                parts.setdefault(c, []).append(part)
+        return parts
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
         """Packed 32-bit ids of each word, None for unknown ones."""
         out: list[bytes | None] = [None] * len(words)
         classes = np.fromiter(map(len, words), np.int64, len(words)) % CLASSES
+        if self.parts is None:
+            self.parts = self._read()
         for c in np.unique(classes).tolist():
             if c in self.parts:
                 self.tables[c] = Known.of(list(map(pickle.loads, self.parts.pop(c))))
@@ -454,10 +467,11 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) ->
     table = rank_literal(ranks)
     words = head_words(texts, pattern, most)[1].where((F.octet_length("word") <= LONG) & (F.col("n") > 1))
     folded = words.select("word", fold_merges(F.col("word"), table, ranks).alias("pieces"))
-    parts: dict[int, list[bytes]] = {}
-    for r in folded.mapInArrow(_pack, "class int, part binary").collect():  # at most `most` words in all
-        parts.setdefault(r["class"], []).append(bytes(r.part))
-    known = spark.sparkContext.broadcast(KnownParts(parts))
+    # at most `most` words in CLASSES files, which executors fetch from the shared folder; the driver has only their names
+    files = stored(folded.mapInArrow(_pack, "class int, part binary").repartition(CLASSES), "packed").inputFiles()
+    for file in files:
+        spark.sparkContext.addFile(file)
+    known = spark.sparkContext.broadcast(KnownParts([f.rpartition("/")[2] for f in files]))
     coded = texts.mapInArrow(_encode_known(pattern, known, spark.sparkContext.broadcast(ranks)), "doc_id long, packed binary, rare array<string>")
     return coded.select("doc_id", "packed", F.transform("rare", lambda w: fold_merges(w, table, ranks)).alias("rare"))
 
