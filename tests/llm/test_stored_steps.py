@@ -64,3 +64,31 @@ def test_packed_words_do_not_pass_the_driver(spark, texts, monkeypatch):
     assert got[20][:3] == [258, ord("0"), ord(" ")] and got[30] == []
     known = next(x for x in shipped if isinstance(x, byte_bpe.KnownParts))
     assert all(isinstance(f, str) for f in known.files) and not known.parts  # before, the packed tables themselves were collected and broadcast
+
+
+def test_pairs_of_all_levels_are_one_plan(texts, monkeypatch):
+    steps = {}
+
+    def spy(levels):
+        return lambda df, label: steps.setdefault(levels, []).append(label) or common.stored(df, label)
+
+    for levels in (2, 4):
+        monkeypatch.setattr(near_duplicates, "stored", spy(levels))
+        got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(texts, 3, 85, levels=levels).collect()}
+        assert got[21] == 20
+    assert steps[4].count("near") == steps[2].count("near") == 1  # before, each level had a plan of its own for its pairs
+
+
+def test_plans_of_byte_bpe_do_not_hold_the_ranks(texts, monkeypatch):
+    plans = []
+
+    def store(df, label):
+        plans.append(df._jdf.queryExecution().toString())
+        return common.stored(df, label)
+
+    monkeypatch.setattr(byte_bpe, "stored", store)
+    ranks = {bytes([i]): i for i in range(256)} | {b"wo": 256, b"rd": 257, b"word": 258}
+    out = byte_bpe.encode(texts, ranks, r"\s?\S+|\s+")
+    plans.append(out._jdf.queryExecution().toString())
+    assert {r.doc_id: r.ids for r in out.collect()}[20][:3] == [258, ord("0"), ord(" ")]
+    assert max(map(len, plans)) < 30_000  # before, each held all buckets of the ranks, several times

@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
 A word is folded as a string of one character per piece; pieces are numbered by
-their ranks, so comparing characters compares ranks.  Ranks of pairs are a literal:
+their ranks, so comparing characters compares ranks.  Ranks of pairs are one stored row:
 an array of hash buckets, each a string of pairs and the piece that they join to.
 `fold_merges` maps the bytes of a word to characters and, step by step, looks up all
 adjacent pairs and replaces the pair of least rank, the leftmost of equals.
@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import hash_ranges, slices, small_batches, stored, text_buffers
@@ -77,14 +77,18 @@ def _all_pairs(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes, int]]:
     return [(a, b, rank) for a, b, rank in cuts if a in ranks and b in ranks]
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """Hash buckets of the pairs that can meet: each bucket has "no piece", then for each pair the pair, the joined piece and the pair's parts between marks."""
+def rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """Hash buckets of the pairs that can meet: each bucket has "no piece", then for each pair the pair, the joined piece and the pair's parts between marks.
+
+    A subquery over one stored row: as a literal, megabytes of it stood in each description of a plan, and the driver keeps those of all plans.
+    """
     buckets = [[_END + _NONE + _END] for _ in range(BUCKETS)]
     pairs = last_pairs(ranks)
     for a, b, rank in _all_pairs(ranks) if pairs is None else pairs:
         a, b = _char(ranks[a]), _char(ranks[b])
         buckets[zlib.crc32((a + b).encode()) % BUCKETS].append(_END.join((a + b, _char(rank), a, b, "")))
-    return F.split(F.lit("\n".join(map("".join, buckets))), "\n")
+    row = spark.createDataFrame([("\n".join(map("".join, buckets)),)], "buckets string")
+    return stored(row.select(F.split("buckets", "\n").alias("buckets")).coalesce(1), "ranks").scalar().alias("buckets")
 
 
 def piece_chars(word: Column, ranks: dict[bytes, int]) -> Column:
@@ -464,16 +468,16 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) ->
     """(doc_id, packed, rare): packed ids, and the pieces of the rare words whose numbers stand among them."""
     spark = small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table = rank_literal(ranks)
+    table = rank_table(spark, ranks)
     words = head_words(texts, pattern, most)[1].where((F.octet_length("word") <= LONG) & (F.col("n") > 1))
-    folded = words.select("word", fold_merges(F.col("word"), table, ranks).alias("pieces"))
+    folded = words.select("word", table).select("word", _bind(F.col("buckets"), lambda t: fold_merges(F.col("word"), t, ranks)).alias("pieces"))
     # at most `most` words in CLASSES files, which executors fetch from the shared folder; the driver has only their names
     files = stored(folded.mapInArrow(_pack, "class int, part binary").repartition(CLASSES), "packed").inputFiles()
     for file in files:
         spark.sparkContext.addFile(file)
     known = spark.sparkContext.broadcast(KnownParts([f.rpartition("/")[2] for f in files]))
     coded = texts.mapInArrow(_encode_known(pattern, known, spark.sparkContext.broadcast(ranks)), "doc_id long, packed binary, rare array<string>")
-    return coded.select("doc_id", "packed", F.transform("rare", lambda w: fold_merges(w, table, ranks)).alias("rare"))
+    return coded.select("*", table).select("doc_id", "packed", _bind(F.col("buckets"), lambda t: F.transform("rare", lambda w: fold_merges(w, t, ranks))).alias("rare"))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = HEAD) -> DataFrame:

@@ -234,20 +234,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
     def pair(x: str, y: str) -> list:
         return [F.least(f"{x}.id", f"{y}.id").alias("a"), F.greatest(f"{x}.id", f"{y}.id").alias("b"), _equal_tokens(x, y).alias("equal")]
 
-    # each level is a few small plans, the same for all levels, so Spark compiles them once and holds none of all levels
-    level, nodes, found = classes.select("id", "sketch").mapInArrow(_roots(trees), "key long, id long"), [], []
+    # each level is two small plans, the same for all levels, so Spark compiles them once; the pairs of all levels are one plan
+    level, nodes = classes.select("id", "sketch").mapInArrow(_roots(trees), "key long, id long"), []
     for depth in range(levels):
         level = stored(level, "level")
         sizes = level.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
         shared = stored(level.join(sizes, "key"), "shared")
         discard(level)
         nodes.append(shared)
-        few = shared.where(F.col("size") <= small).join(marks, "id")
-        pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
-        found.append(stored(pairs, "near"))
         large = shared.where(F.col("size") > small).select("key", "id")
         if depth + 1 < levels:
             level = large.join(classes.select("id", "sketch"), "id").select("key", "id", "sketch").mapInArrow(_branches(similarity), "key long, id long")
+    few = together(nodes).where(F.col("size") <= small).join(marks, "id")  # keys of different levels are hashes of different paths
+    pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
+    found = stored(pairs, "near")
     met = together(nodes).select("id", "size")
     large = stored(large.join(marks, "id").join(met.groupBy("id").agg(F.sum("size").alias("met")), "id"), "large")
     discard(*nodes)
@@ -255,8 +255,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
     central, chance = F.max_by(this, F.struct("met", -F.col("id"))), F.min_by(this, F.xxhash64("key", "id"))
     hubs = large.groupBy("key").agg(F.array_distinct(F.array(central, chance)).alias("hubs")).select("key", F.explode("hubs").alias("hub")).select("key", "hub.*")
     star = large.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
-    candidates = stored(together(found).union(star).groupBy("a", "b").agg(F.max("equal").alias("equal")), "pairs")
-    discard(*found)
+    candidates = stored(found.union(star).groupBy("a", "b").agg(F.max("equal").alias("equal")), "pairs")
+    discard(found)
 
     ids = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).union(large.select("id")).distinct()
     sets = texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_words_of, "id long, members binary")
