@@ -92,3 +92,21 @@ def test_plans_of_byte_bpe_do_not_hold_the_ranks(texts, monkeypatch):
     plans.append(out._jdf.queryExecution().toString())
     assert {r.doc_id: r.ids for r in out.collect()}[20][:3] == [258, ord("0"), ord(" ")]
     assert max(map(len, plans)) < 30_000  # before, each held all buckets of the ranks, several times
+
+
+def _broadcasts(monkeypatch, module):
+    """What the plans of the module's steps join by broadcast, filled as they are stored."""
+    found = []
+
+    def store(df, label):
+        found.extend(re.findall(r"\bBroadcastHashJoin.*", df._jdf.queryExecution().executedPlan().toString()))
+        return common.stored(df, label)
+
+    monkeypatch.setattr(module, "stored", store)
+    return found
+
+
+def test_line_dedup_broadcasts_nothing(texts, monkeypatch):
+    found = _broadcasts(monkeypatch, line_dedup)
+    assert line_dedup.remove_repeated_lines(texts).where("n_gone > 0").count() > 0
+    assert not found  # before, all deletion variants were, where Spark took the exploded rows for a small table

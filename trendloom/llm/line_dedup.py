@@ -13,7 +13,9 @@ shared half as hashed keys: lines within a substitution share a variant and its
 insertion share a variant of one with the other as a whole.  Minima of the first
 places per key, never pairs, find for each line the earliest neighbour; the edit
 distance to it is then verified on the texts.  Each step is stored, and what it was
-made of removed, so the disk holds the rows of one step, not of all.
+made of removed, so the disk holds the rows of one step, not of all.  Joins are dealt
+out by hint: both sides grow with the corpus, and Spark's estimate of rows that an
+explode made is so low that it would broadcast them.
 
 Defined cases: null and empty texts stay as they are; repeated rows of one doc_id
 are one document; ties in doc_id and place are equal lines; extra columns stay.
@@ -72,8 +74,8 @@ def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHA
     distinct = stored(distinct, "distinct")
     keys = distinct.select("h0", "h1", F.posexplode("halves").alias("nth", "half"))
     shared = keys.groupBy("half").agg(F.min("h0").alias("low"), F.max("h0").alias("high"), F.min("h1").alias("low1"), F.max("h1").alias("high1")).where("low <> high or low1 <> high1").select("half")
-    sides = keys.join(shared, "half", "left_semi").groupBy("h0", "h1").agg(F.max(F.col("nth") % 2 == 0).alias("head"), F.max(F.col("nth") % 2 == 1).alias("tail"))
-    near = sides.join(distinct, ["h0", "h1"]).groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_set(F.struct("first.at", "head", "tail")).alias("places"))
+    sides = keys.join(shared.hint("merge"), "half", "left_semi").groupBy("h0", "h1").agg(F.max(F.col("nth") % 2 == 0).alias("head"), F.max(F.col("nth") % 2 == 1).alias("tail"))
+    near = sides.join(distinct.hint("merge"), ["h0", "h1"]).groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_set(F.struct("first.at", "head", "tail")).alias("places"))
     near = stored(near, "near")
     # texts of the lines that may have neighbours, read at their first places
     texts = docs.where(F.col(text).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(near.hint("shuffle_hash"), "doc_id")
@@ -85,12 +87,12 @@ def repeated_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHA
         F.min(F.when(F.col("kind") == "whole", F.col("first"))).alias("whole"), F.min(F.when(F.col("kind") == "part", F.col("first"))).alias("part"), F.min(F.when(F.col("kind") == "same place", F.col("first"))).alias("same")
     )
     source = F.when(F.col("kind") == "whole", F.col("part")).when(F.col("kind") == "part", F.col("whole")).otherwise(F.col("same"))
-    pairs = found.join(groups, "key").select("first", source.alias("source")).where("source < first").groupBy("first").agg(F.min("source").alias("source"))
+    pairs = found.join(groups.hint("merge"), "key").select("first", source.alias("source")).where("source < first").groupBy("first").agg(F.min("source").alias("source"))
     pairs = stored(pairs, "pairs")
     known = texts.select(F.col("first").alias("source"), F.col("line").alias("earlier"))
-    edited = pairs.join(texts.select("first", "line"), "first").join(known, "source").where((F.levenshtein("line", "earlier", 1) >= 0)).select("first", F.lit(True).alias("edited"))
-    gone = distinct.join(edited, "first", "left").where("n > 1 or edited").select("h0", "h1", "first", "edited")
-    hits = lines.select("doc_id", "at", "h0", "h1").join(gone, ["h0", "h1"]).where("edited or first <> struct(doc_id, at)")
+    edited = pairs.join(texts.select("first", "line").hint("merge"), "first").join(known.hint("merge"), "source").where((F.levenshtein("line", "earlier", 1) >= 0)).select("first", F.lit(True).alias("edited"))
+    gone = distinct.join(edited.hint("merge"), "first", "left").where("n > 1 or edited").select("h0", "h1", "first", "edited")
+    hits = lines.select("doc_id", "at", "h0", "h1").join(gone.hint("merge"), ["h0", "h1"]).where("edited or first <> struct(doc_id, at)")
     out = stored(hits.groupBy("doc_id").agg(F.collect_set("at").alias("gone")), "gone")
     discard(lines, distinct, texts, pairs)
     return out
