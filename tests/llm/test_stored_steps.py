@@ -110,3 +110,19 @@ def test_line_dedup_broadcasts_nothing(texts, monkeypatch):
     found = _broadcasts(monkeypatch, line_dedup)
     assert line_dedup.remove_repeated_lines(texts).where("n_gone > 0").count() > 0
     assert not found  # before, all deletion variants were, where Spark took the exploded rows for a small table
+
+
+def test_near_duplicates_broadcast_no_exploded_rows(spark, texts, monkeypatch):
+    plans = []
+    monkeypatch.setattr(near_duplicates, "stored", lambda df, label: plans.append((label, df._jdf.queryExecution().executedPlan())) or common.stored(df, label))
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(texts, 3, 85).collect()}[21] == 20
+    for label, plan in plans:
+        for i, node in enumerate(lines := plan.toString().split("\n")):
+            if "BroadcastExchange" in node:  # what stands deeper, up to the next node as high, is broadcast
+                depth = len(node) - len(node.lstrip(" :+-*()0123456789"))
+                below = []
+                for x in lines[i + 1 :]:
+                    if len(x) - len(x.lstrip(" :+-*()0123456789")) <= depth:
+                        break
+                    below.append(x)
+                assert not any("Generate" in x for x in below), label  # before, hubs and rows dealt to strips were

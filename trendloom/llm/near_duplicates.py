@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
     this = F.struct("id", "n", *_LOW)
     central, chance = F.max_by(this, F.struct("met", -F.col("id"))), F.min_by(this, F.xxhash64("key", "id"))
     hubs = large.groupBy("key").agg(F.array_distinct(F.array(central, chance)).alias("hubs")).select("key", F.explode("hubs").alias("hub")).select("key", "hub.*")
-    star = large.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
+    star = large.alias("x").join(hubs.alias("y").hint("merge"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & within("x", "y")).select(*pair("x", "y"))
     candidates = stored(found.union(star).groupBy("a", "b").agg(F.max("equal").alias("equal")), "pairs")
     discard(found)
 
@@ -296,7 +296,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, trees:
 
     member = member.join(cells, "main")
     member = dealt(member.where(outside), "i", "j", "down", "across").union(dealt(member, "j", "i", "across", "down"))
-    late = stored(member.join(sets, "id").groupBy("main", "i", "j").applyInArrow(_compare_cell(shingle, percent), "a long, b long"), "late")
+    # rows dealt to strips stand for many times their estimate, so they are not left to a broadcast; hubs likewise
+    late = stored(member.join(sets.hint("merge"), "id").groupBy("main", "i", "j").applyInArrow(_compare_cell(shingle, percent), "a long, b long"), "late")
     if not late.isEmpty():
         labels = connected_components(links.union(late))
 
