@@ -14,8 +14,9 @@ def _replace(current: DataFrame, staged: DataFrame, keys: list[str]) -> DataFram
 
 
 def latest(staged: DataFrame, keys: list[str] = ARTICLE_KEY) -> DataFrame:
-    """One row per key: the last ingested, then the last published, then the last title."""
-    order = [F.desc_nulls_last("ingested_at"), F.desc_nulls_last("published_at"), F.desc_nulls_last("title")]
+    """One row per key: the last ingested, then the last published, then the last title; rows equal in these by their other columns, so that a repeated merge takes the same row."""
+    first = ["ingested_at", "published_at", "title"]
+    order = [F.desc_nulls_last(c) for c in (*first, *(c for c, t in staged.dtypes if c not in (*first, *keys) and "map<" not in t and "variant" not in t))]
     return staged.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
 
 
